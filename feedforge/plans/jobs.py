@@ -46,16 +46,18 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
         raw[name] = df.observe(
             seen[name], F.count(F.lit(1)).alias("read"),
             F.count_if(any_null(CLEAN_KEYS.get(name, ()))).alias("rejected"))
-    written = write_partitions(
-        silver.clean_tweets(raw["twitter.tweets"], run_id, within=DAY_COLUMNS), f"{target}/tweets")
-    written += write_partitions(
-        silver.clean_engagements(raw["twitter.engagements"], run_id, within=DAY_COLUMNS),
-        f"{target}/engagements")
+
+    def store(df: DataFrame, entity: str) -> int:
+        return write_partitions(df, f"{target}/{entity}", rebalance=first < last)
+
+    written = store(silver.clean_tweets(raw["twitter.tweets"], run_id, within=DAY_COLUMNS), "tweets")
+    written += store(silver.clean_engagements(raw["twitter.engagements"], run_id, within=DAY_COLUMNS),
+                     "engagements")
     # The tweets are read back as written rather than cleaned a second time.
     tweets = read_table(spark, f"{target}/tweets").filter(days_between(first, last))
     posts = silver.posts_unified(tweets, raw["youtube.videos"], raw["reddit.posts"], run_id,
                                  within=DAY_COLUMNS)
-    written += write_partitions(posts, f"{target}/posts")
+    written += store(posts, "posts")
     if check:
         enforce(tweets, suites.QUICK_SILVER_TWEETS)
     return run_summary(

@@ -79,7 +79,7 @@ def top_posts(enriched: DataFrame, k: int) -> DataFrame:
     return top_per_group(enriched, ["platform"], "total_engagement", k, dense=True)
 
 
-def dim_users(events: DataFrame, attributes: list[str], user: str = "user_id", at: str = "at",
+def dim_users(events: DataFrame, attributes: list[str], user: str = "user_id", at: str = "seen_at",
               tie_break: tuple[str, ...] = ()) -> DataFrame:
     """Type-2 user dimension from attribute snapshots."""
     return scd2(events, user, attributes, at, tie_break, sk="user_sk")

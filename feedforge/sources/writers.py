@@ -39,16 +39,20 @@ def write_raw(df: DataFrame, path: str, at: str = "ingested_at",
 
 
 def write_partitions(df: DataFrame, path: str, partitions: Sequence[str] = DAY_COLUMNS,
-                     mode: str = "overwrite", at: str = "ingested_at") -> int:
+                     mode: str = "overwrite", at: str = "ingested_at", rebalance: bool = False) -> int:
     """Partitioned Parquet; overwrite replaces only the partitions it writes.
 
-    Returns the rows written.
+    ``rebalance`` gathers each output partition into few files before writing
+    and still splits a partition that is large; worth its shuffle when one write
+    covers many partitions. Returns the rows written.
     """
     derivable = [p for p in partitions if p in HOUR_COLUMNS]
     laid_out = with_time_parts(df, at, derivable) if at in df.columns else df
     seen = Observation()
-    (laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
-     .write.mode(mode)
+    counted = laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if rebalance:
+        counted = counted.hint("rebalance", *[F.col(p) for p in partitions])
+    (counted.write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partitions).parquet(path))
     return seen.get["rows"]
