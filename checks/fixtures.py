@@ -13,10 +13,8 @@ from pyspark.sql import DataFrame
 from .registry import Tables
 
 
-def _uuid(c: str) -> str:
-    h = f"md5(cast({c} as string))"
-    parts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return "concat(" + ", '-', ".join(f"substr({h}, {a}, {n})" for a, n in parts) + ")"
+_UUID = "concat(" + ", '-', ".join(
+    f"substr(h, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + ")"
 
 
 def _day(first: str, offset: str) -> str:
@@ -27,11 +25,10 @@ def _clock(hours: str) -> str:
     return f"concat(lpad(cast({hours} as string), 2, '0'), ':15:00')"
 
 
-# table, how often each row is delivered, column expressions
-_K = "regexp_extract(props, '([0-9]+)', 1)"
+# table, helper columns, how often each row is delivered, column expressions
 RAW = {
-    "tweets": ("documents", "1 + doc_id % 3", {
-        "tweet_id": f"case when doc_id % 47 = 13 then null else {_uuid('doc_id')} end",
+    "tweets": ("documents", {"h": "md5(cast(doc_id as string))"}, "1 + doc_id % 3", {
+        "tweet_id": f"case when doc_id % 47 = 13 then null else {_UUID} end",
         "user_id": "case when doc_id % 53 = 7 then null else concat('user-', cast(doc_id % 211 as string)) end",
         "platform": "case doc_id % 3 when 0 then ' Twitter ' when 1 then 'TWITTER' else 'twitter' end",
         "content": "concat('  ', text, ' ')",
@@ -59,25 +56,26 @@ RAW = {
         "schema_version": "'1.0'",
         "batch_id": "'seed'",
     }),
-    "engagements": ("events", "1 + event_id % 2", {
-        "engagement_id": f"case when event_id % 61 = 3 then null else {_uuid('event_id')} end",
-        "tweet_id": _K,
-        "post_id": f"case when event_id % 67 = 5 then null when event_id % 10 = 0 then concat('missing-', {_K}) else {_K} end",
+    "engagements": ("events", {"h": "md5(cast(event_id as string))", "k": "regexp_extract(props, '([0-9]+)', 1)"},
+                    "1 + event_id % 2", {
+        "engagement_id": f"case when event_id % 61 = 3 then null else {_UUID} end",
+        "tweet_id": "k",
+        "post_id": f"case when event_id % 67 = 5 then null when event_id % 10 = 0 then concat('missing-', k) else k end",
         "engaging_user_id": "case when event_id % 71 = 9 then null else concat('user-', cast(user_id as string)) end",
-        "post_author_id": f"concat('user-', {_K})",
-        "platform": f"case cast({_K} as int) % 3 when 0 then ' Twitter' when 1 then 'YOUTUBE' else 'reddit ' end",
+        "post_author_id": f"concat('user-', k)",
+        "platform": f"case cast(k as int) % 3 when 0 then ' Twitter' when 1 then 'YOUTUBE' else 'reddit ' end",
         "engagement_type": "case when event_id % 73 = 1 then null when event_type = 'view' then 'view' "
                            "when event_type = 'click' then ' Like' when event_type = 'signup' then 'Reply ' "
                            "when event_type = 'purchase' and value >= 50 then 'QUOTE' "
                            "when event_type = 'purchase' then 'retweet' else 'clap' end",
-        "content": f"case when event_type = 'signup' then concat('re: ', {_K}) end",
+        "content": f"case when event_type = 'signup' then concat('re: ', k) end",
         "created_at": "cast(ts as string)",
         "ingested_at": "concat(cast(cast(ts as date) + cast(delivery as int) as string), 'T00:30:00+00:00')",
         "source_system": "'crawler'",
         "schema_version": "'1.0'",
         "batch_id": "'seed'",
     }),
-    "videos": ("pages", "1 + page_id % 2", {
+    "videos": ("pages", {}, "1 + page_id % 2", {
         "video_id": "concat('v', cast(page_id as string))",
         "channel_id": "concat('channel-', cast(page_id % 17 as string))",
         "platform": "'YouTube'",
@@ -90,7 +88,7 @@ RAW = {
         "ingested_at": f"concat({_day('2024-02-01', 'page_id % 20 + delivery')}, 'T07:00:00+00:00')",
         "batch_id": "'seed'",
     }),
-    "reddit": ("conversations", "1 + turn % 2", {
+    "reddit": ("conversations", {}, "1 + turn % 2", {
         "post_id": "concat('c', cast(conv_id as string), '-', cast(turn as string))",
         "author_user_id": "concat('user-', cast(conv_id % 211 as string))",
         "platform": "'Reddit'",
@@ -139,17 +137,24 @@ SHAPED = {
 }
 
 
+def delivered(source: DataFrame, name: str) -> DataFrame:
+    """Rows of the source table as raw records; works on tables and streams."""
+    _, helpers, times, columns = RAW[name]
+    repeated = source.selectExpr("*", *[f"{e} as {c}" for c, e in helpers.items()]) \
+        .selectExpr("*", f"explode(sequence(1, {times})) as delivery")
+    return repeated.selectExpr(*[f"{e} as {c}" for c, e in columns.items()])
+
+
 def raw(t: Tables, name: str) -> DataFrame:
-    table, times, columns = RAW[name]
-    source = getattr(t, table).selectExpr("*", f"explode(sequence(1, {times})) as delivery")
-    return source.selectExpr(*[f"{e} as {c}" for c, e in columns.items()])
+    return delivered(getattr(t, RAW[name][0]), name)
 
 
 def raw_sql(name: str) -> str:
-    table, times, columns = RAW[name]
+    table, helpers, times, columns = RAW[name]
     shown = ", ".join(f"{e} as {c}" for c, e in columns.items())
+    extra = "".join(f", {e} as {c}" for c, e in helpers.items())
     return (f"(select {shown} from (select *, unnest(range(1, 2 + {times.removeprefix('1 + ')})) as delivery "
-            f"from {table}) delivered)")
+            f"from (select *{extra} from {table}) source) repeated)")
 
 
 def shaped(t: Tables, name: str) -> DataFrame:

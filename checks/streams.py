@@ -15,7 +15,7 @@ from feedforge.streaming.stateful import (
 )
 
 from . import sqltext as Q
-from .fixtures import RAW, SHAPED, raw, raw_sql, shaped_sql
+from .fixtures import RAW, SHAPED, delivered, raw, raw_sql, shaped_sql
 from .registry import Tables, query
 
 # The tables are read as one long backlog in no particular order of time, so the
@@ -92,9 +92,7 @@ def _(t):
     select engagement_id, post_id, 'run-1' as batch_id, ingested_at from {raw_sql('engagements')} r
     where not ({_missing('engagements')})""")
 def _(t):
-    table, times, columns = RAW["engagements"]
-    records = table_stream(t, table).selectExpr("*", f"explode(sequence(1, {times})) as delivery") \
-        .selectExpr(*[f"{e} as {c}" for c, e in columns.items()])
+    records = delivered(table_stream(t, RAW["engagements"][0]), "engagements")
     kept = validated(records, "twitter.engagements", "run-1").filter(is_valid())
     return drain_append(kept.select("engagement_id", "post_id", "batch_id", "ingested_at"), "validated")
 
