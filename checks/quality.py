@@ -13,7 +13,6 @@ from feedforge.operators.integrity import rule_violations
 from feedforge.operators.quality import Rule, Suite
 from feedforge.operators.calendar import dim_date
 from feedforge.plans import gold
-from feedforge.sources.workdir import work_dir
 
 from . import sqltext as Q
 from .fixtures import raw, raw_sql, shaped, shaped_sql
@@ -22,13 +21,6 @@ from .registry import Tables, query
 from .silver import engagements, tweets
 
 
-def stored(t: Tables, df: DataFrame, name: str) -> DataFrame:
-    """The table as written: suites read it a few times, like a pipeline would."""
-    path = work_dir(t.spark, name)
-    df.write.parquet(path)
-    return t.spark.read.parquet(path)
-
-
 def _text(v) -> str:
     return f"'{v}'" if isinstance(v, str) else str(v)
 
@@ -105,7 +97,7 @@ PAIRS = {
 
 
 def results_of(t: Tables, layer: str) -> DataFrame:
-    used = {name: stored(t, TABLES_DF[name](t), name) for name in dict.fromkeys(n for n, _ in PAIRS[layer])}
+    used = {name: t.stored(TABLES_DF[name](t), name) for name in dict.fromkeys(n for n, _ in PAIRS[layer])}
     return reduce(DataFrame.unionByName, [K.run_suite(used[n], s, samples=False) for n, s in PAIRS[layer]])
 
 

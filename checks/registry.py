@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedforge.session import pin_utc
+from feedforge.sources.workdir import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +23,15 @@ class Tables:
         self.spark = spark
         self.folder = folder
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """A derived table as a pipeline would find it: written, then read.
+
+        Its size is then known to the planner from the files.
+        """
+        path = work_dir(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 

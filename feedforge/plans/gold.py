@@ -208,8 +208,10 @@ def fact_post_metrics_daily(enriched: DataFrame, daily: DataFrame,
 def fact_with_keys(fact: DataFrame, posts: DataFrame, users: DataFrame, platforms: DataFrame) -> DataFrame:
     """Resolve post_sk, user_sk and platform_sk; null where the dimension has no row.
 
-    ``users`` has ``user_id`` and ``user_sk``, one row per user. Platforms are
-    few, but the size is left to the planner to check before it broadcasts.
+    ``users`` has ``user_id`` and ``user_sk``, one row per user. Pass the
+    dimensions as stored tables: the planner then knows their size, sends the
+    small ones (surely the platforms) to every task, and shuffles the fact only
+    for those above its broadcast limit.
     """
     who = users.select(F.col("user_id").alias("engaging_user_id"), "user_sk")
     return (fact

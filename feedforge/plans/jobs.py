@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,27 +11,34 @@ from pyspark.sql import functions as F
 
 from feedforge.functions.columns import any_null
 from feedforge.operators import suites
+from feedforge.operators.cleaning import reject_split
 from feedforge.operators.calendar import dim_date
-from feedforge.operators.quality import enforce
+from feedforge.operators.dedup import dedup_latest
+from feedforge.operators.quality import Suite, enforce
 from feedforge.operators.runs import run_summary
 from feedforge.session import pin_utc
 from feedforge.sources.readers import (
     DAY_COLUMNS, check_range, days_between, read_raw_days, read_table,
 )
 from feedforge.sources.schemas import CLEAN_KEYS, NARROW
+from feedforge.sources.workdir import work_dir
 from feedforge.sources.writers import replace_table, write_partitions
 
 from . import gold, silver
 
 
 def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str | None = None,
-               end: date | str | None = None, check: bool = True) -> DataFrame:
+               end: date | str | None = None, check: bool = True,
+               quarantine: str | None = None) -> DataFrame:
     """Process the raw days ``start..end`` (default: yesterday) into Silver.
 
     Days are scanned together but deduplicated per day, and only the partitions
     of those days are replaced, so a range gives what single days would give and
     a rerun changes nothing. The partition is the day of the raw folder, so a
-    run cannot touch a day it did not read.
+    run cannot touch a day it did not read. With ``quarantine``, rows without
+    their keys are kept in a folder of that name, per entity and day.
+
+    Returns one row that sums the run up.
     """
     pin_utc(spark)
     yesterday = datetime.now(timezone.utc).date() - timedelta(days=1)
@@ -41,6 +49,10 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
                             only=NARROW.get(name), lineage=name.startswith("twitter"))
         for name in ("twitter.tweets", "twitter.engagements", "youtube.videos", "reddit.posts")
     }
+    if quarantine:
+        for name, keys in CLEAN_KEYS.items():
+            _, rejected = reject_split(raw[name], keys)
+            write_partitions(rejected, f"{quarantine}/{name.replace('.', '/')}")
     seen = {name: Observation() for name in raw}
     for name, df in raw.items():
         raw[name] = df.observe(
@@ -59,22 +71,38 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
                                  within=DAY_COLUMNS)
     written += store(posts, "posts")
     if check:
-        enforce(tweets, suites.QUICK_SILVER_TWEETS)
+        gate, keyed = _per_day(suites.QUICK_SILVER_TWEETS, tweets, "tweet_id")
+        enforce(keyed, gate)
     return run_summary(
         spark, run_id, "bronze_to_silver", "silver", began,
         read=sum(o.get["read"] for o in seen.values()), written=written,
         rejected=sum(o.get["rejected"] for o in seen.values()), files=0)
 
 
+def _per_day(suite: Suite, df: DataFrame, key: str) -> tuple[Suite, DataFrame]:
+    """The suite with its key unique per day: a record may come again on another day."""
+    daily = f"{key}_and_day"
+    rules = tuple(replace(r, column=daily) if r.kind == "unique" and r.column == key else r
+                  for r in suite.rules)
+    return replace(suite, rules=rules), df.withColumn(daily, F.struct(key, *DAY_COLUMNS))
+
+
 def build_gold(spark: SparkSession, silver_root: str, target: str, check: bool = True) -> None:
     """Rebuild every Gold table from Silver.
 
+    Silver keeps a record once per day it was delivered; Gold takes the latest.
     Enriched posts feed three tables; they are written once, as ``dim_posts``
-    needs most of their columns anyway, and read back narrow by the facts.
+    needs most of their columns anyway, and read back narrow by the facts. The
+    staged engagements are read by two facts and written once for the same
+    reason.
     """
     pin_utc(spark)
-    posts = gold.posts_enriched(gold.stg_posts(read_table(spark, f"{silver_root}/posts")))
-    engagements = gold.stg_engagements(read_table(spark, f"{silver_root}/engagements"))
+    latest_posts = dedup_latest(read_table(spark, f"{silver_root}/posts"), gold.POST_KEY)
+    posts = gold.posts_enriched(gold.stg_posts(latest_posts))
+    latest = dedup_latest(read_table(spark, f"{silver_root}/engagements"), ["engagement_id"])
+    staging = work_dir(spark, "staged-engagements")
+    replace_table(gold.stg_engagements(latest), staging)
+    engagements = read_table(spark, staging)
     replace_table(dim_date(spark), f"{target}/dim_date")
     replace_table(gold.dim_posts(posts), f"{target}/dim_posts")
     enriched = read_table(spark, f"{target}/dim_posts")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +51,17 @@ def read_table(spark: SparkSession, root: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything to read at a path."""
+    try:
+        spark.read.option("recursiveFileLookup", "true").text(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def on_day(day: date) -> Column:
     return (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
 

@@ -63,6 +63,12 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
+def append_run_log(summary: DataFrame, path: str) -> None:
+    """Add a run summary to the log, partitioned by the day the run started."""
+    with_time_parts(summary, "started_at", DAY_COLUMNS) \
+        .write.mode("append").partitionBy(*DAY_COLUMNS).json(path)
+
+
 def dry_run(df: DataFrame) -> int:
     """Execute the whole plan, count, write nothing."""
     seen = Observation()

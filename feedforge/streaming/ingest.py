@@ -10,21 +10,27 @@ replaces its own output and nothing else.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedforge.operators.cleaning import dead_letter, tag_metadata, validate_required
-from feedforge.sources.schemas import TOPICS, LandingSource, Topic, raw_schema
+from feedforge.operators.runs import run_summary
+from feedforge.sources.readers import path_exists
+from feedforge.sources.schemas import LANDING, TOPICS, LandingSource, Topic, raw_schema
 from feedforge.sources.workdir import work_dir
-from feedforge.sources.writers import write_raw
+from feedforge.sources.writers import append_run_log, write_raw
 
 # Flush at least this often or at this many records.
 FLUSH_SECONDS = 30
 FLUSH_RECORDS = 10_000
+
+MOST_RECORDS = 20_000_000
 FILES_PER_BATCH = 256
 
 
@@ -39,16 +45,22 @@ class Counters:
 
 
 def kafka_messages(spark: SparkSession, servers: str, topics: Sequence[Topic] = TOPICS,
-                   max_records: int = FLUSH_RECORDS) -> DataFrame:
+                   flush_records: int = FLUSH_RECORDS, flush_seconds: int = FLUSH_SECONDS,
+                   most_records: int = MOST_RECORDS) -> DataFrame:
     """(topic, value) from the broker, from the earliest offset.
 
-    Needs the Kafka connector package on the session's class path.
+    A batch starts once enough records wait or enough time has passed, and takes
+    what is there up to ``most_records``, so that a backlog is worked off in
+    batches of bounded size. Needs the Kafka connector package on the session's
+    class path.
     """
     return (spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", ",".join(t.name for t in topics))
             .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", max_records)
+            .option("minOffsetsPerTrigger", flush_records)
+            .option("maxTriggerDelay", f"{flush_seconds}s")
+            .option("maxOffsetsPerTrigger", most_records)
             .load().select("topic", F.col("value").cast("string").alias("value")))
 
 
@@ -120,18 +132,23 @@ def topic_batch_writer(bronze: str, run_id: str, checkpoint: str, counters: Coun
 
 
 def stream_ingest(messages: DataFrame, bronze: str, checkpoint: str, run_id: str,
-                  topics: Sequence[Topic] = TOPICS, seconds: int = FLUSH_SECONDS,
+                  topics: Sequence[Topic] = TOPICS, seconds: int | None = None,
                   drain: bool = False, dry_run: bool = False) -> tuple[StreamingQuery, Counters]:
     """Start the topic ingest; ``drain`` processes what is there and stops.
 
-    Offsets are committed by the checkpoint after the whole batch is written.
+    Batches follow the source (see ``kafka_messages``) unless ``seconds`` sets a
+    fixed pace. Offsets are committed by the checkpoint after the whole batch is
+    written.
     """
     counters = Counters()
     writer = (messages.writeStream.queryName(f"ingest-{run_id}")
               .option("checkpointLocation", checkpoint)
               .foreachBatch(topic_batch_writer(bronze, run_id, checkpoint, counters, topics, dry_run)))
-    timed = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=f"{seconds} seconds")
-    return timed.start(), counters
+    if drain:
+        writer = writer.trigger(availableNow=True)
+    elif seconds is not None:
+        writer = writer.trigger(processingTime=f"{seconds} seconds")
+    return writer.start(), counters
 
 
 def run_for(query: StreamingQuery, seconds: float) -> bool:
@@ -189,3 +206,29 @@ def ingest_new_files(spark: SparkSession, source: LandingSource, landing: str, b
              .foreachBatch(write).trigger(availableNow=True).start())
     query.awaitTermination()
     return counters
+
+
+def ingest_landing(spark: SparkSession, landing: str, bronze: str, state: str,
+                   sources: Sequence[str] | None = None, reprocess: bool = False,
+                   dry_run: bool = False) -> DataFrame:
+    """Ingest the new files of all landing folders, or those of some sources.
+
+    ``state`` holds one checkpoint per folder. Returns the run summary as one
+    row and, unless it is a dry run, appends it to the run log in Bronze.
+    Unknown source names and folders that do not exist yet are skipped.
+    """
+    run_id, began = str(uuid.uuid4()), datetime.now(timezone.utc)
+    total = Counters()
+    for source in LANDING:
+        if sources is not None and source.source not in sources:
+            continue
+        if not path_exists(spark, f"{landing}/{source.prefix}"):
+            continue
+        done = ingest_new_files(spark, source, landing, bronze, f"{state}/{source.path}", run_id,
+                                reprocess, dry_run)
+        total = Counters(*[getattr(total, f.name) + getattr(done, f.name) for f in fields(Counters)])
+    summary = run_summary(spark, run_id, "landing_ingest", "landing", began, total.records_read,
+                          total.records_written, total.records_rejected, total.files_processed)
+    if not dry_run:
+        append_run_log(summary, f"{bronze}/_runs")
+    return summary
