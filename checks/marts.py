@@ -19,11 +19,15 @@ TOP_TAGS = 5
 TOP_POSTS = 10
 
 
-def tagged(t: Tables):
-    """Line items carry the words of their part's name as tags."""
-    tags = t.part.select(F.col("p_partkey").alias("l_partkey"), F.split("p_name", " ").alias("tags"))
-    lines = t.lineitem.select("l_partkey", "l_shipdate", F.col("l_quantity").cast("bigint").alias("quantity"))
-    return lines.join(tags, "l_partkey")
+def part_tags(t: Tables):
+    """The words of a part's name are its tags."""
+    return t.part.select(F.col("p_partkey").alias("l_partkey"), F.split("p_name", " ").alias("tags"))
+
+
+def part_totals(t: Tables):
+    """Line items per part, summed up before anything is joined to them."""
+    return t.lineitem.groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
 
 
 _TAGGED = """(select unnest(string_split(p_name, ' ')) as tag, cast(l_shipdate as date) as day,
@@ -33,7 +37,7 @@ _TAGGED = """(select unnest(string_split(p_name, ' ')) as tag, cast(l_shipdate a
 @query("hashtag_totals", f"""
     select tag, count(*) as mentions, cast(sum(quantity) as bigint) as engagement from {_TAGGED} x group by 1""")
 def _(t):
-    return marts.hashtag_totals(tagged(t), "quantity")
+    return marts.hashtag_totals(part_totals(t).join(part_tags(t), "l_partkey"), "quantity", "n")
 
 
 @query("trending_tags_7d", f"""
@@ -44,7 +48,9 @@ def _(t):
         from (select tag, day, cast(sum(quantity) as bigint) as engagement from {_TAGGED} x group by 1, 2) d) r) k
     where rank <= {TOP_TAGS}""")
 def _(t):
-    return marts.trending_tags(marts.tag_days(tagged(t), "l_shipdate", "quantity"), TOP_TAGS)
+    lines = t.lineitem.select("l_partkey", "l_shipdate", F.col("l_quantity").cast("bigint").alias("quantity"))
+    return marts.trending_tags(
+        marts.tag_days(lines.join(part_tags(t), "l_partkey"), "l_shipdate", "quantity"), TOP_TAGS)
 
 
 @query("daily_active_users", """
@@ -67,7 +73,7 @@ def _(t):
 def _(t):
     brands = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("platform"),
                            F.col("p_brand").alias("brand"))
-    return marts.share_of_voice(t.lineitem.select("l_partkey").join(brands, "l_partkey"))
+    return marts.share_of_voice(part_totals(t).join(brands, "l_partkey"), count="n")
 
 
 @query("monthly_rollup", f"""

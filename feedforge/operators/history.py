@@ -55,16 +55,15 @@ def as_of(facts: DataFrame, history: DataFrame, key: str, ts: str, take: Sequenc
     then join on equality. Facts before the first history row get nulls.
     """
     row = F.struct(*[F.col(c) for c in take])
-    asked = facts.select(key, F.to_date(ts).alias("_day")).distinct()
-    known = history.select(key, F.col("valid_from").alias("_day"), row.alias("_row"))
-    # Both sides have at most one row per (key, day): merging them keeps that.
-    merged = (asked.select(key, "_day", F.lit(None).cast(known.schema["_row"].dataType).alias("_row"),
-                           F.lit(True).alias("_asked"))
-              .unionByName(known.withColumn("_asked", F.lit(False)))
-              .groupBy(key, "_day").agg(F.max("_row").alias("_row"), F.max("_asked").alias("_asked")))
-    up_to_day = Window.partitionBy(key).orderBy("_day") \
+    known = history.select(key, F.col("valid_from").alias("_day"), F.lit(False).alias("_asked"),
+                           row.alias("_row"))
+    asked = facts.select(key, F.to_date(ts).alias("_day")).distinct().select(
+        key, "_day", F.lit(True).alias("_asked"), F.lit(None).cast(known.schema["_row"].dataType).alias("_row"))
+    # On the same day the history row sorts before the question.
+    so_far = Window.partitionBy(key).orderBy("_day", "_asked") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    resolved = (merged.withColumn("_row", F.last("_row", ignorenulls=True).over(up_to_day))
+    resolved = (known.unionByName(asked)
+                .withColumn("_row", F.last("_row", ignorenulls=True).over(so_far))
                 .filter("_asked")
                 .select(key, "_day", *[F.col(f"_row.{c}").alias(c) for c in take]))
     return (facts.withColumn("_day", F.to_date(ts))

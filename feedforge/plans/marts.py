@@ -30,10 +30,15 @@ def tag_days(tagged: DataFrame, at: str, value: str) -> DataFrame:
             .groupBy("tag", "day").agg(F.sum("_v").alias("engagement"), F.count(F.lit(1)).alias("mentions")))
 
 
-def hashtag_totals(tagged: DataFrame, value: str) -> DataFrame:
-    """Mentions and engagement per tag."""
-    return (tagged.select(F.explode("tags").alias("tag"), F.col(value).alias("_v"))
-            .groupBy("tag").agg(F.count(F.lit(1)).alias("mentions"), F.sum("_v").alias("engagement")))
+def hashtag_totals(tagged: DataFrame, value: str, count: str | None = None) -> DataFrame:
+    """Mentions and engagement per tag.
+
+    ``count`` names a column with the number of mentions a row stands for, if
+    the rows were summed up before.
+    """
+    each = F.col(count) if count else F.lit(1)
+    return (tagged.select(F.explode("tags").alias("tag"), F.col(value).alias("_v"), each.alias("_n"))
+            .groupBy("tag").agg(F.sum("_n").alias("mentions"), F.sum("_v").alias("engagement")))
 
 
 def trending_tags(days: DataFrame, k: int, window: int = TREND_DAYS) -> DataFrame:
@@ -43,13 +48,16 @@ def trending_tags(days: DataFrame, k: int, window: int = TREND_DAYS) -> DataFram
         "day", "tag", "engagement", "rolling_engagement", "rank")
 
 
-def share_of_voice(mentions: DataFrame, brand: str = "brand", platform: str = "platform") -> DataFrame:
+def share_of_voice(mentions: DataFrame, brand: str = "brand", platform: str = "platform",
+                   count: str | None = None) -> DataFrame:
     """Brand mentions as a percentage of all mentions on the platform.
 
-    Mentions are counted per brand first; platform totals are summed from those
+    ``count`` names a column with the number of mentions a row stands for, if
+    the rows were summed up before. Mentions are counted per brand first; platform totals are summed from those
     counts and joined back, so no platform is gathered into one window group.
     """
-    counted = mentions.groupBy(platform, brand).agg(F.count(F.lit(1)).alias("mentions"))
+    each = F.col(count) if count else F.lit(1)
+    counted = mentions.groupBy(platform, brand).agg(F.sum(each).alias("mentions"))
     totals = counted.groupBy(platform).agg(F.sum("mentions").alias("platform_mentions"))
     return counted.join(totals, platform).withColumn(
         "share_pct", F.round(F.col("mentions") * 100.0 / F.col("platform_mentions"), 4))

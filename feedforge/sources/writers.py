@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from feedforge.functions.columns import utc_timestamp
+
 MAX_RECORDS_PER_FILE = 50_000  # fixed value: longest raw file
 DAY_COLUMNS = ("year", "month", "day")
 HOUR_COLUMNS = (*DAY_COLUMNS, "hour")
+RAW_LAYOUT = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}  # fixed values
 
 
 def with_time_parts(df: DataFrame, ts_column: str, parts: Sequence[str]) -> DataFrame:
@@ -22,12 +25,10 @@ def with_time_parts(df: DataFrame, ts_column: str, parts: Sequence[str]) -> Data
 def write_raw(df: DataFrame, path: str, at: str = "ingested_at",
               max_records: int = MAX_RECORDS_PER_FILE, extra: Sequence[str] = (),
               mode: str = "append") -> int:
-    """NDJSON below ``path/year=/month=/day=/hour=``, bounded file length."""
-    from feedforge.functions.columns import utc_timestamp
-
-    stamped = df.withColumn("_at", utc_timestamp(at) if df.schema[at].dataType.simpleString() == "string"
-                            else F.col(at).cast("timestamp"))
-    laid_out = with_time_parts(stamped, "_at", HOUR_COLUMNS).drop("_at")
+    """NDJSON below ``path/year=YYYY/month=MM/day=DD/hour=HH``, bounded file length."""
+    is_text = df.schema[at].dataType.simpleString() == "string"
+    when = utc_timestamp(at) if is_text else F.col(at).cast("timestamp")
+    laid_out = df.withColumns({part: F.date_format(when, shape) for part, shape in RAW_LAYOUT.items()})
     seen = Observation()
     (laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
      .write.mode(mode)

@@ -140,7 +140,7 @@ def test_partition_overwrite_keeps_other_days(spark, tmp_path):
 def test_raw_files_are_bounded(spark, tmp_path):
     df = spark.range(105).coalesce(1).select("id", F.lit("2024-01-15T07:00:00Z").alias("ingested_at"))
     assert write_raw(df, str(tmp_path / "r"), max_records=25) == 105
-    files = list((tmp_path / "r/year=2024/month=1/day=15/hour=7").glob("*.json"))
+    files = list((tmp_path / "r/year=2024/month=01/day=15/hour=07").glob("*.json"))
     assert sorted(len(f.read_text().splitlines()) for f in files) == [5, 25, 25, 25, 25]
 
 
