@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from .registry import Tables
 
 
-_UUID = "concat(" + ", '-', ".join(
-    f"substr(h, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + ")"
+def _uuid(number: str) -> str:
+    return f"concat('00000000-0000-4000-8000-', lpad(cast({number} as string), 12, '0'))"
 
 
 def _day(first: str, offset: str) -> str:
@@ -25,10 +25,12 @@ def _clock(hours: str) -> str:
     return f"concat(lpad(cast({hours} as string), 2, '0'), ':15:00')"
 
 
+KEY_OF_PROPS = """translate(props, '{}"k: ', '')"""  # the number in {"k": 42}
+
 # table, helper columns, how often each row is delivered, column expressions
 RAW = {
-    "tweets": ("documents", {"h": "md5(cast(doc_id as string))"}, "1 + doc_id % 3", {
-        "tweet_id": f"case when doc_id % 47 = 13 then null else {_UUID} end",
+    "tweets": ("documents", {}, "1 + doc_id % 3", {
+        "tweet_id": f"case when doc_id % 47 = 13 then null else {_uuid('doc_id')} end",
         "user_id": "case when doc_id % 53 = 7 then null else concat('user-', cast(doc_id % 211 as string)) end",
         "platform": "case doc_id % 3 when 0 then ' Twitter ' when 1 then 'TWITTER' else 'twitter' end",
         "content": "concat('  ', text, ' ')",
@@ -56,19 +58,18 @@ RAW = {
         "schema_version": "'1.0'",
         "batch_id": "'seed'",
     }),
-    "engagements": ("events", {"h": "md5(cast(event_id as string))", "k": "regexp_extract(props, '([0-9]+)', 1)"},
-                    "1 + event_id % 2", {
-        "engagement_id": f"case when event_id % 61 = 3 then null else {_UUID} end",
+    "engagements": ("events", {"k": KEY_OF_PROPS}, "1 + event_id % 2", {
+        "engagement_id": f"case when event_id % 61 = 3 then null else {_uuid('event_id')} end",
         "tweet_id": "k",
-        "post_id": f"case when event_id % 67 = 5 then null when event_id % 10 = 0 then concat('missing-', k) else k end",
+        "post_id": "case when event_id % 67 = 5 then null when event_id % 10 = 0 then concat('missing-', k) else k end",
         "engaging_user_id": "case when event_id % 71 = 9 then null else concat('user-', cast(user_id as string)) end",
-        "post_author_id": f"concat('user-', k)",
-        "platform": f"case cast(k as int) % 3 when 0 then ' Twitter' when 1 then 'YOUTUBE' else 'reddit ' end",
+        "post_author_id": "concat('user-', k)",
+        "platform": "case cast(k as int) % 3 when 0 then ' Twitter' when 1 then 'YOUTUBE' else 'reddit ' end",
         "engagement_type": "case when event_id % 73 = 1 then null when event_type = 'view' then 'view' "
                            "when event_type = 'click' then ' Like' when event_type = 'signup' then 'Reply ' "
                            "when event_type = 'purchase' and value >= 50 then 'QUOTE' "
                            "when event_type = 'purchase' then 'retweet' else 'clap' end",
-        "content": f"case when event_type = 'signup' then concat('re: ', k) end",
+        "content": "case when event_type = 'signup' then concat('re: ', k) end",
         "created_at": "cast(ts as string)",
         "ingested_at": "concat(cast(cast(ts as date) + cast(delivery as int) as string), 'T00:30:00+00:00')",
         "source_system": "'crawler'",

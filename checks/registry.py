@@ -13,6 +13,7 @@ from feedforge.sources.workdir import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+SCHEMAS: dict[tuple[str, str], T.StructType] = {}
 STAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -33,7 +34,12 @@ class Tables:
         return self.spark.read.parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its schema is read from the file once per application."""
+        path = f"{self.folder}/{name}.parquet"
+        known = (self.spark.sparkContext.applicationId, path)
+        if known not in SCHEMAS:
+            SCHEMAS[known] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(SCHEMAS[known]).parquet(path)
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from feedforge.streaming.stateful import (
 )
 
 from . import sqltext as Q
-from .fixtures import RAW, SHAPED, delivered, raw, raw_sql, shaped_sql
+from .fixtures import KEY_OF_PROPS, RAW, SHAPED, delivered, raw, raw_sql, shaped_sql
 from .registry import Tables, query
 
 # The tables are read as one long backlog in no particular order of time, so the
@@ -115,14 +115,14 @@ def _(t):
 @query("stream_interval_join", f"""
     select p.post_id, e.event_id, e.event_type
     from {shaped_sql('posts')} p
-    join (select event_id, event_type, ts, regexp_extract(props, '([0-9]+)', 1) as post_id from events) e
+    join (select event_id, event_type, ts, {KEY_OF_PROPS} as post_id from events) e
       on e.post_id = p.post_id and e.ts > p.posted_at and e.ts <= p.posted_at + interval 24 hour""")
 def _(t):
     columns = SHAPED["posts"][1]
     posts = table_stream(t, "documents").selectExpr(
         f"{columns['post_id']} as post_id", f"{columns['posted_at']} as posted_at")
     engaged = table_stream(t, "events").selectExpr(
-        "event_id", "event_type", "ts", "regexp_extract(props, '([0-9]+)', 1) as post_id")
+        "event_id", "event_type", "ts", f"{KEY_OF_PROPS} as post_id")
     pairs = stream_interval_join(posts, engaged, ["post_id"], "posted_at", "ts",
                                  delay=BACKLOG_DELAY, spread="event_id")
     return drain_append(pairs.select("post_id", "event_id", "event_type"), "pairs")

@@ -24,7 +24,7 @@ from feedforge.sources.schemas import CLEAN_KEYS, NARROW
 from feedforge.sources.workdir import work_dir
 from feedforge.sources.writers import replace_table, write_partitions
 
-from . import gold, silver
+from . import gold, marts, silver
 
 
 def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str | None = None,
@@ -116,3 +116,33 @@ def build_gold(spark: SparkSession, silver_root: str, target: str, check: bool =
     if check:
         enforce(read_table(spark, f"{target}/fact_engagements"), suites.GOLD_FACT_ENGAGEMENTS)
         enforce(read_table(spark, f"{target}/fact_post_metrics"), suites.GOLD_FACT_POST_METRICS)
+
+
+def build_marts(spark: SparkSession, silver_root: str, gold_root: str, target: str,
+                top_tags: int = 20, top_posts: int = 100) -> None:
+    """Rebuild the reports and the user history from Silver and Gold."""
+    pin_utc(spark)
+    facts = read_table(spark, f"{gold_root}/fact_engagements")
+    posts = read_table(spark, f"{gold_root}/dim_posts")
+    tweets = read_table(spark, f"{silver_root}/tweets")
+    daily_path = f"{target}/daily_engagements"
+    replace_table(gold.daily_engagements(facts, "engagement_timestamp"), daily_path)
+    daily = read_table(spark, daily_path)  # read by three reports
+    tag_days = marts.tag_days_of_posts(daily, read_table(spark, f"{gold_root}/post_hashtags"))
+    mentions = tweets.select("platform", F.explode("mentions").alias("brand"))
+    calendar = read_table(spark, f"{gold_root}/dim_date")
+    tables = {
+        "daily_active_users": marts.daily_active_users(facts, "engaging_user_id", "engagement_timestamp"),
+        "post_reach": marts.post_reach(facts, list(gold.POST_KEY), "engaging_user_id"),
+        "eod_cumulative": marts.eod_cumulative(daily),
+        "fact_post_metrics_daily": gold.fact_post_metrics_daily(posts, daily),
+        "trending_hashtags": marts.trending_tags(tag_days, top_tags),
+        "share_of_voice": marts.share_of_voice(mentions),
+        "monthly_rollup": marts.monthly_rollup(facts, calendar, "engagement_value"),
+        "top_posts": marts.top_posts(posts, top_posts).select(
+            "post_sk", *gold.POST_KEY, "total_engagement", "engagement_tier", "rank"),
+        "dim_users": marts.dim_users(tweets, ["user_account_type", "user_is_verified"], at="created_at",
+                                     tie_break=("ingested_at", "tweet_id")),
+    }
+    for name, df in tables.items():
+        replace_table(df, f"{target}/{name}")

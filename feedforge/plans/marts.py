@@ -30,6 +30,14 @@ def tag_days(tagged: DataFrame, at: str, value: str) -> DataFrame:
             .groupBy("tag", "day").agg(F.sum("_v").alias("engagement"), F.count(F.lit(1)).alias("mentions")))
 
 
+def tag_days_of_posts(daily: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Engagement per (tag, day) from daily engagement per post and the post-tag
+    bridge. The engagements were counted per post and day before the join."""
+    tagged = daily.join(bridge.select("post_id", "platform", "hashtag"), ["post_id", "platform"])
+    return tagged.groupBy(F.col("hashtag").alias("tag"), F.col("metric_date").alias("day")).agg(
+        F.sum("total_engagements").alias("engagement"), F.count(F.lit(1)).alias("mentions"))
+
+
 def hashtag_totals(tagged: DataFrame, value: str, count: str | None = None) -> DataFrame:
     """Mentions and engagement per tag.
 

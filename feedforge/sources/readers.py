@@ -62,10 +62,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def on_day(day: date) -> Column:
-    return (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
-
-
 def days_between(start: date, end: date) -> Column:
     """Partition filter for ``start..end``.
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedforge.operators.quality import QualityGateError
-from feedforge.plans.jobs import build_gold, run_silver
+from feedforge.plans.jobs import build_gold, build_marts, run_silver
 from feedforge.sources.readers import (
     backfill_range, check_range, days_between, missing_days, path_exists, read_landing_array,
     read_raw, read_raw_days,
@@ -186,6 +186,20 @@ def test_silver_then_gold(spark, bronze, tmp_path):
     tags = {r["hashtag"] for r in spark.read.parquet(f"{gold}/dim_hashtags").collect()}
     assert tags == {"spark", "data"}
 
+    mart = str(tmp_path / "marts")
+    build_marts(spark, silver, gold, mart)
+    users = spark.read.parquet(f"{mart}/daily_active_users").first()
+    assert (str(users["activity_date"]), users["active_users"], users["n_events"]) == ("2024-01-16", 4, 12)
+    reach = {r["post_id"]: r["reach"] for r in spark.read.parquet(f"{mart}/post_reach").collect()}
+    assert reach == {UUIDS[i]: 3 if i < 2 else 2 for i in range(5)}
+    trend = {r["tag"]: r["rolling_engagement"] for r in spark.read.parquet(f"{mart}/trending_hashtags").collect()}
+    assert trend == {"spark": 5, "data": 5}
+    history = spark.read.parquet(f"{mart}/dim_users")
+    assert history.filter("is_current").count() == history.count() == 3
+    assert spark.read.parquet(f"{mart}/monthly_rollup").filter("level = 3").first()["n_rows"] == 12
+    for name in ("eod_cumulative", "fact_post_metrics_daily", "top_posts"):
+        assert spark.read.parquet(f"{mart}/{name}").count() > 0
+
 
 def test_silver_gate_blocks(spark, tmp_path):
     day = "year=2024/month=01/day=15/hour=10"
