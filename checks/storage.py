@@ -155,7 +155,7 @@ _MANIFEST = {
 
 @query("retention_candidates", f"""
     select url as path, length(html) as length, {Q.stamp(_MANIFEST['modificationTime'])} as "modificationTime"
-    from pages where page_id % 30 < 13 and page_id in (select doc_id from labels)""")
+    from pages where {_MANIFEST['modificationTime']} < timestamp '2024-01-14' and page_id in (select doc_id from labels)""")
 def _(t):
     manifest = t.pages.selectExpr(*[f"{e} as {c}" for c, e in _MANIFEST.items()])
     done = t.pages.join(t.labels.select(F.col("doc_id").alias("page_id")), "page_id", "left_semi") \

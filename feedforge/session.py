@@ -12,6 +12,8 @@ SETTINGS = {
     # Split a hot join key even where the split costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Jobs here run many different plans; keep their generated code.
+    "spark.sql.codegen.cache.maxEntries": "1000",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -4,12 +4,13 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from feedforge.sources.schemas import LANDING, TOPICS
 from feedforge.sources.workdir import work_dir
 from feedforge.streaming.ingest import (
-    Counters, decode, file_messages, ingest_landing, ingest_new_files, run_for, stream_ingest,
+    Counters, decode, file_messages, ingest_landing, ingest_new_files, kafka_messages, run_for, stream_ingest,
     topic_batch_writer,
 )
 from feedforge.streaming.stateful import (
@@ -110,6 +111,11 @@ def test_dry_run_writes_nothing(spark, tmp_path):
     assert counters.records_written == 1 and not (tmp_path / "b").exists()
 
 
+def test_the_broker_needs_its_connector(spark):
+    with pytest.raises(AnalysisException, match="kafka"):
+        kafka_messages(spark, "broker:9092")
+
+
 def test_decode_keeps_the_text(spark):
     df = spark.createDataFrame([(TOPICS[0].name, '{"tweet_id": "a"}'), ("other", "{}")], "topic string, value string")
     rows = decode(df, TOPICS[0]).collect()
