@@ -97,7 +97,8 @@ PAIRS = {
 
 
 def results_of(t: Tables, layer: str) -> DataFrame:
-    used = {name: t.stored(TABLES_DF[name](t), name) for name in dict.fromkeys(n for n, _ in PAIRS[layer])}
+    names = dict.fromkeys(n for n, _ in PAIRS[layer])
+    used = {name: t.stored(TABLES_DF[name](t), name) for name in names}
     return reduce(DataFrame.unionByName, [K.run_suite(used[n], s, samples=False) for n, s in PAIRS[layer]])
 
 

@@ -17,6 +17,11 @@ def file_manifest(spark: SparkSession, root: str, pattern: str = "*.json") -> Da
             .select("path", "length", "modificationTime"))
 
 
+def processed_files(bronze: DataFrame) -> DataFrame:
+    """Files that reached Bronze, from the lineage of its rows."""
+    return bronze.select(F.col("source_file").alias("path")).distinct()
+
+
 def retention_candidates(manifest: DataFrame, processed: DataFrame, as_of: date | Column,
                          keep_days: int = KEEP_DAYS) -> DataFrame:
     """Files already processed and last changed before the cutoff day.

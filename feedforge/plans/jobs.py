@@ -26,6 +26,8 @@ from feedforge.sources.writers import replace_table, write_partitions
 
 from . import gold, marts, silver
 
+JOB = "bronze_to_silver"
+
 
 def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str | None = None,
                end: date | str | None = None, check: bool = True,
@@ -38,7 +40,8 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
     run cannot touch a day it did not read. With ``quarantine``, rows without
     their keys are kept in a folder of that name, per entity and day.
 
-    Returns one row that sums the run up.
+    Without a single raw tweet in the range nothing is done. Returns one row
+    that sums the run up.
     """
     pin_utc(spark)
     yesterday = datetime.now(timezone.utc).date() - timedelta(days=1)
@@ -49,6 +52,8 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
                             only=NARROW.get(name), lineage=name.startswith("twitter"))
         for name in ("twitter.tweets", "twitter.engagements", "youtube.videos", "reddit.posts")
     }
+    if raw["twitter.tweets"].isEmpty():
+        return run_summary(spark, run_id, JOB, "silver", began, 0, 0, 0, 0)
     if quarantine:
         for name, keys in CLEAN_KEYS.items():
             _, rejected = reject_split(raw[name], keys)
@@ -62,11 +67,13 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
     def store(df: DataFrame, entity: str) -> int:
         return write_partitions(df, f"{target}/{entity}", rebalance=first < last)
 
-    written = store(silver.clean_tweets(raw["twitter.tweets"], run_id, within=DAY_COLUMNS), "tweets")
+    cleaned = silver.clean_tweets(raw["twitter.tweets"], run_id, within=DAY_COLUMNS)
+    written = store(cleaned, "tweets")
     written += store(silver.clean_engagements(raw["twitter.engagements"], run_id, within=DAY_COLUMNS),
                      "engagements")
     # The tweets are read back as written rather than cleaned a second time.
-    tweets = read_table(spark, f"{target}/tweets").filter(days_between(first, last))
+    tweets = (spark.read.schema(cleaned.schema).parquet(f"{target}/tweets")
+              .filter(days_between(first, last)))
     posts = silver.posts_unified(tweets, raw["youtube.videos"], raw["reddit.posts"], run_id,
                                  within=DAY_COLUMNS)
     written += store(posts, "posts")
@@ -74,7 +81,7 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
         gate, keyed = _per_day(suites.QUICK_SILVER_TWEETS, tweets, "tweet_id")
         enforce(keyed, gate)
     return run_summary(
-        spark, run_id, "bronze_to_silver", "silver", began,
+        spark, run_id, JOB, "silver", began,
         read=sum(o.get["read"] for o in seen.values()), written=written,
         rejected=sum(o.get["rejected"] for o in seen.values()), files=0)
 

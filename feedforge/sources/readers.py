@@ -30,13 +30,17 @@ def read_raw_days(spark: SparkSession, root: str, entity: str, start: date, end:
     """Days ``start..end`` of a Hive-partitioned raw table, in one scan.
 
     The day columns are kept (writers reuse them as partitions); deeper ones
-    such as the hour are left out. The filter is on partition columns, so other
-    days are never listed into the scan.
+    such as the hour are left out. The filter is on partition columns, so files
+    of other days are not read. A source that never delivered anything is empty.
     """
     schema = raw_schema(entity, only, lineage)
-    partitions = [T.StructField(c, T.IntegerType()) for c in DAY_COLUMNS]
-    table = (spark.read.schema(T.StructType(schema.fields + partitions))
-             .option("basePath", root).json(root))
+    full = T.StructType(schema.fields + [T.StructField(c, T.IntegerType()) for c in DAY_COLUMNS])
+    try:
+        table = spark.read.schema(full).option("basePath", root).json(root)
+    except AnalysisException as e:
+        if not _is_missing(e):
+            raise
+        table = spark.createDataFrame([], full)
     return table.filter(days_between(start, end)).select(*schema.fieldNames(), *DAY_COLUMNS)
 
 
@@ -56,12 +60,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.option("recursiveFileLookup", "true").text(path)
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
+        if _is_missing(e):
             return False
         raise
     return True
 
 
+def _is_missing(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def days_between(start: date, end: date) -> Column:
     """Partition filter for ``start..end``.
 

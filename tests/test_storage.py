@@ -201,6 +201,15 @@ def test_silver_then_gold(spark, bronze, tmp_path):
         assert spark.read.parquet(f"{mart}/{name}").count() > 0
 
 
+def test_silver_without_data_is_skipped(spark, bronze, tmp_path):
+    empty = run_silver(spark, str(bronze), str(tmp_path / "s"), "2023-05-01").first()
+    assert empty["records_read"] == 0 and not (tmp_path / "s").exists()
+    only_tweets = tmp_path / "only"
+    put(only_tweets / "twitter/tweets/year=2024/month=01/day=15/hour=10", [tweet(1, "2024-01-15T10:00:00Z")])
+    done = run_silver(spark, str(only_tweets), str(tmp_path / "s"), "2024-01-15").first()
+    assert (done["records_read"], done["records_written"]) == (1, 2)
+
+
 def test_silver_gate_blocks(spark, tmp_path):
     day = "year=2024/month=01/day=15/hour=10"
     for entity in ("twitter/engagements", "youtube/videos", "reddit/posts"):

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from feedforge.operators.retention import file_manifest, processed_files, retention_candidates
 from feedforge.sources.schemas import LANDING, TOPICS
 from feedforge.sources.workdir import work_dir
 from feedforge.streaming.ingest import (
@@ -54,6 +55,9 @@ def test_landing_files_are_ingested_once(spark, tmp_path):
     assert {r["video_id"] for r in rows.collect()} == {"v1", "v2", "v4"}
     assert {r["batch_id"] for r in rows.collect()} == {"r1", "r4"}
     assert rows.filter("hour != 3 or not source_file like '%.json'").count() == 0
+    manifest = file_manifest(spark, str(landing))
+    expired = retention_candidates(manifest, processed_files(rows), date.today() + timedelta(days=9))
+    assert expired.count() == 2
     assert ingest_new_files(*args, "r5", reprocess=True) == Counters(4, 3, 1, 2)
     assert spark.read.json(f"{bronze}/{VIDEOS.path}").count() == 6
     letters = spark.read.json(f"{bronze}/_dead_letters/{VIDEOS.path}")
