@@ -41,7 +41,8 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
     their keys are kept in a folder of that name, per entity and day.
 
     Without a single raw tweet in the range nothing is done. Returns one row
-    that sums the run up.
+    that sums the run up: rows written are exact, rows read and rejected are
+    counted at the scan and may include rows of a task that had to be repeated.
     """
     pin_utc(spark)
     yesterday = datetime.now(timezone.utc).date() - timedelta(days=1)

@@ -49,11 +49,11 @@ def write_partitions(df: DataFrame, path: str, partitions: Sequence[str] = DAY_C
     """
     derivable = [p for p in partitions if p in HOUR_COLUMNS]
     laid_out = with_time_parts(df, at, derivable) if at in df.columns else df
-    seen = Observation()
-    counted = laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
     if rebalance:
-        counted = counted.hint("rebalance", *[F.col(p) for p in partitions])
-    (counted.write.mode(mode)
+        laid_out = laid_out.hint("rebalance", *[F.col(p) for p in partitions])
+    seen = Observation()  # last before the write, where a repeated task counts once
+    (laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
+     .write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partitions).parquet(path))
     return seen.get["rows"]
