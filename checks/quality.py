@@ -16,7 +16,7 @@ from feedforge.plans import gold
 
 from . import sqltext as Q
 from .fixtures import raw, raw_sql, shaped, shaped_sql
-from .gold import enriched, fact, post_metrics
+from .gold import enriched, fact, post_metrics, staged
 from .registry import Tables, query
 from .silver import engagements, tweets
 
@@ -73,14 +73,19 @@ TABLES_SQL = {
     "dim_date": Q.DIM_DATE,
     "dim_posts": Q.DIM_POSTS,
 }
+def stored_staged(t: Tables) -> DataFrame:
+    """Staged engagements, read by both facts."""
+    return t.stored(staged(t), "staged-engagements")
+
+
 TABLES_DF = {
     "bronze_tweets": lambda t: raw(t, "tweets"),
     "bronze_engagements": lambda t: raw(t, "engagements"),
     "tweets": tweets,
     "engagements": engagements,
     "posts": lambda t: shaped(t, "posts"),
-    "fact_engagements": fact,
-    "fact_post_metrics": post_metrics,
+    "fact_engagements": lambda t: fact(t, stored_staged),
+    "fact_post_metrics": lambda t: post_metrics(t, stored_staged),
     "dim_date": lambda t: dim_date(t.spark),
     "dim_posts": lambda t: gold.dim_posts(enriched(t)),
 }

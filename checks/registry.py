@@ -23,15 +23,19 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self.written: dict[str, DataFrame] = {}
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         """A derived table as a pipeline would find it: written, then read.
 
-        Its size is then known to the planner from the files.
+        Its size is then known to the planner from the files. Within one query
+        a name is written once.
         """
-        path = work_dir(self.spark, name)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
+        if name not in self.written:
+            path = work_dir(self.spark, name)
+            df.write.parquet(path)
+            self.written[name] = self.spark.read.schema(df.schema).parquet(path)
+        return self.written[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         """A given table; its schema is read from the file once per application."""

@@ -151,8 +151,9 @@ def _absent(no: int, rule: Rule) -> Column:
 def _rate_rules(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
     """Everything that needs no distinct keys: one aggregate, one row, then unpivoted."""
     measures = {"_n": F.count(F.lit(1))}
+    present = set(df.columns)
     for no, rule in rules:
-        if rule.column in df.columns and rule.kind != "exists":
+        if rule.column in present and rule.kind != "exists":
             measures[f"_pass_{no}"] = _passes(rule)
             if rule.kind in ("between", "regex"):  # nulls are left out of the share
                 measures[f"_of_{no}"] = F.count(rule.column)
@@ -163,7 +164,7 @@ def _rate_rules(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
             n = F.col("_n")
             rows.append(_result(no, rule, _in_range(n, rule.low, rule.high), n,
                                 F.concat(n.cast("string"), F.lit(" rows"))))
-        elif rule.column not in df.columns:
+        elif rule.column not in present:
             rows.append(_absent(no, rule))
         elif rule.kind == "exists":
             rows.append(_result(no, rule, F.lit(True), F.lit(1.0), F.lit("")))
@@ -221,18 +222,18 @@ def offending_values(df: DataFrame, rules: list[tuple[int, Rule]], k: int = SAMP
 
 def run_suite(df: DataFrame, suite: Suite, samples: bool = True) -> DataFrame:
     """One row per rule: success, observed rate, expectation, details."""
-    numbered = list(enumerate(suite.rules))
+    present = set(df.columns)
     keyed: dict[str, list[tuple[int, Rule]]] = {}
     plain: list[tuple[int, Rule]] = []
-    for no, rule in numbered:
-        if rule.kind in KEYED and rule.column in df.columns:
+    for no, rule in enumerate(suite.rules):
+        if rule.kind in KEYED and rule.column in present:
             keyed.setdefault(rule.column, []).append((no, rule))
         else:
             plain.append((no, rule))
     parts = [_rate_rules(df, plain)] if plain else []
     parts += [_keyed_rules(df, column, rules) for column, rules in keyed.items()]
     results = reduce(DataFrame.unionByName, parts)
-    sets = [(no, r) for no, r in plain if r.kind == "in_set" and r.column in df.columns]
+    sets = [(no, r) for no, r in plain if r.kind == "in_set" and r.column in present]
     if samples and sets:
         results = results.join(offending_values(df, sets), "rule_no", "left").withColumn(
             "details", F.when(F.col("samples").isNotNull(),
