@@ -21,7 +21,8 @@ def _starred(links: DataFrame, larger: bool) -> DataFrame:
     else:
         near = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = near.groupBy("u").agg(F.min("v").alias("least"))
-    least = least.withColumn("least", F.least("u", "least"))
+    # Read from files, so that the join can split a node with very many links.
+    least = stored(least.withColumn("least", F.least("u", "least")), "least")
     joined = near.join(least, "u")
     moved = joined.where("v > u" if larger else "v <> least").select(
         F.col("v").alias("u"), F.col("least").alias("v"))

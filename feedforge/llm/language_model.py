@@ -74,10 +74,11 @@ def contexts(words: np.ndarray) -> np.ndarray:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of numbers as compressed bytes."""
+    """Arrays of numbers as compressed bytes, bytes of equal weight side by side."""
     parts = [struct.pack("<H", len(arrays))]
     for a in arrays:
-        parts += [struct.pack("<2sQ", a.dtype.str[1:].encode(), len(a)), a.tobytes()]
+        planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T
+        parts += [struct.pack("<2sQ", a.dtype.str[1:].encode(), len(a)), planes.tobytes()]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
@@ -87,7 +88,8 @@ def unpack(data: bytes) -> list[np.ndarray]:
     for _ in range(struct.unpack_from("<H", raw)[0]):
         kind, n = struct.unpack_from("<2sQ", raw, at)
         dtype = np.dtype("<" + kind.decode())
-        out.append(np.frombuffer(raw, dtype, n, at + 10))
+        planes = np.frombuffer(raw, np.uint8, n * dtype.itemsize, at + 10).reshape(dtype.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).view(dtype).ravel())
         at += 10 + n * dtype.itemsize
     return out
 
@@ -176,8 +178,8 @@ def dealt(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out_bucket, pa.int32()), pa.array(out_part, pa.binary())], ["bucket", "part"])
 
-    return rows.select("row", "doc_id", "train", "text").select(
-        "row", "doc_id", "train", "text").mapInArrow(deal, "bucket int, part binary")
+    return rows.select("row", "doc_id", "train", "text").mapInArrow(
+        deal, "bucket int, part binary")
 
 
 def merged(parts: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -187,7 +189,7 @@ def merged(parts: list[bytes]) -> tuple[np.ndarray, ...]:
         w, per_word, c, per_pair, d, n, row, doc_id, flag = unpack(data)
         words.append(np.repeat(np.repeat(w, per_word), per_pair))
         contexts_.append(np.repeat(c, per_pair))
-        docs.append(d.astype(np.int64) + sum(map(len, rows)))
+        docs.append(d + np.uint32(sum(map(len, rows))))
         times.append(n)
         rows.append(row)
         ids.append(doc_id)
@@ -199,7 +201,7 @@ def merged(parts: list[bytes]) -> tuple[np.ndarray, ...]:
     start = runs(word, context)
     pair = np.repeat(np.arange(len(start)), np.diff([*start, len(word)]))
     count = np.bincount(pair, weights=n * (flag[doc] & 1), minlength=len(start)).astype(np.int64)
-    return word[start], context[start], count, pair.astype(np.uint32), doc.astype(np.uint32), n, np.concatenate(rows), np.concatenate(ids), flag
+    return word[start], context[start], count, pair.astype(np.uint32), doc, n, np.concatenate(rows), np.concatenate(ids), flag
 
 
 def bucket_rows(parts: DataFrame, buckets: int) -> DataFrame:
@@ -214,7 +216,7 @@ def bucket_rows(parts: DataFrame, buckets: int) -> DataFrame:
             word, context, count, pair, doc, n, row, doc_id, flag = merged(held.pop(b))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b], pa.int32()), pa.array([pack(word, context, count)], pa.binary()),
-                 pa.array([pack(pair, doc, n, row, doc_id, flag)], pa.binary())], ["bucket", "pairs", "entries"])
+                 pa.array([pack(np.diff(pair, prepend=pair[:1]), doc, n, row, doc_id, flag)], pa.binary())], ["bucket", "pairs", "entries"])
 
     return parts.repartition(buckets, "bucket").mapInArrow(gather, "bucket int, pairs binary, entries binary")
 
@@ -376,7 +378,8 @@ def scored(buckets: DataFrame, state: State, counts: dict[int, int], total: int)
                     c = np.array([hot_counts.get(w, n) for w, n in zip(own.word.tolist(), c.tolist())])
                 base = np.log10((c + 0.5) / (total + 0.5 * (shared.known + 1)))[own.of]
                 known = (c > 0)[own.of]
-                pair, doc, n, row, doc_id, flag = unpack(entries)
+                step, doc, n, row, doc_id, flag = unpack(entries)
+                pair = np.cumsum(step, dtype=np.int64)
                 of_doc = lambda v: np.bincount(doc, weights=v, minlength=len(row))  # noqa: E731,B023
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row), pa.array(doc_id, mask=(flag & 2) > 0), pa.array(of_doc(n).astype(np.int64)),

@@ -163,5 +163,6 @@ def near_duplicates(documents: DataFrame, threshold: int = 3) -> DataFrame:
     joined = roots.join(least, "root").select("fp", "component_id")
     named = distinct.join(joined, "fp", "left").select(
         "fp", F.coalesce("component_id", "first").alias("component_id"))
+    named = stored(named, "named")  # read from files, so that a hot fingerprint can be split in the join
     return fps.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -88,10 +88,11 @@ def document_spans(documents: DataFrame) -> DataFrame:
 def repeated_sentences(documents: DataFrame) -> DataFrame:
     """(doc_id, covered): spans (first, size) of a document that occurred before."""
     found = stored(document_spans(documents), "spans")
-    often = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # Aggregates are read from files, so that joins can split a hot hash.
+    often = stored(found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "often")
     hits = stored(found.join(often, "hash"), "repeated-spans")
     place = F.struct("doc_id", "first")
-    origin = hits.groupBy("hash").agg(F.min(place).alias("origin"))
+    origin = stored(hits.groupBy("hash").agg(F.min(place).alias("origin")), "origins")
     later = hits.join(origin, "hash").where(place > F.col("origin"))
     return later.groupBy("doc_id").agg(F.collect_set(F.struct("first", "size")).alias("covered"))
 
