@@ -18,7 +18,7 @@ by word and context, so that no word fills a bucket. A bucket holds all pairs of
 words, as one row of packed numbers: the counts in training, and the documents that
 need them. Buckets are sampled independently given the table counts of the
 restaurants (RESTAURANTS numbers), which are summed up after every round. Scores
-come back as one partial sum per document and bucket. Per-task counts are summed
+come back as partial sums per document, packed. Per-task counts are summed
 before each shuffle, and nothing that grows with the corpus reaches the driver.
 
 Defined results: a null text is an empty one and has the end token only. Documents
@@ -46,7 +46,8 @@ DISCOUNT, STRENGTH = 0.75, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 GROUP = 32
 ROUNDS, SWEEPS, SAMPLES = 2, 2, 2
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 1_000_000
+GROUP_SHIFT = 33  # fixed: monotonically_increasing_id has the partition above bit 33
 HOT_SHARE = 4  # a word with over 1 / (HOT_SHARE * buckets) of the tokens is dealt by context
 END = np.uint64(0x5D3A4E8B1F6C2907)
 START = np.uint64(0x27C1B0A94D85E3F6)
@@ -194,7 +195,13 @@ def merged(parts: list[bytes]) -> tuple[np.ndarray, ...]:
         rows.append(row)
         ids.append(doc_id)
         flags.append(flag)
-    word, context, doc, n = (np.concatenate(x) for x in (words, contexts_, docs, times))
+    columns = [words, contexts_, docs, times]
+    del words, contexts_, docs, times
+    for i, x in enumerate(columns):  # one by one, to hold little at a time
+        columns[i] = np.concatenate(x)
+        x.clear()
+    word, context, doc, n = columns
+    del columns
     flag = np.concatenate(flags)
     order = np.lexsort((context, word))
     word, context, doc, n = word[order], context[order], doc[order], n[order]
@@ -360,7 +367,11 @@ def round_of(buckets: DataFrame, state: State, number: int, hot: np.ndarray) ->
 # --- scores -----------------------------------------------------------------------
 
 def scored(buckets: DataFrame, state: State, counts: dict[int, int], total: int) -> DataFrame:
-    """(row, doc_id, n_tokens, n_known, base_score, score) of every document."""
+    """(doc_id, n_tokens, n_known, base_score, score) of every document.
+
+    A bucket returns its partial sums packed by the input partition of the documents
+    (the upper bits of their row numbers), and these are added up per partition.
+    """
     sent = buckets.sparkSession.sparkContext.broadcast((state, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,14 +392,32 @@ def scored(buckets: DataFrame, state: State, counts: dict[int, int], total: int)
                 step, doc, n, row, doc_id, flag = unpack(entries)
                 pair = np.cumsum(step, dtype=np.int64)
                 of_doc = lambda v: np.bincount(doc, weights=v, minlength=len(row))  # noqa: E731,B023
+                values = [of_doc(n).astype(np.int64), of_doc(n * known[pair]).astype(np.int64),
+                          of_doc(n * base[pair]), of_doc(n * np.log10(mean)[pair])]
+                groups = row >> GROUP_SHIFT
+                names = np.unique(groups)
+                parts = [pack(*(v[groups == g] for v in (row, doc_id, flag, *values))) for g in names]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row), pa.array(doc_id, mask=(flag & 2) > 0), pa.array(of_doc(n).astype(np.int64)),
-                     pa.array(of_doc(n * known[pair]).astype(np.int64)), pa.array(of_doc(n * base[pair])),
-                     pa.array(of_doc(n * np.log10(mean)[pair]))],
-                    ["row", "doc_id", "n_tokens", "n_known", "base_score", "score"])
+                    [pa.array(names), pa.array(parts, pa.binary())], ["group", "part"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for g, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held.setdefault(g, []).append(part)
+        for g in list(held):
+            parts = list(zip(*map(unpack, held.pop(g))))
+            row, first, at = np.unique(np.concatenate(parts[0]), return_index=True, return_inverse=True)
+            doc_id, flag = np.concatenate(parts[1])[first], np.concatenate(parts[2])[first]
+            sums = [np.bincount(at, weights=np.concatenate(p), minlength=len(row)) for p in parts[3:]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc_id, mask=(flag & 2) > 0), *(pa.array(v.astype(np.int64)) for v in sums[:2]),
+                 *(pa.array(v) for v in sums[2:])],
+                ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    parts = buckets.mapInArrow(run, "row long, doc_id long, n_tokens long, n_known long, base_score double, score double")
-    return parts.groupBy("row", "doc_id").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
+    parts = buckets.mapInArrow(run, "group long, part binary")
+    return parts.repartition("group").mapInArrow(
+        add, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
 def score_texts(documents: DataFrame, folds: int = 5, held_out_fold: int = 1) -> DataFrame:
