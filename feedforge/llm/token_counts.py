@@ -50,7 +50,7 @@ def attribute(ends: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarr
     ``ends`` are the end offsets of consecutive tokens from 0, ``starts`` the
     begins of the sections; ``size`` is the length of the text.
     """
-    begins = np.concatenate([[0], ends[:-1]])
+    begins = np.concatenate([[0], ends])[:len(ends)]
     first = np.searchsorted(starts, begins, side="right") - 1
     last = np.searchsorted(starts, np.maximum(ends - 1, begins), side="right") - 1
     section, bounds = first.copy(), np.append(starts, size)
