@@ -30,6 +30,12 @@ def part_totals(t: Tables):
         F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
 
 
+# A tag counts on a day for what it had on that day and the six before.
+_ROLLED = """(select tag, cast(day + ahead as date) as day, sum(case when ahead = 0 then engagement else 0 end) as engagement,
+    sum(engagement) as rolling_engagement
+    from (select tag, day, cast(sum(quantity) as bigint) as engagement from {tagged} x group by 1, 2) d,
+      (select unnest(range(7))::int as ahead) a group by 1, 2)"""
+
 _TAGGED = """(select unnest(string_split(p_name, ' ')) as tag, cast(l_shipdate as date) as day,
     cast(l_quantity as bigint) as quantity from lineitem join part on l_partkey = p_partkey)"""
 
@@ -42,15 +48,16 @@ def _(t):
 
 @query("trending_tags_7d", f"""
     select cast(day as varchar) as day, tag, engagement, rolling_engagement, rank from (
-      select *, rank() over (partition by day order by rolling_engagement desc) as rank from (
-        select *, cast(sum(engagement) over (partition by tag order by day
-            range between interval 6 day preceding and current row) as bigint) as rolling_engagement
-        from (select tag, day, cast(sum(quantity) as bigint) as engagement from {_TAGGED} x group by 1, 2) d) r) k
+      select day, tag, engagement::bigint as engagement, rolling_engagement::bigint as rolling_engagement,
+        rank() over (partition by day order by rolling_engagement desc) as rank
+      from {_ROLLED.format(tagged=_TAGGED)} r
+      where day <= (select max(cast(l_shipdate as date)) from lineitem join part on l_partkey = p_partkey)) k
     where rank <= {TOP_TAGS}""")
 def _(t):
-    lines = t.lineitem.select("l_partkey", "l_shipdate", F.col("l_quantity").cast("bigint").alias("quantity"))
+    per_day = t.lineitem.groupBy("l_partkey", F.to_date("l_shipdate").alias("day")).agg(
+        F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
     return marts.trending_tags(
-        marts.tag_days(lines.join(part_tags(t), "l_partkey"), "l_shipdate", "quantity"), TOP_TAGS)
+        marts.tag_days(per_day.join(part_tags(t), "l_partkey"), "day", "quantity"), TOP_TAGS)
 
 
 @query("daily_active_users", """
@@ -60,9 +67,17 @@ def _(t):
     return marts.daily_active_users(t.events, "user_id", "ts")
 
 
-@query("daily_active_users_approx")
+@query("daily_active_users_approx", """
+    select cast(cast(ts as date) as varchar) as activity_date, count(*) as n_events, true as within_error
+    from events group by 1""")
 def _(t):
-    return marts.daily_active_users(t.events, "user_id", "ts", approximate=True)
+    # Three standard errors of the sketch (5 % each), at least two users.
+    near = marts.daily_active_users(t.events, "user_id", "ts", approximate=True)
+    exact = marts.daily_active_users(t.events, "user_id", "ts").select(
+        "activity_date", F.col("active_users").alias("exact"))
+    gap = F.abs(F.col("active_users") - F.col("exact"))
+    return near.join(exact, "activity_date").select(
+        "activity_date", "n_events", (gap <= F.greatest(F.lit(2.0), 0.15 * F.col("exact"))).alias("within_error"))
 
 
 @query("share_of_voice", """
@@ -79,7 +94,7 @@ def _(t):
 @query("monthly_rollup", f"""
     select year, month, cast(grouping(year, month) as bigint) as level, count(*) as n_rows,
       round(sum(engagement_value), 4) as total_value
-    from {Q.FACT_ENGAGEMENTS} f join {Q.DIM_DATE} d on f.date_sk = d.date_sk
+    from {Q.FACT_ENGAGEMENTS} f left join {Q.DIM_DATE} d on f.date_sk = d.date_sk
     group by rollup(year, month)""")
 def _(t):
     return marts.monthly_rollup(fact(t), dim_date(t.spark), "engagement_value").withColumn(
@@ -142,14 +157,21 @@ def _(t):
 
 
 @query("snapshot_monotonic", """
-    select event_type, count(*) as n_rows, count(*) filter (where total < before) as n_falls, 0 as n_not_ascending
-    from (select event_type, total, lag(total) over (partition by event_type order by day) as before
-          from (select event_type, cast(ts as date) as day, count(*) as total from events group by 1, 2) d) x
+    select event_type, count(*) as n_rows, count(*) filter (where total < before) as n_falls,
+      count(*) filter (where day <= day_before) as n_not_ascending
+    from (select event_type, total, day, lag(total) over w as before, lag(day) over w as day_before
+          from (select event_type, cast(ts as date) as day, count(*) as total, max(event_id % 1009) * 100000
+                  + min(event_id) % 100000 as delivered
+                from events group by 1, 2) d
+          window w as (partition by event_type order by delivered, day)) x
     group by 1""")
 def _(t):
+    # The days of a type, delivered in an order that is not that of the days.
     per_day = t.events.groupBy("event_type", F.to_date("ts").alias("day")).agg(
-        F.count(F.lit(1)).alias("total"))
-    return series_violations(per_day, "event_type", "day", "total")
+        F.count(F.lit(1)).alias("total"),
+        (F.max(F.col("event_id") % 1009) * 100000 + F.min("event_id") % 100000).alias("delivered"))
+    return series_violations(per_day, "event_type", "day", "total",
+                             F.struct("delivered", "day"))
 
 
 @query("thread_depth", f"""
@@ -163,6 +185,6 @@ def _(t):
     from {shaped_sql('comments')} c left join walk w on c.post_id = w.post_id and c.comment_id = w.comment_id""")
 def _(t):
     walked = thread_depth(shaped(t, "comments").drop("body"), ["post_id"], "comment_id",
-                          "parent_comment_id", max_depth=7)
+                          "parent_comment_id")
     return walked.select("post_id", "comment_id", "depth", "recomputed_depth",
                          (F.col("recomputed_depth") == F.col("depth")).alias("matches"))

@@ -19,9 +19,14 @@ def orphan_keys(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> D
     return counted.join(known, list(on), "left_anti")
 
 
-def series_violations(daily: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """Per key: steps where a running value falls or a date does not ascend."""
-    steps = Window.partitionBy(key).orderBy(order)
+def series_violations(daily: DataFrame, key: str, order: str, value: str,
+                      sequence: str | Column | None = None) -> DataFrame:
+    """Per key: steps where a running value falls or a date does not ascend.
+
+    Steps follow ``sequence``, the order of delivery; without it they follow the
+    date, and only equal dates can be found.
+    """
+    steps = Window.partitionBy(key).orderBy(order if sequence is None else sequence)
     compared = daily.withColumns({
         "_prev_value": F.lag(value).over(steps),
         "_prev_order": F.lag(order).over(steps),

@@ -10,10 +10,18 @@ from pyspark.sql import functions as F
 
 def rolling_days(daily: DataFrame, keys: Sequence[str], day: str, value: str, days: int,
                  into: str) -> DataFrame:
-    """Sum over the last ``days`` calendar days; input has one row per key and day."""
-    number = F.unix_date(F.col(day))
-    span = Window.partitionBy(*keys).orderBy(number).rangeBetween(-(days - 1), 0)
-    return daily.withColumn(into, F.sum(value).over(span))
+    """Sum over the last ``days`` calendar days; input has one row per key and day.
+
+    Every row is spread over the days it counts for and summed there, so a key
+    keeps its sum on days of its own without a row. Days after the last day of
+    the input are left out. ``value`` is that of the day itself, 0 without a row.
+    """
+    last = daily.agg(F.max(day)).first()[0]
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(days - 1)))
+    spread = daily.select(*keys, day, F.col(value).alias("_v"), ahead.alias("_ahead"))
+    return spread.groupBy(*keys, F.date_add(F.col(day), F.col("_ahead")).alias(day)).agg(
+        F.sum(F.when(F.col("_ahead") == 0, F.col("_v")).otherwise(0)).alias(value),
+        F.sum("_v").alias(into)).where(F.col(day) <= F.lit(last))
 
 
 def running_total(daily: DataFrame, keys: Sequence[str], day: str, values: dict[str, str]) -> DataFrame:

@@ -40,8 +40,8 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
     run cannot touch a day it did not read. With ``quarantine``, rows without
     their keys are kept in a folder of that name, per entity and day.
 
-    Without a single raw tweet in the range nothing is done. Returns one row
-    that sums the run up: rows written are exact, rows read and rejected are
+    Every entity is processed on its own data, so a day without tweets still gets
+    its engagements and posts; a range without any raw row is left alone. Returns one row that sums the run up: rows written are exact, rows read and rejected are
     counted at the scan and may include rows of a task that had to be repeated.
     """
     pin_utc(spark)
@@ -53,7 +53,7 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
                             only=NARROW.get(name), lineage=name.startswith("twitter"))
         for name in ("twitter.tweets", "twitter.engagements", "youtube.videos", "reddit.posts")
     }
-    if raw["twitter.tweets"].isEmpty():
+    if all(df.isEmpty() for df in raw.values()):
         return run_summary(spark, run_id, JOB, "silver", began, 0, 0, 0, 0)
     if quarantine:
         for name, keys in CLEAN_KEYS.items():
@@ -78,7 +78,7 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
     posts = silver.posts_unified(tweets, raw["youtube.videos"], raw["reddit.posts"], run_id,
                                  within=DAY_COLUMNS)
     written += store(posts, "posts")
-    if check:
+    if check and seen["twitter.tweets"].get["read"]:
         gate, keyed = _per_day(suites.QUICK_SILVER_TWEETS, tweets, "tweet_id")
         enforce(keyed, gate)
     return run_summary(
@@ -137,7 +137,9 @@ def build_marts(spark: SparkSession, silver_root: str, gold_root: str, target: s
     replace_table(gold.daily_engagements(facts, "engagement_timestamp"), daily_path)
     daily = read_table(spark, daily_path)  # read by three reports
     tag_days = marts.tag_days_of_posts(daily, read_table(spark, f"{gold_root}/post_hashtags"))
-    mentions = tweets.select("platform", F.explode("mentions").alias("brand"))
+    # Silver keeps a tweet once per delivery day; it mentions a brand once.
+    delivered = tweets.select("tweet_id", "platform", "mentions", "ingested_at")
+    mentions = dedup_latest(delivered, ["tweet_id"]).select("platform", F.explode("mentions").alias("brand"))
     calendar = read_table(spark, f"{gold_root}/dim_date")
     tables = {
         "daily_active_users": marts.daily_active_users(facts, "engaging_user_id", "engagement_timestamp"),

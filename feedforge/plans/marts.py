@@ -74,10 +74,12 @@ def share_of_voice(mentions: DataFrame, brand: str = "brand", platform: str = "p
 def monthly_rollup(fact: DataFrame, calendar: DataFrame, value: str) -> DataFrame:
     """Totals per year and month with subtotals per year and overall.
 
-    The facts are summed per day before they meet the calendar.
+    The facts are summed per day before they meet the calendar. Facts whose day is
+    null or outside of the calendar have a null year and month at level 0, so the
+    overall total is that of all facts.
     """
     per_day = fact.groupBy("date_sk").agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_v"))
-    dated = per_day.join(calendar.select("date_sk", "year", "month"), "date_sk")
+    dated = per_day.join(calendar.select("date_sk", "year", "month"), "date_sk", "left")
     return dated.rollup("year", "month").agg(
         F.grouping_id().alias("level"), F.sum("_n").alias("n_rows"), F.sum("_v").alias("total_value"))
 

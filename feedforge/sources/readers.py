@@ -57,13 +57,9 @@ def read_table(spark: SparkSession, root: str, *columns: str) -> DataFrame:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is anything to read at a path."""
-    try:
-        spark.read.option("recursiveFileLookup", "true").text(path)
-    except AnalysisException as e:
-        if _is_missing(e):
-            return False
-        raise
-    return True
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
 
 
 def _is_missing(e: AnalysisException) -> bool:

@@ -23,19 +23,23 @@ def with_time_parts(df: DataFrame, ts_column: str, parts: Sequence[str]) -> Data
 
 
 def write_raw(df: DataFrame, path: str, at: str = "ingested_at",
-              max_records: int = MAX_RECORDS_PER_FILE, extra: Sequence[str] = (),
+              max_records: int = MAX_RECORDS_PER_FILE, load: str | None = None,
               mode: str = "append") -> int:
-    """NDJSON below ``path/year=YYYY/month=MM/day=DD/hour=HH``, bounded file length."""
+    """NDJSON below ``path/year=YYYY/month=MM/day=DD/hour=HH``, bounded file length.
+
+    With ``load`` everything goes below ``path/load=<load>/`` and replaces what an
+    earlier try of that load wrote, whatever its hours were.
+    """
     is_text = df.schema[at].dataType.simpleString() == "string"
     when = utc_timestamp(at) if is_text else F.col(at).cast("timestamp")
     laid_out = df.withColumns({part: F.date_format(when, shape) for part, shape in RAW_LAYOUT.items()})
     seen = Observation()
     (laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
-     .write.mode(mode)
+     .write.mode(mode if load is None else "overwrite")
      .option("maxRecordsPerFile", max_records)
-     .option("partitionOverwriteMode", "dynamic")
+     .option("partitionOverwriteMode", "dynamic" if load is None else "static")
      .option("ignoreNullFields", "false")
-     .partitionBy(*HOUR_COLUMNS, *extra).json(path))
+     .partitionBy(*HOUR_COLUMNS).json(path if load is None else f"{path}/load={load}"))
     return seen.get["rows"]
 
 

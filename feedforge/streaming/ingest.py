@@ -2,9 +2,9 @@
 
 Both use one pattern. A micro-batch is decoded, tagged and validated; valid
 rows go to the entity's Bronze folder, the rest to the dead-letter folder. The
-rows of a micro-batch land in a partition named after the stream and the batch
-number, written with dynamic overwrite, so a batch repeated after a failure
-replaces its own output and nothing else.
+rows of a micro-batch land in a folder named after the stream and the batch
+number, which is replaced as a whole, so a batch repeated after a failure replaces
+its own output, in whatever hour it is repeated, and nothing else.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ FLUSH_SECONDS = 30
 FLUSH_RECORDS = 10_000
 
 MOST_RECORDS = 20_000_000
+# Files are new if the checkpoint has not seen them, however old they are.
+ANY_AGE = "36500d"
 FILES_PER_BATCH = 256
 
 
@@ -67,7 +69,7 @@ def kafka_messages(spark: SparkSession, servers: str, topics: Sequence[Topic] =
 def file_messages(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """(topic, value) from NDJSON files; stands in for the broker."""
     return (spark.readStream.schema("topic string, value string")
-            .option("maxFilesPerTrigger", files_per_batch).json(path))
+            .option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE).json(path))
 
 
 def decode(messages: DataFrame, topic: Topic) -> DataFrame:
@@ -104,15 +106,25 @@ def _store(checked: DataFrame, bronze: str, path: str, topic: str, load: str,
         counts = checked.agg(F.count_if(is_valid()).alias("good"), F.count_if(~is_valid()).alias("bad")).first()
         written, rejected = counts["good"], counts["bad"]
     else:
-        written = write_raw(good.withColumn("load", F.lit(load)), f"{bronze}/{path}",
-                            extra=("load",), mode="overwrite")
-        rejected = write_raw(letters.withColumn("load", F.lit(load)), f"{bronze}/_dead_letters/{path}",
-                             at="failed_at", extra=("load",), mode="overwrite")
+        written = write_raw(good, f"{bronze}/{path}", load=load)
+        rejected = write_raw(letters, f"{bronze}/_dead_letters/{path}", at="failed_at", load=load)
     counters.records_written += written
     counters.records_rejected += rejected
     counters.records_read += written + rejected
 
 
+def _store_unknown(batch: DataFrame, bronze: str, load: str, counters: Counters,
+                   topics: Sequence[Topic], dry_run: bool) -> None:
+    """Messages of topics that nobody reads, or of none, become dead letters."""
+    known = F.coalesce(F.col("topic").isin(*[t.name for t in topics]), F.lit(False))
+    others = batch.filter(~known)
+    letters = dead_letter(others, F.col("topic"), F.lit("unknown topic"), message=F.col("value"))
+    rejected = others.count() if dry_run else \
+        write_raw(letters, f"{bronze}/_dead_letters/_unknown", at="failed_at", load=load)
+    counters.records_read += rejected
+    counters.records_rejected += rejected
+
+
 def topic_batch_writer(bronze: str, run_id: str, checkpoint: str, counters: Counters,
                        topics: Sequence[Topic] = TOPICS,
                        dry_run: bool = False) -> Callable[[DataFrame, int], None]:
@@ -125,6 +137,7 @@ def topic_batch_writer(bronze: str, run_id: str, checkpoint: str, counters: Coun
                 checked = validated(decode(batch, topic), topic.schema_key, run_id)
                 _store(checked, bronze, topic.path, topic.name, load_name(checkpoint, epoch),
                        counters, F.col("_message"), dry_run)
+            _store_unknown(batch, bronze, load_name(checkpoint, epoch), counters, topics, dry_run)
         finally:
             batch.unpersist()
 
@@ -174,7 +187,7 @@ def landing_stream(spark: SparkSession, landing: str, source: LandingSource,
     schema = raw_schema(source.schema_key) if source.schema_key else \
         spark.read.option("multiLine", True).json(path).schema
     return (spark.readStream.schema(schema).option("multiLine", True)
-            .option("maxFilesPerTrigger", files_per_batch).json(path)
+            .option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE).json(path)
             .select("*", F.col("_metadata.file_path").alias("source_file")))
 
 

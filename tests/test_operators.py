@@ -190,8 +190,19 @@ def test_thread_depth(spark):
             ("p", "x", "gone"), ("p", "m", "n"), ("p", "n", "m"), ("q", "a", None), ("q", "b", "a")]
     df = spark.createDataFrame(rows, "post string, id string, up string")
     got = {(r["post"], r["id"]): r["recomputed_depth"] for r in thread_depth(df, ["post"], "id", "up").collect()}
-    assert got == {("p", "a"): 0, ("p", "b"): 1, ("p", "c"): 2, ("p", "d"): 3, ("p", "e"): None,
+    assert got == {("p", "a"): 0, ("p", "b"): 1, ("p", "c"): 2, ("p", "d"): 3, ("p", "e"): 4,
                    ("p", "x"): None, ("p", "m"): None, ("p", "n"): None, ("q", "a"): 0, ("q", "b"): 1}
+    marks = {r["id"]: (r["recomputed_depth_missing"], r["recomputed_depth_cycle"])
+             for r in thread_depth(df, ["post"], "id", "up").where("post = 'p'").collect()}
+    assert marks["x"] == (True, False) and marks["m"] == marks["n"] == (False, True) and marks["e"] == (False, False)
+
+
+def test_thread_depth_of_a_long_chain(spark):
+    rows = [("p", i, i - 1 if i else None) for i in range(100)] + [("p", 200, 201), ("p", 200, 201), ("p", None, 3)]
+    df = spark.createDataFrame(rows, "post string, id int, up int")
+    got = [(r["id"], r["recomputed_depth"]) for r in thread_depth(df, ["post"], "id", "up").collect()]
+    assert len(got) == len(rows)
+    assert all(d == (i if i is not None and i < 100 else None) for i, d in got)
 
 
 def test_orphans_and_rules(spark):
@@ -209,13 +220,15 @@ def test_series_violations(spark):
     got = {r["k"]: (r["n_rows"], r["n_falls"], r["n_not_ascending"])
            for r in series_violations(df, "k", "day", "total").collect()}
     assert got["a"] == (3, 1, 0) and got["b"][2] == 1
+    late = spark.createDataFrame([("a", 3, 1, 1), ("a", 1, 2, 2), ("a", 2, 3, 3)], "k string, day int, total int, n int")
+    assert series_violations(late, "k", "day", "total", "n").first()["n_not_ascending"] == 1
 
 
 def test_rolling_window_skips_gaps(spark):
     rows = [("t", date(2024, 1, d), v) for d, v in ((1, 1), (2, 2), (8, 4), (20, 8))]
     df = spark.createDataFrame(rows, "tag string, day date, v int")
     got = {r["day"].day: r["s"] for r in rolling_days(df, ["tag"], "day", "v", 7, "s").collect()}
-    assert got == {1: 1, 2: 3, 8: 6, 20: 8}
+    assert got == {1: 1, **{d: 3 for d in range(2, 8)}, 8: 6, **{d: 4 for d in range(9, 15)}, 20: 8}
 
 
 def test_top_per_group_keeps_ties_and_limits_before_the_shuffle(spark, plan):

@@ -161,3 +161,27 @@ def test_stream_join_equals_batch_join_with_a_hot_key(spark, spread):
     want = [(post, eid) for _, post, posted in posts for _, eid, to, at in events
             if to == post and posted < at <= posted + timedelta(hours=24)]
     assert sorted(map(tuple, got)) == sorted(want) and want
+
+
+def test_unknown_topics_become_dead_letters_and_repeats_replace(spark, tmp_path):
+    from feedforge.streaming.ingest import Counters, topic_batch_writer
+
+    batch = spark.createDataFrame([("nobody", "{}"), (None, "x")], "topic string, value string")
+    counters = Counters()
+    write = topic_batch_writer(str(tmp_path), "run", "checkpoint", counters)
+    write(batch, 0)
+    assert (counters.records_read, counters.records_written, counters.records_rejected) == (2, 0, 2)
+    write(batch, 0)
+    letters = spark.read.json(f"{tmp_path}/_dead_letters/_unknown")
+    assert sorted(r["original_message"] for r in letters.collect()) == ["x", "{}"]
+
+
+def test_a_load_is_replaced_whatever_its_hour(spark, tmp_path):
+    from feedforge.sources.writers import write_raw
+
+    rows = spark.createDataFrame([(1, "2024-01-01T10:59:59Z")], "id int, ingested_at string")
+    again = spark.createDataFrame([(1, "2024-01-01T11:00:05Z")], "id int, ingested_at string")
+    for df in (rows, again):
+        write_raw(df, str(tmp_path / "b"), load="s-0")
+    write_raw(rows, str(tmp_path / "b"), load="s-1")
+    assert spark.read.json(str(tmp_path / "b")).count() == 2
