@@ -32,7 +32,7 @@ from .common import map_batches, ship
 
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
-MEMO_WORDS = 250_000
+MEMO_WORDS = 450_000
 SHORT = 40
 codecs.register_error("each", lambda e: ("\ufffd" * (e.end - e.start), e.end))
 
