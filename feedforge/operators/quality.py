@@ -281,6 +281,32 @@ def enforce(df: DataFrame, suite: Suite) -> list:
     return rows
 
 
+def enforce_all(checks: Sequence[tuple[DataFrame, Suite]], folder: str | None = None,
+                run_id: str | None = None) -> list:
+    """Run the suites, keep their outcomes, then raise if a blocking one failed.
+
+    With ``folder``, the rows of ``results`` (one per rule) and ``kpi`` (one per
+    suite, with the decision of the gate) are appended there. What is collected
+    has as many rows as there are rules.
+    """
+    if not checks:
+        return []
+    results = reduce(DataFrame.unionByName, [run_suite(df, suite) for df, suite in checks])
+    rows = results.orderBy("suite", "rule_no").collect()
+    if folder:
+        kept = checks[0][0].sparkSession.createDataFrame(rows, results.schema)
+        stamped = {"run_id": F.lit(run_id).cast("string"), "checked_at": F.current_timestamp()}
+        kept.withColumns(stamped).coalesce(1).write.mode("append").parquet(f"{folder}/results")
+        decided = gate(report(kept), [suite for _, suite in checks]).join(
+            report(kept).drop("overall_pass", "failed"), ["layer", "suite"])
+        decided.withColumns(stamped).coalesce(1).write.mode("append").parquet(f"{folder}/kpi")
+    blocking = {suite.name for _, suite in checks if suite.blocking}
+    failed = [f"{r['suite']} {r['rule']}" for r in rows if r["suite"] in blocking and not r["success"]]
+    if failed:
+        raise QualityGateError(", ".join(failed))
+    return rows
+
+
 def completeness(layers: DataFrame, minimum: float = 0.8) -> DataFrame:
     """Share of the lower layer's rows that reached the upper one.
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedforge.functions import columns as C
+from feedforge.operators.history import as_of
 
 POST_KEY = ("post_id", "platform")
 
@@ -116,20 +117,20 @@ def dim_hashtags(bridge: DataFrame) -> DataFrame:
 
 
 def fact_engagements(staged: DataFrame, enriched: DataFrame, now: Column | None = None) -> DataFrame:
-    """One row per engagement with the date of its post, if the post is known.
+    """One row per engagement with the key and date of its post, if the post is known.
 
-    Only the key and date of the posts take part in the join. A post with very
+    Only the keys and dates of the posts take part in the join. A post with very
     many engagements makes its partition of the left side large; adaptive
     execution splits that partition, since a left outer join may be split there.
     """
-    dates = enriched.select(*POST_KEY, "post_date")
-    return staged.join(dates, list(POST_KEY), "left").select(
+    known = enriched.select(*POST_KEY, "post_date", C.surrogate_key(POST_KEY).alias("post_sk"))
+    return staged.join(known, list(POST_KEY), "left").select(
         C.surrogate_key(["engagement_id"]).alias("engagement_sk"),
         "engagement_id", "post_id", "engaging_user_id", "post_author_id", "platform",
         C.date_key(F.to_date("engaged_at")).alias("date_sk"),
         "engagement_type",
         F.col("engaged_at").alias("engagement_timestamp"),
-        "engagement_value", "engagement_content", "post_date", "ingested_at", "silver_batch_id",
+        "engagement_value", "engagement_content", "post_sk", "post_date", "ingested_at", "silver_batch_id",
         (now if now is not None else F.current_timestamp()).alias("gold_loaded_at"),
     )
 
@@ -205,16 +206,14 @@ def fact_post_metrics_daily(enriched: DataFrame, daily: DataFrame,
         "days_since_post", F.datediff(F.to_date(F.col("date_sk").cast("string"), "yyyyMMdd"), "post_date"))
 
 
-def fact_with_keys(fact: DataFrame, posts: DataFrame, users: DataFrame, platforms: DataFrame) -> DataFrame:
-    """Resolve post_sk, user_sk and platform_sk; null where the dimension has no row.
+def fact_with_keys(fact: DataFrame, history: DataFrame, platforms: DataFrame) -> DataFrame:
+    """Add user_sk and platform_sk to the fact; null where the dimension has no row.
 
-    ``users`` has ``user_id`` and ``user_sk``, one row per user. Pass the
-    dimensions as stored tables: the planner then knows their size, sends the
-    small ones (surely the platforms) to every task, and shuffles the fact only
-    for those above its broadcast limit.
+    ``history`` is the type-2 user dimension: the key is that of the version valid
+    on the day of the engagement. Pass the dimensions as stored tables: the
+    planner then knows their size and sends the small ones (surely the platforms)
+    to every task.
     """
-    who = users.select(F.col("user_id").alias("engaging_user_id"), "user_sk")
-    return (fact
-            .join(posts.select(*POST_KEY, "post_sk"), list(POST_KEY), "left")
-            .join(who, "engaging_user_id", "left")
-            .join(platforms.select("platform", "platform_sk"), "platform", "left"))
+    who = history.select(F.col("user_id").alias("engaging_user_id"), "valid_from", "user_sk")
+    return as_of(fact, who, "engaging_user_id", "engagement_timestamp", ["user_sk"]).join(
+        platforms.select("platform", "platform_sk"), "platform", "left")

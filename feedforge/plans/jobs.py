@@ -14,7 +14,7 @@ from feedforge.operators import suites
 from feedforge.operators.cleaning import reject_split
 from feedforge.operators.calendar import dim_date
 from feedforge.operators.dedup import dedup_latest
-from feedforge.operators.quality import Suite, enforce
+from feedforge.operators.quality import KEYED, Suite, enforce_all
 from feedforge.operators.runs import run_summary
 from feedforge.session import pin_utc
 from feedforge.sources.readers import (
@@ -31,7 +31,7 @@ JOB = "bronze_to_silver"
 
 def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str | None = None,
                end: date | str | None = None, check: bool = True,
-               quarantine: str | None = None) -> DataFrame:
+               quarantine: str | None = None, quality: str | None = None) -> DataFrame:
     """Process the raw days ``start..end`` (default: yesterday) into Silver.
 
     Days are scanned together but deduplicated per day, and only the partitions
@@ -41,8 +41,11 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
     their keys are kept in a folder of that name, per entity and day.
 
     Every entity is processed on its own data, so a day without tweets still gets
-    its engagements and posts; a range without any raw row is left alone. Returns one row that sums the run up: rows written are exact, rows read and rejected are
-    counted at the scan and may include rows of a task that had to be repeated.
+    its engagements and posts; a range without any raw row is left alone. The
+    Silver suites of all entities that had raw rows block; their outcomes are
+    appended to the folder ``quality`` before they do. Returns one row that sums
+    the run up: rows written are exact, rows read and rejected are counted at the
+    scan and may include rows of a task that had to be repeated.
     """
     pin_utc(spark)
     yesterday = datetime.now(timezone.utc).date() - timedelta(days=1)
@@ -70,34 +73,46 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
 
     cleaned = silver.clean_tweets(raw["twitter.tweets"], run_id, within=DAY_COLUMNS)
     written = store(cleaned, "tweets")
-    written += store(silver.clean_engagements(raw["twitter.engagements"], run_id, within=DAY_COLUMNS),
-                     "engagements")
+    engaged = silver.clean_engagements(raw["twitter.engagements"], run_id, within=DAY_COLUMNS)
+    written += store(engaged, "engagements")
     # The tweets are read back as written rather than cleaned a second time.
     tweets = (spark.read.schema(cleaned.schema).parquet(f"{target}/tweets")
               .filter(days_between(first, last)))
     posts = silver.posts_unified(tweets, raw["youtube.videos"], raw["reddit.posts"], run_id,
                                  within=DAY_COLUMNS)
     written += store(posts, "posts")
-    if check and seen["twitter.tweets"].get["read"]:
-        gate, keyed = _per_day(suites.QUICK_SILVER_TWEETS, tweets, "tweet_id")
-        enforce(keyed, gate)
+    if check:
+        def stored(entity: str, schema) -> DataFrame:
+            return spark.read.schema(schema).parquet(f"{target}/{entity}").filter(days_between(first, last))
+
+        pairs = []
+        if seen["twitter.tweets"].get["read"]:
+            pairs += [_per_day(s, tweets, "tweet_id") for s in (suites.QUICK_SILVER_TWEETS, suites.SILVER_TWEETS)]
+        if seen["twitter.engagements"].get["read"]:
+            pairs.append(_per_day(suites.SILVER_ENGAGEMENTS, stored("engagements", engaged.schema), "engagement_id"))
+        if any(seen[n].get["read"] for n in ("twitter.tweets", "youtube.videos", "reddit.posts")):
+            pairs.append((stored("posts", posts.schema), suites.SILVER_POSTS))
+        enforce_all(pairs, quality, run_id)
     return run_summary(
         spark, run_id, JOB, "silver", began,
         read=sum(o.get["read"] for o in seen.values()), written=written,
         rejected=sum(o.get["rejected"] for o in seen.values()), files=0)
 
 
-def _per_day(suite: Suite, df: DataFrame, key: str) -> tuple[Suite, DataFrame]:
+def _per_day(suite: Suite, df: DataFrame, key: str) -> tuple[DataFrame, Suite]:
     """The suite with its key unique per day: a record may come again on another day."""
     daily = f"{key}_and_day"
-    rules = tuple(replace(r, column=daily) if r.kind == "unique" and r.column == key else r
+    rules = tuple(replace(r, column=daily) if r.kind in KEYED and r.column == key else r
                   for r in suite.rules)
-    return replace(suite, rules=rules), df.withColumn(daily, F.struct(key, *DAY_COLUMNS))
+    return df.withColumn(daily, F.struct(key, *DAY_COLUMNS)), replace(suite, rules=rules)
 
 
-def build_gold(spark: SparkSession, silver_root: str, target: str, check: bool = True) -> None:
+def build_gold(spark: SparkSession, silver_root: str, target: str, check: bool = True,
+               quality: str | None = None) -> None:
     """Rebuild every Gold table from Silver.
 
+    ``quality`` is a folder to which the outcomes of the suites are appended.
+
     Silver keeps a record once per day it was delivered; Gold takes the latest.
     Enriched posts feed three tables; they are written once, as ``dim_posts``
     needs most of their columns anyway, and read back narrow by the facts. The
@@ -118,17 +133,23 @@ def build_gold(spark: SparkSession, silver_root: str, target: str, check: bool =
     bridge = gold.post_hashtags(enriched)
     replace_table(bridge, f"{target}/post_hashtags")
     replace_table(gold.dim_hashtags(read_table(spark, f"{target}/post_hashtags")), f"{target}/dim_hashtags")
-    replace_table(gold.fact_engagements(engagements, enriched), f"{target}/fact_engagements")
+    replace_table(marts.dim_users_of_tweets(read_table(spark, f"{silver_root}/tweets")), f"{target}/dim_users")
+    facts = gold.fact_with_keys(
+        gold.fact_engagements(engagements, enriched), read_table(spark, f"{target}/dim_users"),
+        read_table(spark, f"{target}/dim_platforms"))
+    replace_table(facts, f"{target}/fact_engagements")
     daily = gold.daily_engagements(engagements)
     replace_table(gold.fact_post_metrics(enriched, daily), f"{target}/fact_post_metrics")
     if check:
-        enforce(read_table(spark, f"{target}/fact_engagements"), suites.GOLD_FACT_ENGAGEMENTS)
-        enforce(read_table(spark, f"{target}/fact_post_metrics"), suites.GOLD_FACT_POST_METRICS)
+        enforce_all([
+            (read_table(spark, f"{target}/fact_engagements"), suites.GOLD_FACT_ENGAGEMENTS),
+            (read_table(spark, f"{target}/fact_post_metrics"), suites.GOLD_FACT_POST_METRICS),
+        ], quality, str(uuid.uuid4()))
 
 
 def build_marts(spark: SparkSession, silver_root: str, gold_root: str, target: str,
                 top_tags: int = 20, top_posts: int = 100) -> None:
-    """Rebuild the reports and the user history from Silver and Gold."""
+    """Rebuild the reports from Silver and Gold."""
     pin_utc(spark)
     facts = read_table(spark, f"{gold_root}/fact_engagements")
     posts = read_table(spark, f"{gold_root}/dim_posts")
@@ -151,8 +172,6 @@ def build_marts(spark: SparkSession, silver_root: str, gold_root: str, target: s
         "monthly_rollup": marts.monthly_rollup(facts, calendar, "engagement_value"),
         "top_posts": marts.top_posts(posts, top_posts).select(
             "post_sk", *gold.POST_KEY, "total_engagement", "engagement_tier", "rank"),
-        "dim_users": marts.dim_users(tweets, ["user_account_type", "user_is_verified"], at="created_at",
-                                     tie_break=("ingested_at", "tweet_id")),
     }
     for name, df in tables.items():
         replace_table(df, f"{target}/{name}")

@@ -103,5 +103,12 @@ def dim_users(events: DataFrame, attributes: list[str], user: str = "user_id", a
     return scd2(events, user, attributes, at, tie_break, sk="user_sk")
 
 
-def current_users(history: DataFrame) -> DataFrame:
-    return history.filter("is_current").select("user_id", "user_sk")
+def dim_users_of_tweets(tweets: DataFrame) -> DataFrame:
+    """The user dimension with the account data that Silver tweets carry."""
+    told = tweets.select(
+        "user_id", "platform", F.col("user_follower_count").alias("follower_count"),
+        F.col("user_account_type").alias("account_type"),
+        F.coalesce(F.col("user_account_type") == "BRAND", F.lit(False)).alias("is_brand"),
+        F.col("user_is_verified").alias("is_verified"), "created_at", "ingested_at", "tweet_id")
+    return dim_users(told, ["platform", "follower_count", "account_type", "is_brand", "is_verified"],
+                     at="created_at", tie_break=("ingested_at", "tweet_id"))

@@ -103,7 +103,6 @@ def test_no_plan_multiplies_rows(spark, posts, engaged, plan):
         .withColumnRenamed("engaging_user_id", "user_id")
     daily = gold.daily_engagements(engaged)
     for df in (gold.fact_engagements(engaged, posts), gold.fact_post_metrics(posts, daily),
-               gold.fact_with_keys(gold.fact_engagements(engaged, posts), gold.dim_posts(posts),
-                                   marts.current_users(users), gold.dim_platforms(posts))):
+               gold.fact_with_keys(gold.fact_engagements(engaged, posts), users, gold.dim_platforms(posts))):
         text = plan(df)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -173,11 +173,11 @@ def test_silver_then_gold(spark, bronze, tmp_path):
     assert spark.read.parquet(f"{quarantine}/twitter/tweets").count() == 2
 
     before = {tuple(r) for r in tweets.drop("silver_batch_id", "silver_processed_at", "hashtags", "mentions").collect()}
-    run_silver(spark, str(bronze), silver, "2024-01-16")
+    run_silver(spark, str(bronze), silver, "2024-01-16", quality=str(tmp_path / "quality"))
     after = spark.read.parquet(f"{silver}/tweets").drop("silver_batch_id", "silver_processed_at", "hashtags", "mentions")
     assert {tuple(r) for r in after.collect()} == before and after.count() == 10
 
-    build_gold(spark, silver, gold)
+    build_gold(spark, silver, gold, quality=str(tmp_path / "quality"))
     rows = {n: spark.read.parquet(f"{gold}/{n}").count() for n in (
         "dim_date", "dim_posts", "dim_platforms", "dim_hashtags", "fact_engagements", "fact_post_metrics")}
     # Both days carry the same records: Gold has the later version of each.
@@ -186,6 +186,10 @@ def test_silver_then_gold(spark, bronze, tmp_path):
     tags = {r["hashtag"] for r in spark.read.parquet(f"{gold}/dim_hashtags").collect()}
     assert tags == {"spark", "data"}
 
+    kpi = {r["suite"]: r["decision"] for r in spark.read.parquet(str(tmp_path / "quality/kpi")).collect()}
+    assert kpi == dict.fromkeys(("quick.silver.tweets", "silver.tweets", "silver.engagements", "silver.posts",
+                                 "gold.fact_engagements", "gold.fact_post_metrics"), "pass")
+
     mart = str(tmp_path / "marts")
     build_marts(spark, silver, gold, mart)
     users = spark.read.parquet(f"{mart}/daily_active_users").first()
@@ -194,7 +198,12 @@ def test_silver_then_gold(spark, bronze, tmp_path):
     assert reach == {UUIDS[i]: 3 if i < 2 else 2 for i in range(5)}
     trend = {r["tag"]: r["rolling_engagement"] for r in spark.read.parquet(f"{mart}/trending_hashtags").collect()}
     assert trend == {"spark": 5, "data": 5}
-    history = spark.read.parquet(f"{mart}/dim_users")
+    history = spark.read.parquet(f"{gold}/dim_users")
+    assert history.filter("is_brand and account_type = 'BRAND' and platform = 'twitter'").count() == 3
+    facts = spark.read.parquet(f"{gold}/fact_engagements")
+    assert facts.filter("post_sk is null or platform_sk is null").count() == 0
+    known = facts.join(history, "user_sk")
+    assert known.count() == 9 and known.filter("engaging_user_id <> user_id").count() == 0
     assert history.filter("is_current").count() == history.count() == 3
     assert spark.read.parquet(f"{mart}/monthly_rollup").filter("level = 3").first()["n_rows"] == 12
     for name in ("eod_cumulative", "fact_post_metrics_daily", "top_posts"):
@@ -217,3 +226,15 @@ def test_silver_gate_blocks(spark, tmp_path):
     put(tmp_path / "b/twitter/tweets" / day, [tweet(1, "not a time")])
     with pytest.raises(QualityGateError):
         run_silver(spark, str(tmp_path / "b"), str(tmp_path / "s"), "2024-01-15")
+
+
+def test_silver_gate_covers_engagements_and_keeps_its_outcome(spark, bronze, tmp_path):
+    at = "2024-01-15T13:00:00Z"
+    put(bronze / "twitter/engagements/year=2024/month=01/day=15/hour=13",
+        [engagement(200 + i, UUIDS[0], at, platform="elsewhere") for i in range(3)])
+    with pytest.raises(QualityGateError, match="silver.engagements"):
+        run_silver(spark, str(bronze), str(tmp_path / "s"), "2024-01-15", quality=str(tmp_path / "q"))
+    kept = spark.read.parquet(str(tmp_path / "q/results")).filter("not success").collect()
+    assert [r["suite"] for r in kept] == ["silver.engagements"] and "elsewhere" in kept[0]["details"]
+    kpi = {r["suite"]: r["decision"] for r in spark.read.parquet(str(tmp_path / "q/kpi")).collect()}
+    assert kpi["silver.engagements"] == "block" and kpi["silver.tweets"] == "pass"
