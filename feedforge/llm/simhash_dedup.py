@@ -10,6 +10,10 @@ t = 3, whatever the number of rows), meets the fingerprints at home there in an
 equality join, and is compared exactly. A fingerprint finds at most 43,744
 others within 3 bits, so links do not grow with the square of a group.
 
+Fingerprints at an odd distance have different parities, so the even one alone
+needs to be replicated that far: if t is odd, the odd ones go only as far as
+t - 1 asks (about 60 anchors for t = 3).
+
 Exact copies share a fingerprint and are one row in the search.
 
 Defined results: a null or empty text has fingerprint 0 and is linked like any
@@ -131,26 +135,37 @@ def anchors_within(fp: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(rows), np.concatenate(anchors)
 
 
-def _replicated(distinct: DataFrame, threshold: int) -> DataFrame:
-    """(anchor, fp): fingerprints at every anchor in reach; home only for 0."""
+def _replicated(distinct: DataFrame, even: int, odd: int) -> DataFrame:
+    """(anchor, fp): fingerprints at every anchor in reach; home only for 0.
+
+    ``even`` and ``odd`` are the thresholds of fingerprints of that parity.
+    """
 
     def run(batch: pa.RecordBatch):
         fp = batch.column(0).to_numpy(zero_copy_only=False)
-        for at in range(0, len(fp), REPLICATE_CHUNK):
-            part = fp[at:at + REPLICATE_CHUNK]
-            row, anchor = anchors_within(part, threshold)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor.astype(np.int32)), pa.array(part[row])], ["anchor", "fp"])
+        is_odd = np.bitwise_count(fp.view(np.uint64)) % 2 == 1
+        for some, threshold in ((fp[~is_odd], even), (fp[is_odd], odd)):
+            for at in range(0, len(some), REPLICATE_CHUNK):
+                part = some[at:at + REPLICATE_CHUNK]
+                row, anchor = anchors_within(part, threshold)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(anchor.astype(np.int32)), pa.array(part[row])], ["anchor", "fp"])
 
     return map_batches(distinct.select("fp"), run, "anchor int, fp long")
 
 
 def links_within(distinct: DataFrame, threshold: int = 3) -> DataFrame:
-    """(u, v) with u < v: all pairs of distinct fingerprints within ``threshold`` bits."""
-    home = _replicated(distinct, 0).select("anchor", F.col("fp").alias("u"))
-    away = _replicated(distinct, threshold).select("anchor", F.col("fp").alias("v"))
-    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= threshold
-    return home.join(away, "anchor").where((F.col("u") < F.col("v")) & near).select("u", "v")
+    """(u, v) with u < v: all pairs of distinct fingerprints within ``threshold`` bits.
+
+    Each is found once: at an even distance with the larger one replicated, at an
+    odd distance with the one of even parity.
+    """
+    home = _replicated(distinct, 0, 0).select("anchor", F.col("fp").alias("u"))
+    away = _replicated(distinct, threshold, threshold - threshold % 2).select("anchor", F.col("fp").alias("v"))
+    apart = F.bit_count(F.col("u").bitwiseXOR(F.col("v")))
+    once = F.when(apart % 2 == 0, F.col("u") < F.col("v")).otherwise(F.bit_count("v") % 2 == 0)
+    return home.join(away, "anchor").where((apart <= threshold) & once).select(
+        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
 
 def near_duplicates(documents: DataFrame, threshold: int = 3) -> DataFrame:
