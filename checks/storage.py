@@ -82,10 +82,10 @@ def _(t):
 @query("scan_partition_day", f"""
     select year({Q.parsed('ingested_at')}) as year, month({Q.parsed('ingested_at')}) as month,
       day({Q.parsed('ingested_at')}) as day, count(*) as n_rows, count(distinct engagement_id) as n_engagements
-    from {raw_sql('engagements')} r group by 1, 2, 3""")
+    from {raw_sql('engagements')} r where cast({Q.parsed('ingested_at')} as date) = date '2024-01-10' group by 1, 2, 3""")
 def _(t):
     days = read_raw_days(t.spark, written_raw(t, "engagements"), "twitter.engagements",
-                         date(2024, 1, 1), date(2024, 3, 30))
+                         date(2024, 1, 10), date(2024, 1, 10))
     return days.groupBy("year", "month", "day").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.col("engagement_id")).alias("n_engagements"))
 
@@ -93,9 +93,9 @@ def _(t):
 @query("backfill_range", """
     select event_type, count(*) as n_rows, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as first_ts,
       strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') as last_ts
-    from events where ts >= date '2024-01-01' and ts < date '2024-03-31' group by 1""")
+    from events where ts >= date '2024-01-15' and ts < date '2024-02-11' group by 1""")
 def _(t):
-    return backfill_range(t.events, "ts", "2024-01-01", "2024-03-30").groupBy("event_type").agg(
+    return backfill_range(t.events, "ts", "2024-01-15", "2024-02-10").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedforge.sources.schemas import TOPICS
 from feedforge.sources.workdir import work_dir
-from feedforge.streaming.ingest import file_messages, is_valid, stream_ingest, validated
+from feedforge.streaming.ingest import ANY_AGE, file_messages, is_valid, stream_ingest, validated
 from feedforge.streaming.stateful import (
     drain_append, drain_update, stream_daily_counts, stream_dedup, stream_interval_join,
 )
@@ -18,9 +19,20 @@ from . import sqltext as Q
 from .fixtures import KEY_OF_PROPS, RAW, SHAPED, delivered, raw, raw_sql, shaped_sql
 from .registry import Tables, query
 
-# The tables are read as one long backlog in no particular order of time, so the
-# delay covers their whole span and no row is late.
-BACKLOG_DELAY = "366 days"
+# All events come, but these only after the rest has been processed. Those of them
+# that the watermark has passed by then are too late; the twins leave out just these.
+STRAGGLER = "event_id % 40 = 11"
+DELAY = "3 days"
+# Watermarks have whole milliseconds.
+NEWEST_TIMELY = f"(select date_trunc('milliseconds', max(ts)) from events where not ({STRAGGLER}))"
+
+
+def backlog(t: Tables) -> tuple[DataFrame, Callable[[], None]]:
+    """The timely events as a stream, and a function that brings the stragglers."""
+    path = work_dir(t.spark, "backlog")
+    t.events.where(f"not ({STRAGGLER})").write.parquet(path)
+    stream = t.spark.readStream.schema(t.events.schema).option("maxFileAge", ANY_AGE).parquet(path)
+    return stream, lambda: t.events.where(STRAGGLER).write.mode("append").parquet(path)
 
 
 def table_stream(t: Tables, name: str) -> DataFrame:
@@ -97,32 +109,40 @@ def _(t):
     return drain_append(kept.select("engagement_id", "post_id", "batch_id", "ingested_at"), "validated")
 
 
-@query("stream_dedup", """
-    select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, user_id, event_type from events""")
+@query("stream_dedup", f"""
+    select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, user_id, event_type from events
+    where not ({STRAGGLER}) or ts > {NEWEST_TIMELY} - interval {DELAY}""")
 def _(t):
-    repeated = table_stream(t, "events").selectExpr(
+    events, stragglers = backlog(t)
+    repeated = events.selectExpr(
         "event_id", "ts", "user_id", "event_type", "explode(sequence(1, 1 + event_id % 3)) as delivery")
-    return drain_append(stream_dedup(repeated.drop("delivery"), ["event_id"], "ts", BACKLOG_DELAY), "dedup")
+    return drain_append(stream_dedup(repeated.drop("delivery"), ["event_id"], "ts", DELAY), "dedup", stragglers)
 
 
-@query("stream_daily_counts", """
-    select cast(cast(ts as date) as varchar) as day, event_type, count(*) as n_events from events group by 1, 2""")
+# A day is open until the watermark has passed its end.
+@query("stream_daily_counts", f"""
+    select cast(cast(ts as date) as varchar) as day, event_type, count(*) as n_events from events
+    where not ({STRAGGLER}) or date_trunc('day', ts) + interval 1 day > {NEWEST_TIMELY} - interval {DELAY}
+    group by 1, 2""")
 def _(t):
-    counts = stream_daily_counts(table_stream(t, "events"), ["event_type"], "ts", BACKLOG_DELAY)
-    return drain_update(counts, "daily-counts", ["day", "event_type"])
+    events, stragglers = backlog(t)
+    counts = stream_daily_counts(events, ["event_type"], "ts", DELAY)
+    return drain_update(counts, "daily-counts", ["day", "event_type"], stragglers)
 
 
+# The watermark of two streams is that of the slower one.
 @query("stream_interval_join", f"""
     select p.post_id, e.event_id, e.event_type
     from {shaped_sql('posts')} p
-    join (select event_id, event_type, ts, {KEY_OF_PROPS} as post_id from events) e
+    join (select event_id, event_type, ts, {KEY_OF_PROPS} as post_id from events
+          where not ({STRAGGLER})
+            or ts > least({NEWEST_TIMELY}, (select max(posted_at) from {shaped_sql('posts')})) - interval {DELAY}) e
       on e.post_id = p.post_id and e.ts > p.posted_at and e.ts <= p.posted_at + interval 24 hour""")
 def _(t):
     columns = SHAPED["posts"][1]
     posts = table_stream(t, "documents").selectExpr(
         f"{columns['post_id']} as post_id", f"{columns['posted_at']} as posted_at")
-    engaged = table_stream(t, "events").selectExpr(
-        "event_id", "event_type", "ts", f"{KEY_OF_PROPS} as post_id")
-    pairs = stream_interval_join(posts, engaged, ["post_id"], "posted_at", "ts",
-                                 delay=BACKLOG_DELAY, spread="event_id")
-    return drain_append(pairs.select("post_id", "event_id", "event_type"), "pairs")
+    events, stragglers = backlog(t)
+    engaged = events.selectExpr("event_id", "event_type", "ts", f"{KEY_OF_PROPS} as post_id")
+    pairs = stream_interval_join(posts, engaged, ["post_id"], "posted_at", "ts", delay=DELAY)
+    return drain_append(pairs.select("post_id", "event_id", "event_type"), "pairs", stragglers)

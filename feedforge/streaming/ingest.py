@@ -73,11 +73,16 @@ def file_messages(spark: SparkSession, path: str, files_per_batch: int = FILES_P
 
 
 def decode(messages: DataFrame, topic: Topic) -> DataFrame:
-    """Messages of one topic as records, the original text kept as ``_message``."""
-    record = F.from_json("value", raw_schema(topic.schema_key))
+    """Messages of one topic as records, the original text kept as ``_message``.
+
+    Fields that the schema does not declare are kept as text in the map
+    ``undeclared``, which is null where there are none.
+    """
+    schema = raw_schema(topic.schema_key)
+    others = F.map_filter(F.from_json("value", "map<string,string>"), lambda name, _: ~name.isin(*schema.fieldNames()))
     return (messages.filter(F.col("topic") == topic.name)
-            .select(record.alias("_r"), F.col("value").alias("_message"))
-            .select("_r.*", "_message"))
+            .select(F.from_json("value", schema).alias("_r"), others.alias("_others"), F.col("value").alias("_message"))
+            .select("_r.*", F.when(F.size("_others") > 0, F.col("_others")).alias("undeclared"), "_message"))
 
 
 def validated(records: DataFrame, schema_key: str | None, run_id: str,
@@ -134,9 +139,12 @@ def topic_batch_writer(bronze: str, run_id: str, checkpoint: str, counters: Coun
         batch.persist()  # bounded by the records per trigger
         try:
             for topic in topics:
-                checked = validated(decode(batch, topic), topic.schema_key, run_id)
-                _store(checked, bronze, topic.path, topic.name, load_name(checkpoint, epoch),
-                       counters, F.col("_message"), dry_run)
+                checked = validated(decode(batch, topic), topic.schema_key, run_id).persist()  # parsed once
+                try:
+                    _store(checked, bronze, topic.path, topic.name, load_name(checkpoint, epoch),
+                           counters, F.col("_message"), dry_run)
+                finally:
+                    checked.unpersist()
             _store_unknown(batch, bronze, load_name(checkpoint, epoch), counters, topics, dry_run)
         finally:
             batch.unpersist()

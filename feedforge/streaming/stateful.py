@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from feedforge.sources.workdir import work_dir
 
@@ -21,17 +22,20 @@ def as_instant(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def stream_dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = EVENT_DELAY) -> DataFrame:
+def stream_dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = EVENT_DELAY,
+                 spread: str | None = None, salts: int = SALTS) -> DataFrame:
     """First arrival per key, remembered for the watermark delay.
 
-    Two steps: copies are first dropped per key and input task, then per key.
-    A key with very many copies is thus thinned out on many tasks before one
-    task sees it.
+    ``spread`` names a column that differs between the copies of a key. Copies are
+    then first dropped per key and lane of its hash: a key with very many copies is
+    thinned out by ``salts`` tasks before one task sees it, for the price of a
+    second shuffle and state.
     """
     timed = as_instant(stream, ts).withWatermark(ts, delay)
-    thinned = timed.withColumn("_lane", F.spark_partition_id() % SALTS) \
-        .dropDuplicatesWithinWatermark([*keys, "_lane"])
-    return thinned.drop("_lane").dropDuplicatesWithinWatermark(list(keys))
+    if spread:
+        lane = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+        timed = timed.withColumn("_lane", lane).dropDuplicatesWithinWatermark([*keys, "_lane"]).drop("_lane")
+    return timed.dropDuplicatesWithinWatermark(list(keys))
 
 
 def stream_daily_counts(stream: DataFrame, keys: Sequence[str], ts: str,
@@ -71,21 +75,32 @@ def stream_interval_join(opens: DataFrame, follows: DataFrame, keys: Sequence[st
     return joined.select(*taken)
 
 
-def drain_append(stream: DataFrame, name: str) -> DataFrame:
-    """Process what is available, append it to a table, and read that table."""
+def _drain(writer: DataStreamWriter, more: Callable[[], None] | None) -> None:
+    """Process what is available; then bring ``more``, and go on from the checkpoint."""
+    writer.trigger(availableNow=True).start().awaitTermination()
+    if more:
+        more()
+        writer.start().awaitTermination()
+
+
+def drain_append(stream: DataFrame, name: str, more: Callable[[], None] | None = None) -> DataFrame:
+    """Process what is available, append it to a table, and read that table.
+
+    ``more`` may bring further input, which a second run then processes.
+    """
     spark = stream.sparkSession
     table, checkpoint = work_dir(spark, name), work_dir(spark, f"{name}-checkpoint")
-    (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start(table).awaitTermination())
+    _drain(stream.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint), more)
     return spark.read.schema(stream.schema).parquet(table)
 
 
-def drain_update(stream: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+def drain_update(stream: DataFrame, name: str, keys: Sequence[str],
+                 more: Callable[[], None] | None = None) -> DataFrame:
     """Process what is available in update mode and read the last version per key.
 
     Each batch writes its changed rows to a partition of its own, replaced if
     the batch is repeated; counts only grow, so the latest batch holds the
-    current value of a key.
+    current value of a key. ``more`` may bring further input for a second run.
     """
     spark = stream.sparkSession
     table, checkpoint = work_dir(spark, name), work_dir(spark, f"{name}-checkpoint")
@@ -94,8 +109,7 @@ def drain_update(stream: DataFrame, name: str, keys: Sequence[str]) -> DataFrame
         (batch.withColumn("_epoch", F.lit(epoch)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("_epoch").parquet(table))
 
-    (stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-     .foreachBatch(write).trigger(availableNow=True).start().awaitTermination())
+    _drain(stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write), more)
     values = [c for c in stream.columns if c not in keys]
     written = spark.read.schema(f"{_ddl(stream)}, _epoch int").parquet(table)
     latest = F.max_by(F.struct(*values), "_epoch")

@@ -126,6 +126,13 @@ def test_decode_keeps_the_text(spark):
     assert len(rows) == 1 and rows[0]["tweet_id"] == "a" and rows[0]["_message"] == '{"tweet_id": "a"}'
 
 
+def test_undeclared_fields_are_kept(spark):
+    texts = ['{"tweet_id": "a", "colour": "blue", "more": {"x":1}}', '{"tweet_id": "b"}', "{broken"]
+    df = spark.createDataFrame([(TOPICS[0].name, t) for t in texts], "topic string, value string")
+    rows = {r["_message"]: r["undeclared"] for r in decode(df, TOPICS[0]).collect()}
+    assert [rows[t] for t in texts] == [{"colour": "blue", "more": '{"x":1}'}, None, None]
+
+
 def streamed(spark, df, files=3):
     """A table as a stream of several files, one per batch, in order."""
     path = work_dir(spark, "stream-source")
@@ -134,10 +141,11 @@ def streamed(spark, df, files=3):
     return spark.readStream.schema(df.drop("n").schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def test_stream_dedup_with_a_third_of_the_rows_in_one_key(spark):
+@pytest.mark.parametrize("spread", [None, "ts"])
+def test_stream_dedup_with_a_third_of_the_rows_in_one_key(spark, spread):
     rows = [(i, 0 if i % 3 == 0 else i, T0 + timedelta(seconds=i % 50)) for i in range(900)]
     df = spark.createDataFrame(rows, "n int, id int, ts timestamp")
-    got = drain_append(stream_dedup(streamed(spark, df), ["id"], "ts", "1 day"), "dd")
+    got = drain_append(stream_dedup(streamed(spark, df), ["id"], "ts", "1 day", spread), "dd")
     assert sorted(r["id"] for r in got.collect()) == sorted({r[1] for r in rows})
 
 
