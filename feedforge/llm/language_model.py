@@ -1,8 +1,8 @@
 """Hierarchical Pitman-Yor bigram model, trained and applied as Spark jobs.
 
 Teh, "A Hierarchical Bayesian Language Model based on Pitman-Yor Processes" (2006).
-A word is drawn from the restaurant of its context, the word before it; contexts
-are hashed into RESTAURANTS restaurants. All of them share one parent, the unigram
+A word is drawn from the restaurant of its context, the word before it; every
+context word has a restaurant of its own. All of them share one parent, the unigram
 restaurant, whose base is uniform over the known words and one unknown word. A
 customer of a context restaurant sits at a table that serves its word or opens one
 by sending a customer to the parent.
@@ -16,15 +16,16 @@ are averaged over the samples of the last round.
 How it is spread: words are dealt into buckets by their hash, the most frequent ones
 by word and context, so that no word fills a bucket. A bucket holds all pairs of its
 words, as one row of packed numbers: the counts in training, and the documents that
-need them. Buckets are sampled independently given the table counts of the
-restaurants (RESTAURANTS numbers), which are summed up after every round. Scores
-come back as partial sums per document, packed. Per-task counts are summed
-before each shuffle, and nothing that grows with the corpus reaches the driver.
+need them. Buckets are sampled independently given the tables and customers of the
+restaurants. These are a Spark table of one row per bucket and context: after every
+round it is summed up by context, and the sums meet the pairs of their bucket in the
+next one. Scores come back as partial sums per document, packed. Of the restaurants
+only the totals of the root and of the most frequent words reach the driver.
 
 Defined results: a null text is an empty one and has the end token only. Documents
 without an id are scored, not learned from, and not held out. Repeated rows are
 learned from and scored each. Without training documents every token is unknown and
-has the probability of the base. Words are compared by a 64-bit hash.
+has the probability of the base. Words and contexts are compared by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -37,11 +38,11 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import WordHashes, ascii_words, column_bytes, id_fold, ship, stored
 
-RESTAURANTS = 1 << 18
-SLICES = 64
+RESTAURANTS = 1 << 18  # restaurants in one batch of the first seating
 DISCOUNT, STRENGTH = 0.75, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 GROUP = 32
@@ -69,9 +70,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def contexts(words: np.ndarray) -> np.ndarray:
-    """Restaurant of the token before, of every token of a document."""
-    before = np.concatenate([[START], words[:-1]])
-    return (mix(before) >> np.uint64(46)).astype(np.int64)
+    """The token before, of every token of a document."""
+    return np.concatenate([np.array([START], dtype=np.uint64), words[:-1]])
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -157,7 +157,7 @@ def dealt(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
                 doc = np.repeat(np.array(part), [len(f) for f in found])
                 place = mix(word)
                 many = np.isin(word, hot)
-                place[many] = mix(place[many] + context[many].astype(np.uint64))
+                place[many] = mix(place[many] + context[many])
                 bucket = (place >> np.uint64(16)) % np.uint64(buckets)
                 order = np.lexsort((doc, context, word, bucket))
                 word, context, doc, bucket = word[order], context[order], doc[order], bucket[order].astype(np.int32)
@@ -174,7 +174,7 @@ def dealt(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
                     out_bucket.append(bucket[a])
                     out_part.append(pack(
                         w[pair][first], np.diff([*first, len(pair)]).astype(np.uint32),
-                        c[pair].astype(np.uint32), np.diff([*pair, len(w)]).astype(np.uint32),
+                        c[pair], np.diff([*pair, len(w)]).astype(np.uint32),
                         at.astype(np.uint32), times.astype(np.uint32), row[own], ids[own], flags[own]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out_bucket, pa.int32()), pa.array(out_part, pa.binary())], ["bucket", "part"])
@@ -211,6 +211,19 @@ def merged(parts: list[bytes]) -> tuple[np.ndarray, ...]:
     return word[start], context[start], count, pair.astype(np.uint32), doc, n, np.concatenate(rows), np.concatenate(ids), flag
 
 
+def packed_pairs(word: np.ndarray, context: np.ndarray, count: np.ndarray) -> bytes:
+    """Pairs sorted by word: words, their numbers of pairs, contexts, positions of these, counts."""
+    first = runs(word)
+    names, at = np.unique(context, return_inverse=True)
+    return pack(word[first], np.diff([*first, len(word)]).astype(np.uint32), names, at.astype(np.uint32), count)
+
+
+def unpacked_pairs(data: bytes) -> tuple[np.ndarray, ...]:
+    """(words, distinct contexts, position of the context, count)."""
+    word, per_word, names, at, count = unpack(data)
+    return np.repeat(word, per_word), names, at, count
+
+
 def bucket_rows(parts: DataFrame, buckets: int) -> DataFrame:
     """(bucket, pairs, entries): one row per bucket."""
 
@@ -222,7 +235,7 @@ def bucket_rows(parts: DataFrame, buckets: int) -> DataFrame:
         for b in list(held):
             word, context, count, pair, doc, n, row, doc_id, flag = merged(held.pop(b))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([b], pa.int32()), pa.array([pack(word, context, count)], pa.binary()),
+                [pa.array([b], pa.int32()), pa.array([packed_pairs(word, context, count)], pa.binary()),
                  pa.array([pack(np.diff(pair, prepend=pair[:1]), doc, n, row, doc_id, flag)], pa.binary())], ["bucket", "pairs", "entries"])
 
     return parts.repartition(buckets, "bucket").mapInArrow(gather, "bucket int, pairs binary, entries binary")
@@ -257,12 +270,24 @@ def seat(count: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.G
 
 
 class State:
-    """What buckets share: tables and customers of the restaurants, and the root."""
+    """What buckets share: tables and customers of the restaurants, and the root.
+
+    In a bucket the restaurants are those of its own contexts, in their order.
+    """
 
     def __init__(self, customers, tables, known: int, root_customers: float, root_tables: float, hot: dict[int, float]):
         self.customers, self.tables, self.known = customers, tables, known
         self.root_customers, self.root_tables, self.hot = root_customers, root_tables, hot
 
+    def at(self, names: np.ndarray, restaurants: pa.Table) -> State:
+        """The state with the restaurants of a bucket, in the order of ``names``."""
+        context = restaurants["context"].to_numpy().view(np.uint64)
+        order = np.argsort(context)
+        if not np.array_equal(context[order], names):
+            raise ValueError("restaurants do not match the contexts of the bucket")
+        tables, customers = (restaurants[c].to_numpy()[order].astype(float) for c in ("tables", "customers"))
+        return State(customers, tables, self.known, self.root_customers, self.root_tables, self.hot)
+
 
 class Bucket:
     """The pairs of a bucket and their seating."""
@@ -299,74 +324,79 @@ class Bucket:
         return (held + fresh) / (s.customers[c] + STRENGTH)
 
 
-def round_of(buckets: DataFrame, state: State, number: int, hot: np.ndarray) -> tuple[State, int]:
-    """Sample all buckets once and sum up what they share."""
-    width = RESTAURANTS // SLICES
-    spark = buckets.sparkSession
-    sent = spark.sparkContext.broadcast(state)  # RESTAURANTS numbers and the hot words
+SEATED = "bucket int, context long, tables long, customers long"
+ROOT, HOT = -1, -2  # rows of SEATED that are no restaurants: tables of the root, tables of a hot word in all of them
+
+
+def first_seating(data: bytes, b: int) -> Iterator[pa.RecordBatch]:
+    """SEATED rows of a bucket in which every pair has one table."""
+    _, names, at, count = unpacked_pairs(data)
+    tables = np.bincount(at, weights=count > 0, minlength=len(names)).astype(np.int64)
+    customers = np.bincount(at, weights=count, minlength=len(names)).astype(np.int64)
+    for i in range(0, len(names), RESTAURANTS):
+        some = slice(i, i + RESTAURANTS)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(names[some]), b, np.int32)), pa.array(names[some].view(np.int64)),
+             pa.array(tables[some]), pa.array(customers[some])], ["bucket", "context", "tables", "customers"])
 
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, customers = np.zeros(RESTAURANTS, np.int64), np.zeros(RESTAURANTS, np.int64)
-        totals: dict[int, int] = {}
-        root = 0
+
+def opened(buckets: DataFrame) -> DataFrame:
+    """SEATED rows before the first round."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = Bucket(*unpack(data), sent.value, (number << 32) + b)
-                for _ in range(SWEEPS):
-                    own.sweep()
-                tables += np.bincount(own.context, weights=own.tables, minlength=RESTAURANTS).astype(np.int64)
-                customers += np.bincount(own.context, weights=own.count, minlength=RESTAURANTS).astype(np.int64)
-                many = np.isin(own.word, hot)
-                root += int(own.root[~many].sum())
-                for w, t in zip(own.word[many].tolist(), np.bincount(own.of, weights=own.tables, minlength=len(own.word))[many].tolist()):
-                    totals[w] = totals.get(w, 0) + int(t)
-        names = [*range(SLICES), SLICES]
-        slices = [pack(tables[i * width:(i + 1) * width], customers[i * width:(i + 1) * width]) for i in range(SLICES)]
-        slices.append(pack(np.array([root]), np.array(list(totals), dtype=np.uint64), np.array(list(totals.values()), dtype=np.int64)))
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(slices, pa.binary())], ["slice", "data"])
+                yield from first_seating(data, b)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, list[np.ndarray]] = {}
-        root, totals = 0, {}
-        for batch in batches:
-            for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts = unpack(data)
-                if i == SLICES:
-                    root += int(parts[0][0])
-                    for w, t in zip(parts[1].tolist(), parts[2].tolist()):
-                        totals[w] = totals.get(w, 0) + t
-                elif i in sums:
-                    sums[i] = [x + y for x, y in zip(sums[i], parts)]
-                else:
-                    sums[i] = parts
-        out = [(i, pack(*v)) for i, v in sums.items()]
-        if root or totals:
-            out.append((SLICES, pack(np.array([root]), np.array(list(totals), dtype=np.uint64), np.array(list(totals.values()), dtype=np.int64))))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())], ["slice", "data"])
-
-    shared = buckets.select("bucket", "pairs").mapInArrow(sample, "slice int, data binary")
-    tables, customers = np.zeros(RESTAURANTS), np.zeros(RESTAURANTS)
-    root, totals = 0, {}
-    for r in shared.repartition(SLICES + 1, "slice").mapInArrow(add, "slice int, data binary").collect():
-        parts = unpack(r.data)  # SLICES + 1 rows
-        if r.slice == SLICES:
-            root += int(parts[0][0])
-            totals = dict(zip(parts[1].tolist(), map(float, parts[2].tolist())))
-        else:
-            tables[r.slice * width:(r.slice + 1) * width] = parts[0]
-            customers[r.slice * width:(r.slice + 1) * width] = parts[1]
+    return buckets.select("bucket", "pairs").mapInArrow(run, SEATED)
+
+
+def restaurants(seated: DataFrame) -> DataFrame:
+    """SEATED rows with the sums over all buckets: what a bucket needs to know of its contexts."""
+    context = Window.partitionBy("context")  # a row per bucket at most
+    return seated.where("bucket >= 0").select(
+        "bucket", "context", *(F.sum(c).over(context).alias(c) for c in ("tables", "customers")))
+
+
+def round_of(buckets: DataFrame, seated: DataFrame, state: State, number: int, hot: np.ndarray) -> tuple[DataFrame, State]:
+    """Sample all buckets once: their SEATED rows, and the root."""
+    spark = buckets.sparkSession
+    sent = spark.sparkContext.broadcast(state)  # the root and the hot words
+
+    def sample(left: pa.Table, right: pa.Table) -> pa.Table:
+        b, data = left["bucket"][0].as_py(), left["pairs"][0].as_py()
+        word, names, at, count = unpacked_pairs(data)
+        own = Bucket(word, at, count, sent.value.at(names, right), (number << 32) + b)
+        for _ in range(SWEEPS):
+            own.sweep()
+        tables = np.bincount(at, weights=own.tables, minlength=len(names)).astype(np.int64)
+        customers = np.bincount(at, weights=count, minlength=len(names)).astype(np.int64)
+        many = np.isin(own.word, hot)
+        served = np.bincount(own.of, weights=own.tables, minlength=len(own.word))[many].astype(np.int64)
+        none = np.zeros(1 + len(served), np.int64)
+        kind = np.concatenate([np.full(len(names), b), [ROOT], np.full(len(served), HOT)]).astype(np.int32)
+        return pa.table({
+            "bucket": kind, "context": np.concatenate([names, np.zeros(1, np.uint64), own.word[many]]).view(np.int64),
+            "tables": np.concatenate([tables, [own.root[~many].sum()], served]).astype(np.int64),
+            "customers": np.concatenate([customers, none])})
+
+    met = buckets.select("bucket", "pairs").groupBy("bucket").cogroup(restaurants(seated).groupBy("bucket"))
+    seated = stored(met.applyInArrow(sample, SEATED), "seated")
+    sent.unpersist()
+    sums = {(r.kind, r.name): r.n for r in seated.groupBy(
+        F.least("bucket", F.lit(0)).alias("kind"), F.when(F.col("bucket") == HOT, F.col("context")).alias("name")).agg(
+        F.sum("tables").alias("n")).collect()}  # two rows and the hot words
+    totals = {name & (1 << 64) - 1: float(n) for (kind, name), n in sums.items() if kind == HOT}
     # Hot words are few; each has its customers spread over buckets and is seated here.
     few = np.array(list(totals.values()), dtype=np.int64)
     fresh = np.full(len(few), (ROOT_STRENGTH + ROOT_DISCOUNT * state.root_tables) / (state.known + 1))
-    root += int(seat(few, fresh, ROOT_DISCOUNT, np.random.default_rng(number)).sum())
-    sent.unpersist()
-    return State(customers, tables, state.known, float(tables.sum()), float(root), totals)
+    root = sums.get((ROOT, None), 0) + int(seat(few, fresh, ROOT_DISCOUNT, np.random.default_rng(number)).sum())
+    return seated, State(None, None, state.known, float(sums.get((0, None), 0)), float(root), totals)
 
 
 # --- scores -----------------------------------------------------------------------
 
-def scored(buckets: DataFrame, state: State, counts: dict[int, int], total: int) -> DataFrame:
+def scored(buckets: DataFrame, seated: DataFrame, state: State, counts: dict[int, int], total: int) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every document.
 
     A bucket returns its partial sums packed by the input partition of the documents
@@ -374,31 +404,29 @@ def scored(buckets: DataFrame, state: State, counts: dict[int, int], total: int)
     """
     sent = buckets.sparkSession.sparkContext.broadcast((state, counts))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
         shared, hot_counts = sent.value
-        for batch in batches:
-            for i in range(batch.num_rows):
-                b, pairs, entries = (batch.column(j)[i].as_py() for j in range(3))
-                own = Bucket(*unpack(pairs), shared, b)
-                mean = np.zeros(len(own.count))
-                for _ in range(SAMPLES):
-                    own.sweep()
-                    mean += own.probability() / SAMPLES
-                c = np.bincount(own.of, weights=own.count, minlength=len(own.word))
-                if hot_counts:
-                    c = np.array([hot_counts.get(w, n) for w, n in zip(own.word.tolist(), c.tolist())])
-                base = np.log10((c + 0.5) / (total + 0.5 * (shared.known + 1)))[own.of]
-                known = (c > 0)[own.of]
-                step, doc, n, row, doc_id, flag = unpack(entries)
-                pair = np.cumsum(step, dtype=np.int64)
-                of_doc = lambda v: np.bincount(doc, weights=v, minlength=len(row))  # noqa: E731,B023
-                values = [of_doc(n).astype(np.int64), of_doc(n * known[pair]).astype(np.int64),
-                          of_doc(n * base[pair]), of_doc(n * np.log10(mean)[pair])]
-                groups = row >> GROUP_SHIFT
-                names = np.unique(groups)
-                parts = [pack(*(v[groups == g] for v in (row, doc_id, flag, *values))) for g in names]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names), pa.array(parts, pa.binary())], ["group", "part"])
+        b, pairs, entries = (left[j][0].as_py() for j in range(3))
+        word, names, at, count = unpacked_pairs(pairs)
+        own = Bucket(word, at, count, shared.at(names, right), b)
+        mean = np.zeros(len(own.count))
+        for _ in range(SAMPLES):
+            own.sweep()
+            mean += own.probability() / SAMPLES
+        c = np.bincount(own.of, weights=own.count, minlength=len(own.word))
+        if hot_counts:
+            c = np.array([hot_counts.get(w, n) for w, n in zip(own.word.tolist(), c.tolist())])
+        base = np.log10((c + 0.5) / (total + 0.5 * (shared.known + 1)))[own.of]
+        known = (c > 0)[own.of]
+        step, doc, n, row, doc_id, flag = unpack(entries)
+        pair = np.cumsum(step, dtype=np.int64)
+        of_doc = lambda v: np.bincount(doc, weights=v, minlength=len(row))
+        values = [of_doc(n).astype(np.int64), of_doc(n * known[pair]).astype(np.int64),
+                  of_doc(n * base[pair]), of_doc(n * np.log10(mean)[pair])]
+        groups = row >> GROUP_SHIFT
+        parts = np.unique(groups)
+        return pa.table({"group": parts, "part": pa.array(
+            [pack(*(v[groups == g] for v in (row, doc_id, flag, *values))) for g in parts], pa.binary())})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
@@ -415,7 +443,8 @@ def scored(buckets: DataFrame, state: State, counts: dict[int, int], total: int)
                  *(pa.array(v) for v in sums[2:])],
                 ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    parts = buckets.mapInArrow(run, "group long, part binary")
+    met = buckets.groupBy("bucket").cogroup(restaurants(seated).groupBy("bucket"))
+    parts = met.applyInArrow(run, "group long, part binary")
     return parts.repartition("group").mapInArrow(
         add, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
@@ -434,11 +463,10 @@ def score_texts(documents: DataFrame, folds: int = 5, held_out_fold: int = 1) ->
     counts = {r.word & (1 << 64) - 1: r.c for r in hot_rows}
     hot = np.array(list(counts), dtype=np.uint64)
     table = stored(bucket_rows(dealt(rows, hot, buckets), buckets), "buckets")
-    customers = np.zeros(RESTAURANTS)
-    state = State(customers, np.full(RESTAURANTS, 0.6 * total / RESTAURANTS), known, 0.6 * total, float(known),
-                  {w: 0.3 * c for w, c in counts.items()})
+    seated = stored(opened(table), "opened")
+    state = State(None, None, known, 0.6 * total, float(known), {w: 0.3 * c for w, c in counts.items()})
     for number in range(1, ROUNDS + 1):
-        state = round_of(table, state, number, hot)
-    out = scored(table, state, counts, total)
+        seated, state = round_of(table, seated, state, number, hot)
+    out = scored(table, seated, state, counts, total)
     return out.select("doc_id", F.coalesce(id_fold("doc_id", folds) == held_out_fold, F.lit(False)).alias("held_out"),
                       "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

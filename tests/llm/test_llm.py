@@ -319,6 +319,17 @@ def test_probabilities_of_a_context_sum_to_one():
     assert abs(own.probability().sum() + unknown - 1) < 1e-9
 
 
+def test_every_context_word_has_its_own_restaurant(spark):
+    """More contexts than 2^18 restaurants could tell apart, each with its own next word."""
+    before = np.arange(1, 400_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert len(np.unique(language_model.contexts(before))) == len(before)
+    count = np.full(len(before), 3)
+    data = language_model.packed_pairs(np.full(len(before), 7, dtype=np.uint64), before, count)
+    table = spark.createDataFrame([(0, bytearray(data)), (1, bytearray(data))], "bucket int, pairs binary")
+    got = language_model.restaurants(language_model.opened(table)).groupBy("tables", "customers").count().collect()
+    assert [tuple(r) for r in got] == [(2, 6, 2 * len(before))]
+
+
 def test_pack_round_trip():
     arrays = [np.arange(5, dtype=np.uint64), np.array([], dtype=np.uint32), np.array([1.5, -2]), np.array([1, 0], dtype=np.uint8)]
     assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, language_model.unpack(language_model.pack(*arrays))))
