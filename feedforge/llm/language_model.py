@@ -13,14 +13,18 @@ is a single customer up to GROUP customers, and 1 / GROUP of those seated beyond
 so the work of a frequent pair grows with the logarithm of its count. Probabilities
 are averaged over the samples of the last round.
 
-How it is spread: words are dealt into buckets by their hash, the most frequent ones
-by word and context, so that no word fills a bucket. A bucket holds all pairs of its
-words, as one row of packed numbers: the counts in training, and the documents that
-need them. Buckets are sampled independently given the tables and customers of the
-restaurants. These are a Spark table of one row per bucket and context: after every
-round it is summed up by context, and the sums meet the pairs of their bucket in the
-next one. Scores come back as partial sums per document, packed. Of the restaurants
-only the totals of the root and of the most frequent words reach the driver.
+How it is spread: words are dealt into buckets of about BUCKET_TOKENS tokens by their
+hash, the most frequent ones by word and context. Documents stay together in chunks of
+about CHUNK_TOKENS tokens. A chunk asks every bucket for the pairs it has of it, each
+once and with its training count, and keeps which document has a pair how often; so a
+pair adds one number a chunk to its bucket, however frequent it is. A bucket is one row
+of packed numbers: its pairs with their counts, and who asks for them.
+
+Buckets are sampled independently given the tables and customers of the restaurants.
+These are a Spark table of one row per bucket and context: after every round it is
+summed up by context, and the sums meet the pairs of their bucket in the next one. At
+the end a bucket answers each chunk, which sums up the scores of its documents. What
+reaches the driver are totals and the most frequent words, HOT_SHARE a bucket at most.
 
 Defined results: a null text is an empty one and has the end token only. Documents
 without an id are scored, not learned from, and not held out. Repeated rows are
@@ -48,8 +52,8 @@ ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 GROUP = 32
 ROUNDS, SWEEPS, SAMPLES = 2, 2, 2
 CHUNK_TOKENS = 1_000_000
-GROUP_SHIFT = 33  # fixed: monotonically_increasing_id has the partition above bit 33
-HOT_SHARE = 4  # a word with over 1 / (HOT_SHARE * buckets) of the tokens is dealt by context
+BUCKET_TOKENS = 2_000_000
+HOT_SHARE = 4  # a word with over BUCKET_TOKENS / HOT_SHARE tokens is dealt by context
 END = np.uint64(0x5D3A4E8B1F6C2907)
 START = np.uint64(0x27C1B0A94D85E3F6)
 HASHES = WordHashes()
@@ -105,20 +109,35 @@ def runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """stored(), whose shuffle files go when it is written: nothing reads them again."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.set(key, before)
+
+
 # --- unigrams ---------------------------------------------------------------------
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """(word, c) over the training rows."""
+    """(word, c, n): how often in the training rows, and in all rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = column_bytes(batch, "text")
+            texts, train = column_bytes(batch, "text"), batch.column(0).to_pylist()
             for part in chunks(texts):
-                words, n = np.unique(np.concatenate([tokens(texts[i]) for i in part]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "c"])
+                for learned in (True, False):
+                    found = [tokens(texts[i]) for i in part if train[i] is learned]
+                    if found:
+                        words, n = np.unique(np.concatenate(found), return_counts=True)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(words.view(np.int64)), pa.array(n if learned else n * 0), pa.array(n)], ["word", "c", "n"])
 
-    return (rows.where("train").select("text").mapInArrow(count, "word long, c long")
-            .groupBy("word").agg(F.sum("c").alias("c")))
+    return (rows.select("train", "text").mapInArrow(count, "word long, c long, n long")
+            .groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n")))
 
 
 def chunks(texts: list[bytes | None]) -> Iterator[list[int]]:
@@ -136,12 +155,18 @@ def chunks(texts: list[bytes | None]) -> Iterator[list[int]]:
 
 # --- buckets ----------------------------------------------------------------------
 
+def bucket_count(n_tokens: int) -> int:
+    """Buckets for a corpus: by its tokens, whatever the cores and the shuffle partitions."""
+    return max(1, -(-n_tokens // BUCKET_TOKENS))
+
+
 def dealt(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """(bucket, part): the tokens of a chunk of documents that belong to a bucket.
+    """(bucket, chunk, part): what a chunk of documents asks a bucket, and what it keeps.
 
-    A part holds, sorted by word, context and document: words with their numbers of
-    pairs, pairs (context) with their numbers of entries, entries (document, count),
-    and the documents (row, id, train).
+    A question holds, sorted by word and context: words with their numbers of pairs,
+    contexts and training counts. What a chunk keeps (bucket < 0) are its pairs in the
+    order of the questions with their numbers of entries, the entries (document, count),
+    and the documents (id, flags).
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,61 +179,51 @@ def dealt(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
                 found = [tokens(texts[i]) for i in part]
                 word = np.concatenate(found)
                 context = np.concatenate([contexts(f) for f in found])
-                doc = np.repeat(np.array(part), [len(f) for f in found])
+                doc = np.repeat(np.arange(len(part), dtype=np.uint32), [len(f) for f in found])
                 place = mix(word)
                 many = np.isin(word, hot)
                 place[many] = mix(place[many] + context[many])
-                bucket = (place >> np.uint64(16)) % np.uint64(buckets)
+                bucket = ((place >> np.uint64(16)) % np.uint64(buckets)).astype(np.int32)
+                del found, place, many
                 order = np.lexsort((doc, context, word, bucket))
-                word, context, doc, bucket = word[order], context[order], doc[order], bucket[order].astype(np.int32)
+                word, context, doc, bucket = word[order], context[order], doc[order], bucket[order]
+                entry = runs(word, context, doc)
+                times = np.diff([*entry, len(word)])
+                word, context, doc, bucket = word[entry], context[entry], doc[entry], bucket[entry]
+                pair = runs(word, context)
+                learned = np.add.reduceat(times * (flags[part][doc] & 1), pair)
+                per_pair = np.diff([*pair, len(word)]).astype(np.uint32)
+                word, context, bucket = word[pair], context[pair], bucket[pair]
                 edges = runs(bucket)
-                out_bucket, out_part = [], []
+                out = []
                 for a, b in zip(edges, [*edges[1:], len(bucket)]):
-                    w, c, d = word[a:b], context[a:b], doc[a:b]
-                    entry = runs(w, c, d)
-                    times = np.diff([*entry, len(w)])
-                    w, c, d = w[entry], c[entry], d[entry]
-                    pair = runs(w, c)
-                    first = runs(w[pair])
-                    own, at = np.unique(d, return_inverse=True)
-                    out_bucket.append(bucket[a])
-                    out_part.append(pack(
-                        w[pair][first], np.diff([*first, len(pair)]).astype(np.uint32),
-                        c[pair], np.diff([*pair, len(w)]).astype(np.uint32),
-                        at.astype(np.uint32), times.astype(np.uint32), row[own], ids[own], flags[own]))
+                    first = runs(word[a:b])
+                    out.append(pack(word[a:b][first], np.diff([*first, b - a]).astype(np.uint32), context[a:b], learned[a:b]))
+                out.append(pack(per_pair, doc, times.astype(np.uint32), ids[part], flags[part]))
+                chunk = int(row[part[0]])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out_bucket, pa.int32()), pa.array(out_part, pa.binary())], ["bucket", "part"])
+                    [pa.array([*bucket[edges].tolist(), -1 - (chunk ^ chunk >> 33) % buckets], pa.int32()),
+                     pa.array([chunk] * len(out), pa.int64()), pa.array(out, pa.binary())], ["bucket", "chunk", "part"])
 
-    return rows.select("row", "doc_id", "train", "text").mapInArrow(
-        deal, "bucket int, part binary")
+    return rows.select("row", "doc_id", "train", "text").mapInArrow(deal, "bucket int, chunk long, part binary")
 
 
 def merged(parts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """One bucket: pairs (word, context, training count), entries, documents."""
-    words, contexts_, docs, times, rows, ids, flags = [], [], [], [], [], [], []
+    """One bucket: pairs (word, context, training count), and the pair of every question."""
+    words, contexts_, counts = [], [], []
     for data in parts:
-        w, per_word, c, per_pair, d, n, row, doc_id, flag = unpack(data)
-        words.append(np.repeat(np.repeat(w, per_word), per_pair))
-        contexts_.append(np.repeat(c, per_pair))
-        docs.append(d + np.uint32(sum(map(len, rows))))
-        times.append(n)
-        rows.append(row)
-        ids.append(doc_id)
-        flags.append(flag)
-    columns = [words, contexts_, docs, times]
-    del words, contexts_, docs, times
-    for i, x in enumerate(columns):  # one by one, to hold little at a time
-        columns[i] = np.concatenate(x)
-        x.clear()
-    word, context, doc, n = columns
-    del columns
-    flag = np.concatenate(flags)
+        w, per_word, c, n = unpack(data)
+        words.append(np.repeat(w, per_word))
+        contexts_.append(c)
+        counts.append(n)
+    word, context, count = map(np.concatenate, (words, contexts_, counts))
+    del words, contexts_, counts
     order = np.lexsort((context, word))
-    word, context, doc, n = word[order], context[order], doc[order], n[order]
+    word, context, count = word[order], context[order], count[order]
     start = runs(word, context)
-    pair = np.repeat(np.arange(len(start)), np.diff([*start, len(word)]))
-    count = np.bincount(pair, weights=n * (flag[doc] & 1), minlength=len(start)).astype(np.int64)
-    return word[start], context[start], count, pair.astype(np.uint32), doc, n, np.concatenate(rows), np.concatenate(ids), flag
+    of = np.empty(len(order), dtype=np.uint32)
+    of[order] = np.repeat(np.arange(len(start), dtype=np.uint32), np.diff([*start, len(word)]))
+    return word[start], context[start], np.add.reduceat(count, start), of
 
 
 def packed_pairs(word: np.ndarray, context: np.ndarray, count: np.ndarray) -> bytes:
@@ -225,20 +240,30 @@ def unpacked_pairs(data: bytes) -> tuple[np.ndarray, ...]:
 
 
 def bucket_rows(parts: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, pairs, entries): one row per bucket."""
+    """(bucket, chunk, pairs, asks, entries): a row per bucket, and one per chunk with its entries."""
+
+    def row(b: int, chunk: int | None, *data: bytes | None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([b], pa.int32()), pa.array([chunk], pa.int64()), *(pa.array([d], pa.binary()) for d in data)],
+            ["bucket", "chunk", "pairs", "asks", "entries"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {}
+        held: dict[int, list[tuple[int, bytes]]] = {}
         for batch in batches:
-            for b, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(b, []).append(part)
+            for b, chunk, part in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if b < 0:
+                    yield row(b, chunk, None, None, part)
+                else:
+                    held.setdefault(b, []).append((chunk, part))
         for b in list(held):
-            word, context, count, pair, doc, n, row, doc_id, flag = merged(held.pop(b))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b], pa.int32()), pa.array([packed_pairs(word, context, count)], pa.binary()),
-                 pa.array([pack(np.diff(pair, prepend=pair[:1]), doc, n, row, doc_id, flag)], pa.binary())], ["bucket", "pairs", "entries"])
+            asking, own = zip(*held.pop(b))
+            sizes = [len(unpack(part)[2]) for part in own]
+            word, context, count, of = merged(own)
+            asks = pack(np.array(asking), np.array(sizes), np.diff(of, prepend=of[:1] * 0))  # differences wrap around
+            yield row(b, None, packed_pairs(word, context, count), asks, None)
 
-    return parts.repartition(buckets, "bucket").mapInArrow(gather, "bucket int, pairs binary, entries binary")
+    return parts.repartition(buckets, "bucket").mapInArrow(
+        gather, "bucket int, chunk long, pairs binary, asks binary, entries binary")
 
 
 # --- seating ----------------------------------------------------------------------
@@ -381,7 +406,7 @@ def round_of(buckets: DataFrame, seated: DataFrame, state: State, number: int, h
             "customers": np.concatenate([customers, none])})
 
     met = buckets.select("bucket", "pairs").groupBy("bucket").cogroup(restaurants(seated).groupBy("bucket"))
-    seated = stored(met.applyInArrow(sample, SEATED), "seated")
+    seated = kept(met.applyInArrow(sample, SEATED), "seated")
     sent.unpersist()
     sums = {(r.kind, r.name): r.n for r in seated.groupBy(
         F.least("bucket", F.lit(0)).alias("kind"), F.when(F.col("bucket") == HOT, F.col("context")).alias("name")).agg(
@@ -396,56 +421,58 @@ def round_of(buckets: DataFrame, seated: DataFrame, state: State, number: int, h
 
 # --- scores -----------------------------------------------------------------------
 
-def scored(buckets: DataFrame, seated: DataFrame, state: State, counts: dict[int, int], total: int) -> DataFrame:
+def scored(buckets: DataFrame, entries: DataFrame, seated: DataFrame, state: State, counts: dict[int, int], total: int) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every document.
 
-    A bucket returns its partial sums packed by the input partition of the documents
-    (the upper bits of their row numbers), and these are added up per partition.
+    A bucket answers every chunk with the values of its pairs, packed; a chunk puts the
+    answers in the order of the buckets and sums them up for its documents.
     """
     sent = buckets.sparkSession.sparkContext.broadcast((state, counts))
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         shared, hot_counts = sent.value
-        b, pairs, entries = (left[j][0].as_py() for j in range(3))
+        b, pairs, asks = (left[j][0].as_py() for j in ("bucket", "pairs", "asks"))
         word, names, at, count = unpacked_pairs(pairs)
         own = Bucket(word, at, count, shared.at(names, right), b)
         mean = np.zeros(len(own.count))
         for _ in range(SAMPLES):
             own.sweep()
             mean += own.probability() / SAMPLES
+        score = np.log10(mean)
         c = np.bincount(own.of, weights=own.count, minlength=len(own.word))
         if hot_counts:
             c = np.array([hot_counts.get(w, n) for w, n in zip(own.word.tolist(), c.tolist())])
-        base = np.log10((c + 0.5) / (total + 0.5 * (shared.known + 1)))[own.of]
-        known = (c > 0)[own.of]
-        step, doc, n, row, doc_id, flag = unpack(entries)
-        pair = np.cumsum(step, dtype=np.int64)
-        of_doc = lambda v: np.bincount(doc, weights=v, minlength=len(row))
-        values = [of_doc(n).astype(np.int64), of_doc(n * known[pair]).astype(np.int64),
-                  of_doc(n * base[pair]), of_doc(n * np.log10(mean)[pair])]
-        groups = row >> GROUP_SHIFT
-        parts = np.unique(groups)
-        return pa.table({"group": parts, "part": pa.array(
-            [pack(*(v[groups == g] for v in (row, doc_id, flag, *values))) for g in parts], pa.binary())})
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {}
-        for batch in batches:
-            for g, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(g, []).append(part)
-        for g in list(held):
-            parts = list(zip(*map(unpack, held.pop(g))))
-            row, first, at = np.unique(np.concatenate(parts[0]), return_index=True, return_inverse=True)
-            doc_id, flag = np.concatenate(parts[1])[first], np.concatenate(parts[2])[first]
-            sums = [np.bincount(at, weights=np.concatenate(p), minlength=len(row)) for p in parts[3:]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_id, mask=(flag & 2) > 0), *(pa.array(v.astype(np.int64)) for v in sums[:2]),
-                 *(pa.array(v) for v in sums[2:])],
-                ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+        base = np.log10((c + 0.5) / (total + 0.5 * (shared.known + 1)))
+        asking, sizes, step = unpack(asks)
+        pair = np.cumsum(step, dtype=np.uint32)
+        out, at = [], 0
+        for n in sizes.tolist():
+            some = pair[at:at + n]
+            of = own.of[some]
+            first = runs(of)
+            out.append(pack(score[some], np.diff([*first, n]).astype(np.uint32), base[of[first]], (c[of[first]] > 0).astype(np.uint8)))
+            at += n
+        return pa.table({"chunk": asking, "bucket": pa.array([b] * len(out), pa.int32()), "part": pa.array(out, pa.binary())})
+
+    def add(left: pa.Table, right: pa.Table) -> pa.Table:
+        order = np.argsort(right["bucket"].to_numpy())
+        score, base, known = [], [], []
+        for i in order.tolist():
+            s, per_word, word_base, word_known = unpack(right["part"][i].as_py())
+            score.append(s)
+            base.append(np.repeat(word_base, per_word))
+            known.append(np.repeat(word_known, per_word))
+        per_pair, doc, n, doc_id, flag = unpack(left["entries"][0].as_py())
+        sums = [np.bincount(doc, weights=n, minlength=len(doc_id))]
+        for values in (known, base, score):
+            sums.append(np.bincount(doc, weights=n * np.repeat(np.concatenate(values), per_pair), minlength=len(doc_id)))
+        return pa.table({
+            "doc_id": pa.array(doc_id, mask=(flag & 2) > 0), "n_tokens": sums[0].astype(np.int64),
+            "n_known": sums[1].astype(np.int64), "base_score": sums[2], "score": sums[3]})
 
     met = buckets.groupBy("bucket").cogroup(restaurants(seated).groupBy("bucket"))
-    parts = met.applyInArrow(run, "group long, part binary")
-    return parts.repartition("group").mapInArrow(
+    answers = met.applyInArrow(answer, "chunk long, bucket int, part binary")
+    return entries.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         add, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
@@ -456,17 +483,19 @@ def score_texts(documents: DataFrame, folds: int = 5, held_out_fold: int = 1) ->
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "text",
         F.coalesce(fold != held_out_fold, F.lit(False)).alias("train"))
-    words = stored(word_counts(rows), "word-counts")
-    known, total = words.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    hot_rows = words.where(F.col("c") * HOT_SHARE * buckets > total).collect()  # under HOT_SHARE * buckets rows
+    words = kept(word_counts(rows), "word-counts")
+    known, total, n_tokens = words.agg(F.count_if(F.col("c") > 0), *(F.coalesce(F.sum(x), F.lit(0)) for x in ("c", "n"))).first()
+    buckets = bucket_count(n_tokens)
+    hot_rows = words.where(F.col("n") * HOT_SHARE > BUCKET_TOKENS).collect()  # HOT_SHARE * buckets rows at most
     counts = {r.word & (1 << 64) - 1: r.c for r in hot_rows}
     hot = np.array(list(counts), dtype=np.uint64)
-    table = stored(bucket_rows(dealt(rows, hot, buckets), buckets), "buckets")
-    seated = stored(opened(table), "opened")
+    parts = kept(bucket_rows(dealt(rows, hot, buckets), buckets), "buckets")
+    table = parts.where("bucket >= 0").select("bucket", "pairs", "asks")
+    entries = parts.where("bucket < 0").select("chunk", "entries")
+    seated = opened(table)
     state = State(None, None, known, 0.6 * total, float(known), {w: 0.3 * c for w, c in counts.items()})
     for number in range(1, ROUNDS + 1):
         seated, state = round_of(table, seated, state, number, hot)
-    out = scored(table, seated, state, counts, total)
+    out = scored(table, entries, seated, state, counts, total)
     return out.select("doc_id", F.coalesce(id_fold("doc_id", folds) == held_out_fold, F.lit(False)).alias("held_out"),
                       "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -330,6 +330,29 @@ def test_every_context_word_has_its_own_restaurant(spark):
     assert [tuple(r) for r in got] == [(2, 6, 2 * len(before))]
 
 
+def test_buckets_follow_the_tokens_and_a_hot_pair_adds_one_number_a_chunk(spark):
+    assert [language_model.bucket_count(n) for n in (0, 1, 2_000_001, 5_000_000_000)] == [1, 1, 2, 2500]
+    rows = spark.range(400).repartition(8).select(
+        F.col("id").alias("row"), F.col("id").alias("doc_id"), F.lit("same " * 50).alias("text"), F.lit(True).alias("train"))
+    made = language_model.bucket_rows(language_model.dealt(rows, language_model.tokens(b"same")[:1], 4), 4).collect()
+    held = [r for r in made if r.bucket >= 0]
+    assert sum(r.entries is not None for r in made) == 8 and all(r.entries is None for r in held)
+    assert sum(len(language_model.unpack(r.asks)[2]) for r in held) == 3 * 8  # three pairs, eight chunks
+    assert sum(language_model.unpacked_pairs(r.pairs)[3].sum() for r in held) == 400 * 51
+
+
+def test_many_buckets_and_hot_words_give_the_same_counts(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i if i % 7 else None, words(rng, 9) + " fixed pair" * rng.randint(0, 4), "en") for i in range(400)] + ODD
+    table = frame(spark, rows).repartition(5)
+    name = lambda r: (r.doc_id or -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5))
+    one = language_model.score_texts(table).collect()
+    monkeypatch.setattr(language_model, "BUCKET_TOKENS", 800)
+    many = language_model.score_texts(table).collect()
+    assert sorted(map(name, one)) == sorted(map(name, many))
+    assert abs(sum(r.score for r in many) / sum(r.score for r in one) - 1) < 0.03
+
+
 def test_pack_round_trip():
     arrays = [np.arange(5, dtype=np.uint64), np.array([], dtype=np.uint32), np.array([1.5, -2]), np.array([1, 0], dtype=np.uint8)]
     assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, language_model.unpack(language_model.pack(*arrays))))
