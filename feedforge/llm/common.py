@@ -26,13 +26,14 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
     """Write to a new folder in the shared work folder and read back.
 
-    Cuts the lineage: what is read later survives the loss of executors.
+    Cuts the lineage: what is read later survives the loss of executors. With
+    ``by``, a filter on those columns reads only its own files.
     """
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

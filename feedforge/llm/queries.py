@@ -7,9 +7,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import (decontamination, language_id, language_model, piece_codec, quality_classifier,
-               simhash_dedup, substring_dedup, token_counts, topk_search, url_filter)
+from . import (decontamination, language_id, language_model, merkle_manifest, piece_codec, prefix_trie,
+               quality_classifier, simhash_dedup, substring_dedup, token_counts, topk_search, toxicity, url_filter)
+from .tree_sql import MERKLE_SQL, PREFIX_TRIE_SQL
 
 PIECE_MODEL = "piece_bpe_32k.model"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -64,9 +66,23 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_manifest.manifest(_table(spark, folder, "documents"))
+
+
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.col("offending.position").alias("offending"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_decontamination, op3_url_filter, op4_language_id, op5_simhash_dedup,
-    op6_topk_search, op7_language_model, op8_substring_dedup, op9_sentencepiece, op10_token_counts)}
+    op6_topk_search, op7_language_model, op8_substring_dedup, op9_sentencepiece, op10_token_counts,
+    op11_prefix_trie, op12_merkle_manifest, op13_toxicity)}
 
 _SUFFIX = r"""case when length(split_part(host, '.', -1)) = 2
     and split_part(host, '.', -2) in ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org')
@@ -146,4 +162,5 @@ ranked as (
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 
-ORACLES = {"op3_url_filter": URL_FILTER_SQL, "op6_topk_search": TOP_K_SQL}
+ORACLES = {"op3_url_filter": URL_FILTER_SQL, "op6_topk_search": TOP_K_SQL,
+           "op11_prefix_trie": PREFIX_TRIE_SQL, "op12_merkle_manifest": MERKLE_SQL}
