@@ -314,3 +314,15 @@ def completeness(layers: DataFrame, minimum: float = 0.8) -> DataFrame:
     """
     share = _share(F.col("upper_rows"), F.col("lower_rows"))
     return layers.withColumns({"completeness": F.round(share, 4), "success": share >= minimum})
+
+
+def enforce_completeness(ledger: DataFrame, minimum: float = 0.8) -> None:
+    """Raise if too little of what an entity delivered was kept; repeated deliveries are no loss.
+
+    The ledger has a row per entity of a run (``layer_ledger``).
+    """
+    layers = ledger.select("entity", (F.col("records_read") - F.col("duplicates_removed")).alias("lower_rows"),
+                           F.col("records_kept").alias("upper_rows"))
+    lacking = [f"{r['entity']} {r['completeness']}" for r in completeness(layers, minimum).collect() if r["success"] is False]
+    if lacking:
+        raise QualityGateError(f"less than {minimum} kept: {', '.join(lacking)}")

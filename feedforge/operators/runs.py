@@ -15,6 +15,21 @@ SUMMARY_SCHEMA = """run_id string, job_name string, source string, started_at ti
     records_rejected bigint, files_processed bigint"""
 
 
+LEDGER_SCHEMA = """run_id string, started_at timestamp, entity string, records_read bigint,
+    records_rejected bigint, duplicates_removed bigint, records_kept bigint, files_processed bigint"""
+
+
+def layer_ledger(spark: SparkSession, run_id: str, started_at: datetime,
+                 counts: Sequence[tuple[str, int, int, int, int]]) -> DataFrame:
+    """One row per entity of a run, from (entity, read, rejected, kept, files).
+
+    What was read is kept, rejected, or a repeated delivery of something kept.
+    """
+    rows = [(run_id, started_at, entity, read, rejected, read - rejected - kept, kept, files)
+            for entity, read, rejected, kept, files in counts]
+    return spark.createDataFrame(rows, LEDGER_SCHEMA)
+
+
 def layer_counts(raw: DataFrame, required: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Rows read, rejected for null keys, left after dedup, and duplicates removed.
 

@@ -14,42 +14,51 @@ from feedforge.operators import suites
 from feedforge.operators.cleaning import reject_split
 from feedforge.operators.calendar import dim_date
 from feedforge.operators.dedup import dedup_latest
-from feedforge.operators.quality import KEYED, Suite, enforce_all
-from feedforge.operators.runs import run_summary
+from feedforge.operators.quality import KEYED, Suite, enforce_all, enforce_completeness
+from feedforge.operators.runs import layer_ledger, run_summary
 from feedforge.session import pin_utc
 from feedforge.sources.readers import (
-    DAY_COLUMNS, check_range, days_between, read_raw_days, read_table,
+    DAY_COLUMNS, check_range, read_raw_days, read_table,
 )
 from feedforge.sources.schemas import CLEAN_KEYS, NARROW
 from feedforge.sources.workdir import work_dir
-from feedforge.sources.writers import replace_table, write_partitions
+from feedforge.sources.snapshots import in_days, publish, read_snapshot
+from feedforge.sources.writers import replace_table
 
 from . import gold, marts, silver
 
 JOB = "bronze_to_silver"
+FACT_PARTS = ("date_sk",)
 
 
 def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str | None = None,
                end: date | str | None = None, check: bool = True,
-               quarantine: str | None = None, quality: str | None = None) -> DataFrame:
+               quarantine: str | None = None, quality: str | None = None,
+               least_complete: float = 0.8) -> DataFrame:
     """Process the raw days ``start..end`` (default: yesterday) into Silver.
 
-    Days are scanned together but deduplicated per day, and only the partitions
-    of those days are replaced, so a range gives what single days would give and
-    a rerun changes nothing. The partition is the day of the raw folder, so a
-    run cannot touch a day it did not read. With ``quarantine``, rows without
-    their keys are kept in a folder of that name, per entity and day.
+    Days are scanned together but deduplicated per day, and a table's days of the
+    range are replaced in one commit: a day that has no valid row any more is
+    empty afterwards, days outside of the range stay. So a range gives what single
+    days would give, a rerun changes nothing, and a rerun after a repair leaves
+    nothing of before. The partition is the day of the raw folder, so a run cannot
+    touch a day it did not read. With ``quarantine``, rows without their keys are
+    kept in a folder of that name, per entity and day, and replaced alike. Read
+    the tables with ``read_table``.
 
     Every entity is processed on its own data, so a day without tweets still gets
     its engagements and posts; a range without any raw row is left alone. The
     Silver suites of all entities that had raw rows block; their outcomes are
-    appended to the folder ``quality`` before they do. Returns one row that sums
-    the run up: rows written are exact, rows read and rejected are counted at the
-    scan and may include rows of a task that had to be repeated.
+    appended to the folder ``quality`` before they do. A run also blocks if less
+    than ``least_complete`` of an entity's records, repeated deliveries aside, were
+    kept. Returns one row that sums the run up, and appends one per entity to
+    ``target/ledger``: rows kept are exact, rows read and rejected are counted at
+    the scan and may include rows of a task that had to be repeated.
     """
     pin_utc(spark)
     yesterday = datetime.now(timezone.utc).date() - timedelta(days=1)
     first, last = check_range(start or yesterday, end or start or yesterday)
+    covered = in_days(first, last)
     run_id, began = str(uuid.uuid4()), datetime.now(timezone.utc)
     raw = {
         name: read_raw_days(spark, f"{bronze}/{name.replace('.', '/')}", name, first, last,
@@ -58,10 +67,11 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
     }
     if all(df.isEmpty() for df in raw.values()):
         return run_summary(spark, run_id, JOB, "silver", began, 0, 0, 0, 0)
+    files = {name: len(df.inputFiles()) for name, df in raw.items()}
     if quarantine:
         for name, keys in CLEAN_KEYS.items():
             _, rejected = reject_split(raw[name], keys)
-            write_partitions(rejected, f"{quarantine}/{name.replace('.', '/')}")
+            publish(rejected, f"{quarantine}/{name.replace('.', '/')}", DAY_COLUMNS, covered)
     seen = {name: Observation() for name in raw}
     for name, df in raw.items():
         raw[name] = df.observe(
@@ -69,34 +79,41 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
             F.count_if(any_null(CLEAN_KEYS.get(name, ()))).alias("rejected"))
 
     def store(df: DataFrame, entity: str) -> int:
-        return write_partitions(df, f"{target}/{entity}", rebalance=first < last)
+        return publish(df, f"{target}/{entity}", DAY_COLUMNS, covered, rebalance=first < last)
 
-    cleaned = silver.clean_tweets(raw["twitter.tweets"], run_id, within=DAY_COLUMNS)
-    written = store(cleaned, "tweets")
+    def stored(entity: str) -> DataFrame:
+        return read_snapshot(spark, f"{target}/{entity}", where=covered)
+
+    kept = {"tweets": store(silver.clean_tweets(raw["twitter.tweets"], run_id, within=DAY_COLUMNS), "tweets")}
     engaged = silver.clean_engagements(raw["twitter.engagements"], run_id, within=DAY_COLUMNS)
-    written += store(engaged, "engagements")
+    kept["engagements"] = store(engaged, "engagements")
     # The tweets are read back as written rather than cleaned a second time.
-    tweets = (spark.read.schema(cleaned.schema).parquet(f"{target}/tweets")
-              .filter(days_between(first, last)))
-    posts = silver.posts_unified(tweets, raw["youtube.videos"], raw["reddit.posts"], run_id,
-                                 within=DAY_COLUMNS)
-    written += store(posts, "posts")
+    tweets = stored("tweets")
+    posts = silver.posts_unified(tweets, raw["youtube.videos"], raw["reddit.posts"], run_id, within=DAY_COLUMNS)
+    kept["posts"] = store(posts, "posts")
+    read = {name: o.get["read"] for name, o in seen.items()}
+    rejected = {name: o.get["rejected"] for name, o in seen.items()}
+    ledger = layer_ledger(spark, run_id, began, [
+        ("tweets", read["twitter.tweets"], rejected["twitter.tweets"], kept["tweets"], files["twitter.tweets"]),
+        ("engagements", read["twitter.engagements"], rejected["twitter.engagements"], kept["engagements"],
+         files["twitter.engagements"]),
+        # Posts are made of the kept tweets and of all videos and forum posts.
+        ("posts", kept["tweets"] + read["youtube.videos"] + read["reddit.posts"], 0, kept["posts"],
+         files["youtube.videos"] + files["reddit.posts"]),
+    ])
+    publish(ledger, f"{target}/ledger", append=True)
     if check:
-        def stored(entity: str, schema) -> DataFrame:
-            return spark.read.schema(schema).parquet(f"{target}/{entity}").filter(days_between(first, last))
-
         pairs = []
-        if seen["twitter.tweets"].get["read"]:
+        if read["twitter.tweets"]:
             pairs += [_per_day(s, tweets, "tweet_id") for s in (suites.QUICK_SILVER_TWEETS, suites.SILVER_TWEETS)]
-        if seen["twitter.engagements"].get["read"]:
-            pairs.append(_per_day(suites.SILVER_ENGAGEMENTS, stored("engagements", engaged.schema), "engagement_id"))
-        if any(seen[n].get["read"] for n in ("twitter.tweets", "youtube.videos", "reddit.posts")):
-            pairs.append((stored("posts", posts.schema), suites.SILVER_POSTS))
+        if read["twitter.engagements"]:
+            pairs.append(_per_day(suites.SILVER_ENGAGEMENTS, stored("engagements"), "engagement_id"))
+        if any(read[n] for n in ("twitter.tweets", "youtube.videos", "reddit.posts")):
+            pairs.append((stored("posts"), suites.SILVER_POSTS))
         enforce_all(pairs, quality, run_id)
-    return run_summary(
-        spark, run_id, JOB, "silver", began,
-        read=sum(o.get["read"] for o in seen.values()), written=written,
-        rejected=sum(o.get["rejected"] for o in seen.values()), files=0)
+        enforce_completeness(ledger, least_complete)
+    return run_summary(spark, run_id, JOB, "silver", began, read=sum(read.values()), written=sum(kept.values()),
+                       rejected=sum(rejected.values()), files=sum(files.values()))
 
 
 def _per_day(suite: Suite, df: DataFrame, key: str) -> tuple[DataFrame, Suite]:
@@ -111,6 +128,10 @@ def build_gold(spark: SparkSession, silver_root: str, target: str, check: bool =
                quality: str | None = None) -> None:
     """Rebuild every Gold table from Silver.
 
+    Each table is replaced in one commit, written last: a run that is lost leaves
+    the tables it did not come to as they were, and readers never see half a
+    table. The facts are partitioned by date. Read the tables with ``read_table``.
+
     ``quality`` is a folder to which the outcomes of the suites are appended.
 
     Silver keeps a record once per day it was delivered; Gold takes the latest.
@@ -126,20 +147,20 @@ def build_gold(spark: SparkSession, silver_root: str, target: str, check: bool =
     staging = work_dir(spark, "staged-engagements")
     replace_table(gold.stg_engagements(latest), staging)
     engagements = read_table(spark, staging)
-    replace_table(dim_date(spark), f"{target}/dim_date")
-    replace_table(gold.dim_posts(posts), f"{target}/dim_posts")
+    publish(dim_date(spark), f"{target}/dim_date")
+    publish(gold.dim_posts(posts), f"{target}/dim_posts")
     enriched = read_table(spark, f"{target}/dim_posts")
-    replace_table(gold.dim_platforms(enriched), f"{target}/dim_platforms")
+    publish(gold.dim_platforms(enriched), f"{target}/dim_platforms")
     bridge = gold.post_hashtags(enriched)
-    replace_table(bridge, f"{target}/post_hashtags")
-    replace_table(gold.dim_hashtags(read_table(spark, f"{target}/post_hashtags")), f"{target}/dim_hashtags")
-    replace_table(marts.dim_users_of_tweets(read_table(spark, f"{silver_root}/tweets")), f"{target}/dim_users")
+    publish(bridge, f"{target}/post_hashtags")
+    publish(gold.dim_hashtags(read_table(spark, f"{target}/post_hashtags")), f"{target}/dim_hashtags")
+    publish(marts.dim_users_of_tweets(read_table(spark, f"{silver_root}/tweets")), f"{target}/dim_users")
     facts = gold.fact_with_keys(
         gold.fact_engagements(engagements, enriched), read_table(spark, f"{target}/dim_users"),
         read_table(spark, f"{target}/dim_platforms"))
-    replace_table(facts, f"{target}/fact_engagements")
+    publish(facts, f"{target}/fact_engagements", FACT_PARTS, rebalance=True)
     daily = gold.daily_engagements(engagements)
-    replace_table(gold.fact_post_metrics(enriched, daily), f"{target}/fact_post_metrics")
+    publish(gold.fact_post_metrics(enriched, daily), f"{target}/fact_post_metrics", FACT_PARTS, rebalance=True)
     if check:
         enforce_all([
             (read_table(spark, f"{target}/fact_engagements"), suites.GOLD_FACT_ENGAGEMENTS),
@@ -155,7 +176,7 @@ def build_marts(spark: SparkSession, silver_root: str, gold_root: str, target: s
     posts = read_table(spark, f"{gold_root}/dim_posts")
     tweets = read_table(spark, f"{silver_root}/tweets")
     daily_path = f"{target}/daily_engagements"
-    replace_table(gold.daily_engagements(facts, "engagement_timestamp"), daily_path)
+    publish(gold.daily_engagements(facts, "engagement_timestamp"), daily_path)
     daily = read_table(spark, daily_path)  # read by three reports
     tag_days = marts.tag_days_of_posts(daily, read_table(spark, f"{gold_root}/post_hashtags"))
     # Silver keeps a tweet once per delivery day; it mentions a brand once.
@@ -174,4 +195,4 @@ def build_marts(spark: SparkSession, silver_root: str, gold_root: str, target: s
             "post_sk", *gold.POST_KEY, "total_engagement", "engagement_tier", "rank"),
     }
     for name, df in tables.items():
-        replace_table(df, f"{target}/{name}")
+        publish(df, f"{target}/{name}")

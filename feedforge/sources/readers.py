@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .markers import exists
 from .schemas import raw_schema
+from .snapshots import is_snapshot_table, read_snapshot
 
 DAY_COLUMNS = ("year", "month", "day")
 MAX_RANGE_DAYS = 90  # fixed value: longest range one backfill run may cover
@@ -30,40 +31,40 @@ def read_raw_days(spark: SparkSession, root: str, entity: str, start: date, end:
     """Days ``start..end`` of a Hive-partitioned raw table, in one scan.
 
     The day columns are kept (writers reuse them as partitions); deeper ones
-    such as the hour are left out. The filter is on partition columns, so files
-    of other days are not read. A source that never delivered anything is empty.
+    such as the hour are left out. Only the folders of the days are listed, so
+    the scan does not depend on how many days or loads the table has. Days
+    without a folder, and sources that never delivered anything, are empty.
     """
     schema = raw_schema(entity, only, lineage)
     full = T.StructType(schema.fields + [T.StructField(c, T.IntegerType()) for c in DAY_COLUMNS])
-    try:
-        table = spark.read.schema(full).option("basePath", root).json(root)
-    except AnalysisException as e:
-        if not _is_missing(e):
-            raise
-        table = spark.createDataFrame([], full)
+    days = [start + timedelta(days=n) for n in range((end - start).days + 1)]
+    folders = [f for f in (day_folder(root, d) for d in days) if exists(spark, f)]
+    table = spark.read.schema(full).option("basePath", root).json(folders) if folders \
+        else spark.createDataFrame([], full)
     return table.filter(days_between(start, end)).select(*schema.fieldNames(), *DAY_COLUMNS)
 
 
+def day_folder(root: str, day: date) -> str:
+    """Where the raw records of one day of ingestion lie."""
+    return f"{root}/year={day.year:04d}/month={day.month:02d}/day={day.day:02d}"
+
+
 def read_landing_array(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """Landing files holding one JSON array each; one row per element."""
     return spark.read.schema(raw_schema(entity)).option("multiLine", True).json(path)
 
 
 def read_table(spark: SparkSession, root: str, *columns: str) -> DataFrame:
-    """Parquet table, optionally narrowed to some columns."""
+    """Parquet table, optionally narrowed to some columns; of a table with commits, the newest version."""
+    if is_snapshot_table(spark, root):
+        return read_snapshot(spark, root, *columns)
     df = spark.read.parquet(root)
     return df.select(*columns) if columns else df
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is anything to read at a path."""
-    context = spark.sparkContext
-    place = context._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
-
-
-def _is_missing(e: AnalysisException) -> bool:
-    return e.getCondition() == "PATH_NOT_FOUND"
+    return exists(spark, path)
 
 
 def days_between(start: date, end: date) -> Column:

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedforge.functions.columns import utc_timestamp
 
+from .markers import settled
+
 MAX_RECORDS_PER_FILE = 50_000  # fixed value: longest raw file
 DAY_COLUMNS = ("year", "month", "day")
 HOUR_COLUMNS = (*DAY_COLUMNS, "hour")
+HOUR_FOLDERS = {"year": "%Y", "month": "%m", "day": "%d", "hour": "%H"}  # fixed values
 RAW_LAYOUT = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}  # fixed values
 
 
@@ -22,24 +26,50 @@ def with_time_parts(df: DataFrame, ts_column: str, parts: Sequence[str]) -> Data
     return df.withColumns(absent) if absent else df
 
 
+def load_folder(spark: SparkSession, path: str, load: str, ingested: datetime | None = None) -> str:
+    """The folder of a load: ``path/year=YYYY/month=MM/day=DD/hour=HH/load=<load>``.
+
+    The hour is that of the load's first try, kept in ``path/_loads``, so that a
+    repeated try replaces the folder instead of adding one in another hour.
+    """
+    at = (ingested or datetime.now(timezone.utc)).astimezone(timezone.utc)
+    hour = "/".join(f"{part}={at.strftime(shape)}" for part, shape in HOUR_FOLDERS.items())
+    return f"{path}/{settled(spark, f'{path}/_loads', load, hour)}/load={load}"
+
+
+def write_lines(lines: DataFrame, path: str, load: str, max_records: int = MAX_RECORDS_PER_FILE,
+                ingested: datetime | None = None) -> int:
+    """JSON records that are text already, one a row, into the folder of a load."""
+    seen = Observation()
+    (lines.observe(seen, F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").option("maxRecordsPerFile", max_records)
+     .text(load_folder(lines.sparkSession, path, load, ingested)))
+    return seen.get["rows"]
+
+
 def write_raw(df: DataFrame, path: str, at: str = "ingested_at",
               max_records: int = MAX_RECORDS_PER_FILE, load: str | None = None,
-              mode: str = "append") -> int:
+              mode: str = "append", ingested: datetime | None = None) -> int:
     """NDJSON below ``path/year=YYYY/month=MM/day=DD/hour=HH``, bounded file length.
 
-    With ``load`` everything goes below ``path/load=<load>/`` and replaces what an
-    earlier try of that load wrote, whatever its hours were.
+    With ``load`` the hour is that of ingestion, ``ingested`` or now, whatever the
+    records say of their time, and ``load=<load>`` below it is replaced by a
+    repeated try of that load. So every row is found again by the day on which it
+    came. Without ``load`` the hour is that of the column ``at``.
     """
+    shown = {"ignoreNullFields": "false", "maxRecordsPerFile": str(max_records)}
+    if load is not None:
+        seen = Observation()
+        (df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(**shown)
+         .json(load_folder(df.sparkSession, path, load, ingested)))
+        return seen.get["rows"]
     is_text = df.schema[at].dataType.simpleString() == "string"
     when = utc_timestamp(at) if is_text else F.col(at).cast("timestamp")
     laid_out = df.withColumns({part: F.date_format(when, shape) for part, shape in RAW_LAYOUT.items()})
     seen = Observation()
     (laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
-     .write.mode(mode if load is None else "overwrite")
-     .option("maxRecordsPerFile", max_records)
-     .option("partitionOverwriteMode", "dynamic" if load is None else "static")
-     .option("ignoreNullFields", "false")
-     .partitionBy(*HOUR_COLUMNS).json(path if load is None else f"{path}/load={load}"))
+     .write.mode(mode).options(**shown).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*HOUR_COLUMNS).json(path))
     return seen.get["rows"]
 
 

@@ -2,9 +2,10 @@
 
 Both use one pattern. A micro-batch is decoded, tagged and validated; valid
 rows go to the entity's Bronze folder, the rest to the dead-letter folder. The
-rows of a micro-batch land in a folder named after the stream and the batch
-number, which is replaced as a whole, so a batch repeated after a failure replaces
-its own output, in whatever hour it is repeated, and nothing else.
+rows of a micro-batch land, below the hour of ingestion, in a folder named after
+the stream and the batch number, which is replaced as a whole. A batch repeated
+after a failure keeps the hour of its first try, so it replaces its own output and
+nothing else.
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ from pyspark.sql.streaming import StreamingQuery
 from feedforge.operators.cleaning import dead_letter, tag_metadata, validate_required
 from feedforge.operators.runs import run_summary
 from feedforge.sources.readers import path_exists
-from feedforge.sources.schemas import LANDING, TOPICS, LandingSource, Topic, raw_schema
+from feedforge.sources.schemas import LANDING, REQUIRED, TOPICS, LandingSource, Topic, raw_schema
 from feedforge.sources.workdir import work_dir
-from feedforge.sources.writers import append_run_log, write_raw
+from feedforge.sources.writers import append_run_log, write_lines, write_raw
 
 # Flush at least this often or at this many records.
 FLUSH_SECONDS = 30
@@ -34,6 +35,7 @@ MOST_RECORDS = 20_000_000
 # Files are new if the checkpoint has not seen them, however old they are.
 ANY_AGE = "36500d"
 FILES_PER_BATCH = 256
+NO_OBJECT = "Record is no JSON object"
 
 
 @dataclass
@@ -101,18 +103,16 @@ def load_name(checkpoint: str, epoch: int) -> str:
 
 
 def _store(checked: DataFrame, bronze: str, path: str, topic: str, load: str,
-           counters: Counters, message: Column | None, dry_run: bool) -> None:
+           counters: Counters, dry_run: bool) -> None:
     good = checked.filter(is_valid()).drop("errors", "_message")
     bad = checked.filter(~is_valid())
-    body = message if message is not None else \
-        F.to_json(F.struct(*[c for c in checked.columns if c != "errors"]))
-    letters = dead_letter(bad, topic, F.array_join("errors", "; "), message=body)
+    letters = dead_letter(bad, topic, F.array_join("errors", "; "), message=F.col("_message"))
     if dry_run:
         counts = checked.agg(F.count_if(is_valid()).alias("good"), F.count_if(~is_valid()).alias("bad")).first()
         written, rejected = counts["good"], counts["bad"]
     else:
         written = write_raw(good, f"{bronze}/{path}", load=load)
-        rejected = write_raw(letters, f"{bronze}/_dead_letters/{path}", at="failed_at", load=load)
+        rejected = write_raw(letters, f"{bronze}/_dead_letters/{path}", load=load)
     counters.records_written += written
     counters.records_rejected += rejected
     counters.records_read += written + rejected
@@ -125,7 +125,7 @@ def _store_unknown(batch: DataFrame, bronze: str, load: str, counters: Counters,
     others = batch.filter(~known)
     letters = dead_letter(others, F.col("topic"), F.lit("unknown topic"), message=F.col("value"))
     rejected = others.count() if dry_run else \
-        write_raw(letters, f"{bronze}/_dead_letters/_unknown", at="failed_at", load=load)
+        write_raw(letters, f"{bronze}/_dead_letters/_unknown", load=load)
     counters.records_read += rejected
     counters.records_rejected += rejected
 
@@ -142,7 +142,7 @@ def topic_batch_writer(bronze: str, run_id: str, checkpoint: str, counters: Coun
                 checked = validated(decode(batch, topic), topic.schema_key, run_id).persist()  # parsed once
                 try:
                     _store(checked, bronze, topic.path, topic.name, load_name(checkpoint, epoch),
-                           counters, F.col("_message"), dry_run)
+                           counters, dry_run)
                 finally:
                     checked.unpersist()
             _store_unknown(batch, bronze, load_name(checkpoint, epoch), counters, topics, dry_run)
@@ -188,15 +188,54 @@ def landing_stream(spark: SparkSession, landing: str, source: LandingSource,
                    files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """New files of a landing folder, one row per array element.
 
-    Reference data has no declared schema; its files are small and the schema is
-    taken from them.
+    (element VARIANT, value, source_file): the record as it came, of any shape, and
+    the file's text. A file with one object is one element, an empty array none;
+    text that is no JSON is one element that is null. No schema is declared or
+    taken from the files: that is left to those who read Bronze.
     """
-    path = f"{landing}/{source.prefix}"
-    schema = raw_schema(source.schema_key) if source.schema_key else \
-        spark.read.option("multiLine", True).json(path).schema
-    return (spark.readStream.schema(schema).option("multiLine", True)
-            .option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE).json(path)
-            .select("*", F.col("_metadata.file_path").alias("source_file")))
+    parsed = F.try_parse_json("value")
+    elements = F.coalesce(F.try_variant_get(parsed, "$", "array<variant>"), F.array(parsed))
+    return (spark.readStream.format("text").option("wholetext", True)
+            .option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE)
+            .load(f"{landing}/{source.prefix}")
+            .select("value", F.col("_metadata.file_path").alias("source_file"), F.explode(elements).alias("element")))
+
+
+def landed_records(elements: DataFrame, schema_key: str | None, run_id: str, now: Column | None = None) -> DataFrame:
+    """(line, errors, message, source_file) of landed elements.
+
+    ``line`` is the whole record with its tags, as JSON: every field it came with,
+    declared or not, nested or not. Numbers and text are kept as JSON has them. An
+    element that is no object, or lacks a required field, has errors.
+    """
+    fields_of = F.try_variant_get("element", "$", "map<string,variant>")
+    required = REQUIRED.get(schema_key, ())
+    told = elements.withColumn("_fields", fields_of).select(
+        "*", *[F.try_variant_get(F.col("_fields")[c], "$", "string").alias(c) for c in {*required, "ingested_at"}])
+    checked = validated(told, schema_key, run_id, F.col("source_file"), now)
+    tags = ("batch_id", "ingested_at", "source_file")
+    kept = F.map_filter("_fields", lambda name, _: ~name.isin(*tags))
+    tagged = F.map_concat(kept, F.map_from_arrays(
+        F.array(*map(F.lit, tags)), F.array(*[F.col(t).cast("variant") for t in tags])))
+    whole = F.when(F.col("_fields").isNull(), F.array(F.lit(NO_OBJECT))).otherwise(F.array().cast("array<string>"))
+    return checked.select(
+        F.to_json(tagged).alias("line"), F.concat(whole, "errors").alias("errors"),
+        F.coalesce(F.to_json("element"), "value").alias("message"), "source_file")
+
+
+def _store_landed(checked: DataFrame, bronze: str, source: LandingSource, load: str, counters: Counters,
+                  dry_run: bool) -> None:
+    bad = checked.filter(~is_valid())
+    if dry_run:
+        rejected = bad.count()
+        written = checked.count() - rejected
+    else:
+        written = write_lines(checked.filter(is_valid()).select("line"), f"{bronze}/{source.path}", load)
+        letters = dead_letter(bad, source.prefix, F.array_join("errors", "; "), message=F.col("message"))
+        rejected = write_raw(letters, f"{bronze}/_dead_letters/{source.path}", load=load)
+    counters.records_written += written
+    counters.records_rejected += rejected
+    counters.records_read += written + rejected
 
 
 def ingest_new_files(spark: SparkSession, source: LandingSource, landing: str, bronze: str,
@@ -212,14 +251,12 @@ def ingest_new_files(spark: SparkSession, source: LandingSource, landing: str, b
     own = checkpoint if not (reprocess or dry_run) else work_dir(spark, "reprocess")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.persist()
+        checked = landed_records(batch, source.schema_key, run_id).persist()  # parsed once
         try:
-            checked = validated(batch, source.schema_key, run_id, F.col("source_file"))
-            _store(checked, bronze, source.path, source.prefix, load_name(own, epoch), counters,
-                   None, dry_run)
-            counters.files_processed += batch.select("source_file").distinct().count()
+            _store_landed(checked, bronze, source, load_name(own, epoch), counters, dry_run)
+            counters.files_processed += checked.select("source_file").distinct().count()
         finally:
-            batch.unpersist()
+            checked.unpersist()
 
     query = (landing_stream(spark, landing, source, files_per_batch)
              .writeStream.queryName(f"landing-{source.path}-{run_id}")

@@ -11,7 +11,7 @@ from feedforge.operators.quality import QualityGateError
 from feedforge.plans.jobs import build_gold, build_marts, run_silver
 from feedforge.sources.readers import (
     backfill_range, check_range, days_between, missing_days, path_exists, read_landing_array,
-    read_raw, read_raw_days,
+    read_raw, read_raw_days, read_table,
 )
 from feedforge.sources.schemas import NARROW, REQUIRED, raw_schema
 from feedforge.sources.workdir import work_dir, work_root
@@ -162,7 +162,7 @@ def test_silver_then_gold(spark, bronze, tmp_path):
     silver, quarantine, gold = (str(tmp_path / n) for n in ("silver", "quarantine", "gold"))
     summary = run_silver(spark, str(bronze), silver, "2024-01-15", "2024-01-16", quarantine=quarantine).first()
     assert (summary["records_read"], summary["records_rejected"]) == (44, 4)
-    tweets = spark.read.parquet(f"{silver}/tweets")
+    tweets = read_table(spark, f"{silver}/tweets")
     assert tweets.count() == 10 and summary["records_written"] == 10 + 24 + 14
     row = tweets.filter(f"tweet_id = '{UUIDS[1]}' and day = 15").first()
     assert row["content"] == "newer" and row["platform"] == "twitter" and row["user_account_type"] == "BRAND"
@@ -174,7 +174,7 @@ def test_silver_then_gold(spark, bronze, tmp_path):
 
     before = {tuple(r) for r in tweets.drop("silver_batch_id", "silver_processed_at", "hashtags", "mentions").collect()}
     run_silver(spark, str(bronze), silver, "2024-01-16", quality=str(tmp_path / "quality"))
-    after = spark.read.parquet(f"{silver}/tweets").drop("silver_batch_id", "silver_processed_at", "hashtags", "mentions")
+    after = read_table(spark, f"{silver}/tweets").drop("silver_batch_id", "silver_processed_at", "hashtags", "mentions")
     assert {tuple(r) for r in after.collect()} == before and after.count() == 10
 
     build_gold(spark, silver, gold, quality=str(tmp_path / "quality"))

@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import json
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from feedforge.operators.retention import file_manifest, processed_files, retention_candidates
+from feedforge.sources.readers import read_raw_days
 from feedforge.sources.schemas import LANDING, TOPICS
 from feedforge.sources.workdir import work_dir
 from feedforge.streaming.ingest import (
@@ -54,7 +55,10 @@ def test_landing_files_are_ingested_once(spark, tmp_path):
     rows = spark.read.json(f"{bronze}/{VIDEOS.path}")
     assert {r["video_id"] for r in rows.collect()} == {"v1", "v2", "v4"}
     assert {r["batch_id"] for r in rows.collect()} == {"r1", "r4"}
-    assert rows.filter("hour != 3 or not source_file like '%.json'").count() == 0
+    assert rows.filter("not source_file like '%.json'").count() == 0
+    # Laid out by the day of ingestion, not by the record's own time.
+    today = datetime.now(timezone.utc).date()
+    assert read_raw_days(spark, f"{bronze}/{VIDEOS.path}", "youtube.videos", today - timedelta(days=1), today).count() == 3
     manifest = file_manifest(spark, str(landing))
     expired = retention_candidates(manifest, processed_files(rows), date.today() + timedelta(days=9))
     assert expired.count() == 2
