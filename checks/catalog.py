@@ -1,6 +1,6 @@
 """Loads every module that registers queries."""
 
-from . import gold, jobs, marts, quality, silver, snapshots, storage, streams  # noqa: F401
+from . import gold, jobs, marts, quality, silver, snapshots, storage, streams, upkeep  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -49,6 +49,7 @@ class Snapshot:
     schema: T.StructType
     by: tuple[str, ...]
     parts: dict[str, tuple[str, ...]]
+    notes: dict[str, int]
 
     def folders(self, where: Wanted | None = None) -> list[str]:
         return [f"{LOAD}={load}/{part}".rstrip("/") for part, loads in self.parts.items()
@@ -86,7 +87,7 @@ def snapshot(spark: SparkSession, root: str, version: int | None = None) -> Snap
         version = known[-1]
     body = json.loads(read_text(spark, f"{root}/{COMMITS}/{version:010d}.json"))
     return Snapshot(version, T.StructType.fromJson(body["schema"]), tuple(body["by"]),
-                    {part: tuple(loads) for part, loads in body["parts"].items()})
+                    {part: tuple(loads) for part, loads in body["parts"].items()}, body["notes"])
 
 
 def _partitions_of(spark: SparkSession, load: str, depth: int) -> list[str]:
@@ -99,13 +100,16 @@ def _partitions_of(spark: SparkSession, load: str, depth: int) -> list[str]:
 
 
 def publish(df: DataFrame, root: str, by: Sequence[str] = (), covers: Wanted | None = None,
-            append: bool = False, rebalance: bool = False) -> int:
+            append: bool = False, rebalance: bool = False, after: int | None = None,
+            notes: dict[str, int] | None = None) -> int:
     """Write rows and commit them as the next version; returns the rows written.
 
     The new version has the written partitions and, of the version before, those
     that ``covers`` does not choose; without ``covers`` the whole table is
     replaced. Covered partitions without a new row are gone. ``append`` keeps
-    everything and adds to it.
+    everything and adds to it. Rows that were made of a version must come ``after``
+    just that one (-1 for none), or there is a conflict. ``notes`` are numbers kept
+    with the table, changed in the same step.
     """
     spark = df.sparkSession
     load = uuid.uuid4().hex
@@ -116,12 +120,15 @@ def publish(df: DataFrame, root: str, by: Sequence[str] = (), covers: Wanted | N
     written = _partitions_of(spark, f"{root}/{LOAD}={load}", len(by))
     for _ in range(ATTEMPTS):
         before = snapshot(spark, root)
+        if after is not None and after != (before.version if before else -1):
+            raise CommitConflict(f"{root}: no longer at version {after}")
         parts: dict[str, tuple[str, ...]] = {}
         if before and (append or covers):
             parts = {p: loads for p, loads in before.parts.items() if append or not covers(values_of(p))}
         for part in written:
             parts[part] = (*parts.get(part, ()), load) if append else (load,)
-        body = {"schema": df.schema.jsonValue(), "by": list(by), "parts": parts}
+        body = {"schema": df.schema.jsonValue(), "by": list(by), "parts": parts,
+                "notes": {**(before.notes if before else {}), **(notes or {})}}
         version = before.version + 1 if before else 0
         if put_once(spark, f"{root}/{COMMITS}", f"{version:010d}.json", json.dumps(body)):
             return seen.get["rows"]
