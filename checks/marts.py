@@ -56,8 +56,8 @@ def _(t):
 def _(t):
     per_day = t.lineitem.groupBy("l_partkey", F.to_date("l_shipdate").alias("day")).agg(
         F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
-    return marts.trending_tags(
-        marts.tag_days(per_day.join(part_tags(t), "l_partkey"), "day", "quantity"), TOP_TAGS)
+    tag_days = marts.tag_days(per_day.join(part_tags(t), "l_partkey"), "day", "quantity")
+    return marts.trending_tags(t.stored(tag_days, "tag-days"), TOP_TAGS)
 
 
 @query("daily_active_users", """

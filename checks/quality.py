@@ -104,7 +104,8 @@ PAIRS = {
 def results_of(t: Tables, layer: str) -> DataFrame:
     names = dict.fromkeys(n for n, _ in PAIRS[layer])
     used = {name: t.stored(TABLES_DF[name](t), name) for name in names}
-    return reduce(DataFrame.unionByName, [K.run_suite(used[n], s, samples=False) for n, s in PAIRS[layer]])
+    return reduce(DataFrame.unionByName, [
+        K.run_suites(df, [s for n, s in PAIRS[layer] if n == name], samples=False) for name, df in used.items()])
 
 
 def layer_sql(layer: str) -> str:

@@ -90,17 +90,22 @@ def scd2_merge(history: DataFrame | None, df: DataFrame, key: str, attributes: S
     return rows if untouched is None else untouched.unionByName(rows)
 
 
-def as_of(facts: DataFrame, history: DataFrame, key: str, ts: str, take: Sequence[str]) -> DataFrame:
+def as_of(facts: DataFrame, history: DataFrame, key: str, ts: str, take: Sequence[str],
+          asked: DataFrame | None = None) -> DataFrame:
     """Attach the history row valid on the day of each fact.
 
     Only the distinct (key, day) pairs of the facts meet the history; they are
     resolved by carrying the last known row forward over the days, and the facts
     then join on equality. Facts before the first history row get nulls.
+
+    The facts are read twice, for their pairs and for the join. If they are costly,
+    let ``asked`` give the pairs (key, ts) from what they were made of; it may hold
+    more than theirs.
     """
     row = F.struct(*[F.col(c) for c in take])
     known = history.select(key, F.col("valid_from").alias("_day"), F.lit(False).alias("_asked"),
                            row.alias("_row"))
-    asked = facts.select(key, F.to_date(ts).alias("_day")).distinct().select(
+    asked = (facts if asked is None else asked).select(key, F.to_date(ts).alias("_day")).distinct().select(
         key, "_day", F.lit(True).alias("_asked"), F.lit(None).cast(known.schema["_row"].dataType).alias("_row"))
     # On the same day the history row sorts before the question.
     so_far = Window.partitionBy(key).orderBy("_day", "_asked") \

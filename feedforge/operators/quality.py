@@ -1,10 +1,12 @@
 """Data-quality rules compiled to aggregates.
 
-A suite becomes at most three column-pruned passes over its table:
-one map-side aggregate for every rule that is a rate, one grouping per column
-whose uniqueness is asked for, and one for samples of values outside a set.
-Keeping the uniqueness groupings apart matters: in a single aggregate every
-distinct key would be shuffled together with the buffers of all other rules.
+All suites of a table become at most three column-pruned passes over it: one
+map-side aggregate for every rule that is a rate, one grouping for all columns
+whose uniqueness is asked for, and one for samples of values outside a set. For
+the grouping a row becomes one short entry per such column, (column, 128-bit hash
+of the value), so there is one shuffle however many columns and suites, and wide
+text is never shuffled. Keeping it apart from the rates matters: in a single
+aggregate every distinct key would carry the buffers of all other rules.
 """
 
 from __future__ import annotations
@@ -15,10 +17,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLE_SIZE = 5  # fixed value: offending values shown per rule
 RESULT_SCHEMA = ("rule_no int, rule string, kind string, success boolean, observed double, "
                  "expected string, details string")
+HASH_SALT = 0x5bd1e995
 KEYED = ("unique", "unique_strict", "unique_proportion")
 
 
@@ -177,18 +181,34 @@ def _rate_rules(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
     return totals.select(F.inline(F.array(*rows)))
 
 
-def _keyed_rules(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) -> DataFrame:
-    """Uniqueness rules of one column from its value counts."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_copies"))
-    zero = F.lit(0)
-    totals = counts.agg(
-        F.coalesce(F.sum("_copies"), zero).alias("_n"),
+def _value_hash(df: DataFrame, column: str) -> Column:
+    """128 bits of a value: two XXH64 of different seeds; of nested values, MD5 of all they hold."""
+    c = F.col(column)
+    if isinstance(df.schema[column].dataType, (T.StructType, T.ArrayType)):
+        return F.unhex(F.md5(F.to_json(F.struct(c), {"ignoreNullFields": "false"})))
+    first, second = F.xxhash64(c), F.xxhash64(F.lit(HASH_SALT), c)
+    return F.concat(*[F.unhex(F.lpad(F.hex(h), 16, "0")) for h in (first, second)])
+
+
+def _keyed_rules(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
+    """Uniqueness rules of all columns from value counts, with one shuffle."""
+    columns = sorted({r.column for _, r in rules})
+    entries = F.array(*[
+        F.struct(F.lit(i).alias("column"), F.when(F.col(c).isNotNull(), _value_hash(df, c)).alias("hash"))
+        for i, c in enumerate(columns)])
+    counts = (df.select(F.explode(entries).alias("e")).select("e.column", "e.hash").groupBy("column", "hash")
+              .agg(F.count(F.lit(1)).alias("_copies")))
+    filled = F.when(F.col("hash").isNotNull(), F.col("_copies"))
+    totals = counts.groupBy("column").agg(
+        F.sum("_copies").alias("_n"),
         F.count(F.lit(1)).alias("_groups"),
-        F.count(column).alias("_distinct"),
-        F.coalesce(F.sum(F.when(F.col(column).isNotNull(), F.col("_copies"))), zero).alias("_filled"),
-        F.coalesce(F.sum(F.when(F.col(column).isNotNull() & (F.col("_copies") > 1), F.col("_copies"))),
-                   zero).alias("_shared"),
+        F.count("hash").alias("_distinct"),
+        F.sum(filled).alias("_filled"),
+        F.sum(F.when(filled > 1, filled)).alias("_shared"),
     )
+    # An empty table has no counts, but its rules have results.
+    every = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("column"))
+    totals = every.join(totals, "column", "left").fillna(0)
     rows = []
     for no, rule in rules:
         if rule.kind == "unique":  # repeats after the first count, nulls are one value
@@ -200,8 +220,9 @@ def _keyed_rules(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) -> D
         else:
             share = _share(F.col("_distinct"), F.col("_filled"))
             ok, bad = _in_range(share, rule.low, rule.high), F.col("_filled") - F.col("_distinct")
-        rows.append(_result(no, rule, ok, share, F.concat(bad.cast("string"), F.lit(" duplicates"))))
-    return totals.select(F.inline(F.array(*rows)))
+        row = _result(no, rule, ok, share, F.concat(bad.cast("string"), F.lit(" duplicates")))
+        rows.append(F.when(F.col("column") == columns.index(rule.column), row))
+    return totals.select(F.inline(F.filter(F.array(*rows), lambda r: r.isNotNull())))
 
 
 def offending_values(df: DataFrame, rules: list[tuple[int, Rule]], k: int = SAMPLE_SIZE) -> DataFrame:
@@ -222,25 +243,29 @@ def offending_values(df: DataFrame, rules: list[tuple[int, Rule]], k: int = SAMP
 
 def run_suite(df: DataFrame, suite: Suite, samples: bool = True) -> DataFrame:
     """One row per rule: success, observed rate, expectation, details."""
+    return run_suites(df, [suite], samples)
+
+
+def run_suites(df: DataFrame, suites: Sequence[Suite], samples: bool = True) -> DataFrame:
+    """The rows of several suites of one table, from the same passes over it."""
     present = set(df.columns)
-    keyed: dict[str, list[tuple[int, Rule]]] = {}
-    plain: list[tuple[int, Rule]] = []
-    for no, rule in enumerate(suite.rules):
-        if rule.kind in KEYED and rule.column in present:
-            keyed.setdefault(rule.column, []).append((no, rule))
-        else:
-            plain.append((no, rule))
+    numbered = [(suite, no, rule) for suite in suites for no, rule in enumerate(suite.rules)]
+    rules = [(at, rule) for at, (_, _, rule) in enumerate(numbered)]
+    keyed = [(at, r) for at, r in rules if r.kind in KEYED and r.column in present]
+    plain = [(at, r) for at, r in rules if (at, r) not in keyed]
     parts = [_rate_rules(df, plain)] if plain else []
-    parts += [_keyed_rules(df, column, rules) for column, rules in keyed.items()]
+    parts += [_keyed_rules(df, keyed)] if keyed else []
     results = reduce(DataFrame.unionByName, parts)
-    sets = [(no, r) for no, r in plain if r.kind == "in_set" and r.column in present]
+    sets = [(at, r) for at, r in plain if r.kind == "in_set" and r.column in present]
     if samples and sets:
         results = results.join(offending_values(df, sets), "rule_no", "left").withColumn(
             "details", F.when(F.col("samples").isNotNull(),
                               F.concat("details", F.lit("; e.g. "), "samples"))
             .otherwise(F.col("details"))).drop("samples")
-    return results.select(
-        F.lit(suite.layer).alias("layer"), F.lit(suite.name).alias("suite"), "*")
+    of = F.get(F.array(*[F.struct(F.lit(s.layer).alias("layer"), F.lit(s.name).alias("suite"), F.lit(no).alias("no"))
+                         for s, no, _ in numbered]), F.col("rule_no"))
+    return results.withColumn("_of", of).select(
+        "_of.layer", "_of.suite", F.col("_of.no").alias("rule_no"), *[c for c in results.columns if c != "rule_no"])
 
 
 def report(results: DataFrame) -> DataFrame:
@@ -291,7 +316,10 @@ def enforce_all(checks: Sequence[tuple[DataFrame, Suite]], folder: str | None =
     """
     if not checks:
         return []
-    results = reduce(DataFrame.unionByName, [run_suite(df, suite) for df, suite in checks])
+    tables: dict[int, tuple[DataFrame, list[Suite]]] = {}
+    for df, suite in checks:
+        tables.setdefault(id(df), (df, []))[1].append(suite)
+    results = reduce(DataFrame.unionByName, [run_suites(df, suites) for df, suites in tables.values()])
     rows = results.orderBy("suite", "rule_no").collect()
     if folder:
         kept = checks[0][0].sparkSession.createDataFrame(rows, results.schema)

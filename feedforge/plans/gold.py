@@ -206,14 +206,18 @@ def fact_post_metrics_daily(enriched: DataFrame, daily: DataFrame,
         "days_since_post", F.datediff(F.to_date(F.col("date_sk").cast("string"), "yyyyMMdd"), "post_date"))
 
 
-def fact_with_keys(fact: DataFrame, history: DataFrame, platforms: DataFrame) -> DataFrame:
+def fact_with_keys(fact: DataFrame, history: DataFrame, platforms: DataFrame,
+                   engagements: DataFrame | None = None) -> DataFrame:
     """Add user_sk and platform_sk to the fact; null where the dimension has no row.
 
     ``history`` is the type-2 user dimension: the key is that of the version valid
     on the day of the engagement. Pass the dimensions as stored tables: the
     planner then knows their size and sends the small ones (surely the platforms)
-    to every task.
+    to every task. With the staged ``engagements`` that the fact was made of, the
+    users and days to look up come from there, and the fact is computed once.
     """
+    asked = engagements.select("engaging_user_id", F.col("engaged_at").alias("engagement_timestamp")) \
+        if engagements is not None else None
     who = history.select(F.col("user_id").alias("engaging_user_id"), "valid_from", "user_sk")
-    return as_of(fact, who, "engaging_user_id", "engagement_timestamp", ["user_sk"]).join(
+    return as_of(fact, who, "engaging_user_id", "engagement_timestamp", ["user_sk"], asked).join(
         platforms.select("platform", "platform_sk"), "platform", "left")

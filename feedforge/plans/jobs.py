@@ -105,9 +105,9 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
     if check:
         pairs = []
         if read["twitter.tweets"]:
-            pairs += [_per_day(s, tweets, "tweet_id") for s in (suites.QUICK_SILVER_TWEETS, suites.SILVER_TWEETS)]
+            pairs += _per_day((suites.QUICK_SILVER_TWEETS, suites.SILVER_TWEETS), tweets, "tweet_id")
         if read["twitter.engagements"]:
-            pairs.append(_per_day(suites.SILVER_ENGAGEMENTS, stored("engagements"), "engagement_id"))
+            pairs += _per_day((suites.SILVER_ENGAGEMENTS,), stored("engagements"), "engagement_id")
         if any(read[n] for n in ("twitter.tweets", "youtube.videos", "reddit.posts")):
             pairs.append((stored("posts"), suites.SILVER_POSTS))
         enforce_all(pairs, quality, run_id)
@@ -116,12 +116,16 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
                        rejected=sum(rejected.values()), files=sum(files.values()))
 
 
-def _per_day(suite: Suite, df: DataFrame, key: str) -> tuple[DataFrame, Suite]:
-    """The suite with its key unique per day: a record may come again on another day."""
+def _per_day(of: tuple[Suite, ...], df: DataFrame, key: str) -> list[tuple[DataFrame, Suite]]:
+    """Suites with their key unique per day: a record may come again on another day."""
     daily = f"{key}_and_day"
-    rules = tuple(replace(r, column=daily) if r.kind in KEYED and r.column == key else r
-                  for r in suite.rules)
-    return df.withColumn(daily, F.struct(key, *DAY_COLUMNS)), replace(suite, rules=rules)
+    keyed = df.withColumn(daily, F.struct(key, *DAY_COLUMNS))
+
+    def renamed(suite: Suite) -> Suite:
+        return replace(suite, rules=tuple(
+            replace(r, column=daily) if r.kind in KEYED and r.column == key else r for r in suite.rules))
+
+    return [(keyed, renamed(suite)) for suite in of]
 
 
 def build_gold(spark: SparkSession, silver_root: str, target: str, check: bool = True,
@@ -157,7 +161,7 @@ def build_gold(spark: SparkSession, silver_root: str, target: str, check: bool =
     publish(marts.dim_users_of_tweets(read_table(spark, f"{silver_root}/tweets")), f"{target}/dim_users")
     facts = gold.fact_with_keys(
         gold.fact_engagements(engagements, enriched), read_table(spark, f"{target}/dim_users"),
-        read_table(spark, f"{target}/dim_platforms"))
+        read_table(spark, f"{target}/dim_platforms"), engagements)
     publish(facts, f"{target}/fact_engagements", FACT_PARTS, rebalance=True)
     daily = gold.daily_engagements(engagements)
     publish(gold.fact_post_metrics(enriched, daily), f"{target}/fact_post_metrics", FACT_PARTS, rebalance=True)
@@ -178,7 +182,9 @@ def build_marts(spark: SparkSession, silver_root: str, gold_root: str, target: s
     daily_path = f"{target}/daily_engagements"
     publish(gold.daily_engagements(facts, "engagement_timestamp"), daily_path)
     daily = read_table(spark, daily_path)  # read by three reports
-    tag_days = marts.tag_days_of_posts(daily, read_table(spark, f"{gold_root}/post_hashtags"))
+    staging = work_dir(spark, "tag-days")  # read for its last day and for the sums
+    replace_table(marts.tag_days_of_posts(daily, read_table(spark, f"{gold_root}/post_hashtags")), staging)
+    tag_days = read_table(spark, staging)
     # Silver keeps a tweet once per delivery day; it mentions a brand once.
     delivered = tweets.select("tweet_id", "platform", "mentions", "ingested_at")
     mentions = dedup_latest(delivered, ["tweet_id"]).select("platform", F.explode("mentions").alias("brand"))

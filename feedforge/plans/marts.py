@@ -50,7 +50,10 @@ def hashtag_totals(tagged: DataFrame, value: str, count: str | None = None) -> D
 
 
 def trending_tags(days: DataFrame, k: int, window: int = TREND_DAYS) -> DataFrame:
-    """Top ``k`` tags of every day by engagement over the last ``window`` days."""
+    """Top ``k`` tags of every day by engagement over the last ``window`` days.
+
+    Pass a stored table: its last day is looked up before the sums are planned.
+    """
     rolled = rolling_days(days, ["tag"], "day", "engagement", window, "rolling_engagement")
     return top_per_group(rolled, ["day"], "rolling_engagement", k).select(
         "day", "tag", "engagement", "rolling_engagement", "rank")

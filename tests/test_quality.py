@@ -103,3 +103,27 @@ def test_distinct_keys_travel_without_the_other_measures(spark, plan):
     suite = Suite("s", "silver", True, (*K.unique("k"), *K.not_null("k", *[f"m{i}" for i in range(5)])))
     text = plan(K.run_suite(df, suite))
     assert "Expand" not in text
+
+
+def test_suites_of_a_table_share_its_passes(spark, plan):
+    rows = [("a" * 50, 1, None), ("a" * 50, 1, "x"), ("b", 2, None), (None, 2, "x"), (None, -1, "y")]
+    df = spark.createDataFrame(rows, "text string, n int, s string").withColumn("pair", F.struct("n", "s"))
+    first = Suite("one", "silver", True, (K.row_count(1, 4), *K.unique("text", "n"), *K.unique_strict("text"),
+                                          K.in_set("s", ("x",))))
+    second = Suite("two", "gold", False, (*K.unique("pair"), K.unique_proportion("s", 0.5, 0.9), K.between("n", 0), *K.exists("zz")))
+    both = K.run_suites(df, [first, second])
+    shown = lambda d: sorted(map(tuple, d.collect()))
+    assert shown(both) == sorted(shown(K.run_suite(df, first)) + shown(K.run_suite(df, second)))
+    text = plan(both)
+    keyed = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line and "hash#" in line]
+    assert len(keyed) == 1 and "text#" not in keyed[0]  # one shuffle of short entries for all columns
+    empty = {(r["suite"], r["rule_no"]): r["success"] for r in K.run_suites(df.where("false"), [first, second]).collect()}
+    assert len(empty) == 9 and empty["one", 1] and not empty["one", 0] and empty["two", 0]
+
+
+def test_hashed_values_keep_apart_what_differs(spark):
+    rows = [(None, 1, ["a", None]), (1, None, [None, "a"]), (1, 1, ["a"]), (1, 1, ["a", ""]), (None, None, None)]
+    df = spark.createDataFrame(rows, "a int, b int, c array<string>").withColumn("pair", F.struct("a", "b"))
+    suite = Suite("s", "silver", True, (*K.unique("pair"), *K.unique("c")))
+    observed = [r["observed"] for r in K.run_suite(df, suite).orderBy("rule_no").collect()]
+    assert observed == [0.8, 1.0]
