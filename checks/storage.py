@@ -13,11 +13,12 @@ from feedforge.operators.cleaning import dead_letter, reject_split, validate_req
 from feedforge.operators.retention import retention_candidates
 from feedforge.operators.runs import layer_counts
 from feedforge.sources.readers import (
-    backfill_range, missing_days, read_landing_array, read_raw, read_raw_days,
+    backfill_range, missing_days, read_landing_array, read_raw, read_raw_days, read_table,
 )
-from feedforge.sources.schemas import CLEAN_KEYS, LANDING
+from feedforge.sources.schemas import CLEAN_KEYS, LANDING, NARROW
+from feedforge.sources.snapshots import publish
 from feedforge.sources.workdir import work_dir
-from feedforge.sources.writers import write_partitions, write_raw
+from feedforge.sources.writers import dry_run, write_partitions, write_raw
 from feedforge.streaming.ingest import ingest_new_files
 
 from . import sqltext as Q
@@ -90,6 +91,43 @@ def _(t):
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.col("engagement_id")).alias("n_engagements"))
 
 
+@query("scan_narrow", f"""
+    select video_id, channel_id, platform, title, {Q.joined('tags')} as tags, view_count, like_count, comment_count,
+      published_at, ingested_at from {raw_sql('videos')} v""")
+def _(t):
+    narrow = NARROW["youtube.videos"]
+    return read_raw(t.spark, written_raw(t, "videos"), "youtube.videos", only=narrow).select(*narrow)
+
+
+@query("silver_as_source", f"""
+    select engagement_type, count(*) as n_rows, round(sum(engagement_value), 4) as total_value
+    from {Q.CLEAN_ENGAGEMENTS} e group by 1""")
+def _(t):
+    path = work_dir(t.spark, "silver-source")
+    publish(engagements(t), path)
+    narrow = read_table(t.spark, path, "engagement_type", "engagement_value")
+    return narrow.groupBy("engagement_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("engagement_value"), 4).alias("total_value"))
+
+
+@query("sink_append", """
+    select year(o_orderdate) as year, o_orderkey, true as counted from orders""")
+def _(t):
+    path = work_dir(t.spark, "appended")
+    written = 0
+    for part in (0, 1):
+        rows = t.orders.where(F.col("o_orderkey") % 2 == part).select("o_orderkey", "o_orderdate")
+        written += write_partitions(rows, path, ["year"], mode="append", at="o_orderdate")
+    back = t.spark.read.parquet(path)
+    return back.select("year", "o_orderkey", F.lit(back.count() == written).alias("counted"))
+
+
+@query("dry_run", "select 'orders' as source, count(*) as n_rows from orders union all select 'lineitem', count(*) from lineitem")
+def _(t):
+    counted = [(name, dry_run(getattr(t, name))) for name in ("orders", "lineitem")]
+    return t.spark.createDataFrame(counted, "source string, n_rows bigint")
+
+
 @query("backfill_range", """
     select event_type, count(*) as n_rows, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as first_ts,
       strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') as last_ts

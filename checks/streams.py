@@ -131,18 +131,37 @@ def _(t):
 
 
 # The watermark of two streams is that of the slower one.
-@query("stream_interval_join", f"""
+_PAIRS = f"""
     select p.post_id, e.event_id, e.event_type
     from {shaped_sql('posts')} p
     join (select event_id, event_type, ts, {KEY_OF_PROPS} as post_id from events
           where not ({STRAGGLER})
             or ts > least({NEWEST_TIMELY}, (select max(posted_at) from {shaped_sql('posts')})) - interval {DELAY}) e
-      on e.post_id = p.post_id and e.ts > p.posted_at and e.ts <= p.posted_at + interval 24 hour""")
-def _(t):
+      on e.post_id = p.post_id and e.ts > p.posted_at and e.ts <= p.posted_at + interval 24 hour"""
+
+
+def _followed(t: Tables, unanswered: bool = False) -> DataFrame:
     columns = SHAPED["posts"][1]
     posts = table_stream(t, "documents").selectExpr(
         f"{columns['post_id']} as post_id", f"{columns['posted_at']} as posted_at")
     events, stragglers = backlog(t)
     engaged = events.selectExpr("event_id", "event_type", "ts", f"{KEY_OF_PROPS} as post_id")
-    pairs = stream_interval_join(posts, engaged, ["post_id"], "posted_at", "ts", delay=DELAY)
+    pairs = stream_interval_join(posts, engaged, ["post_id"], "posted_at", "ts", delay=DELAY, unanswered=unanswered)
     return drain_append(pairs.select("post_id", "event_id", "event_type"), "pairs", stragglers)
+
+
+@query("stream_interval_join", _PAIRS)
+def _(t):
+    return _followed(t)
+
+
+# Posts whose window the watermark has passed in the end, and which nothing followed in it.
+@query("stream_unanswered_posts", f"""
+    with pairs as ({_PAIRS})
+    select post_id, event_id, event_type from pairs
+    union all
+    select p.post_id, null, null from {shaped_sql('posts')} p
+    where p.post_id not in (select post_id from pairs) and p.posted_at + interval 24 hour
+      < least((select max(ts) from events), (select max(posted_at) from {shaped_sql('posts')})) - interval {DELAY}""")
+def _(t):
+    return _followed(t, unanswered=True)

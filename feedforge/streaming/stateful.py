@@ -52,14 +52,21 @@ def stream_daily_counts(stream: DataFrame, keys: Sequence[str], ts: str,
 
 def stream_interval_join(opens: DataFrame, follows: DataFrame, keys: Sequence[str], open_ts: str,
                          follow_ts: str, window: str = ENGAGEMENT_WINDOW, delay: str = EVENT_DELAY,
-                         spread: str | None = None, salts: int = SALTS) -> DataFrame:
+                         spread: str | None = None, salts: int = SALTS, unanswered: bool = False) -> DataFrame:
     """Pairs where the second event follows the first within ``window``.
 
+    With ``unanswered``, an opening event that nothing followed comes once, with
+    nulls for the second, as soon as the watermark has passed its window and
+    nothing can follow any more. Both kinds of state go then, so what is kept is
+    bounded by the window and the delay.
+
     ``spread`` names a column of the follow-up events that differs between
     them. Their state is then divided into lanes by its hash and the opening
     events, of which there are few per key, are held in every lane: a post with
     very many engagements is kept by ``salts`` tasks instead of one.
     """
+    if spread and unanswered:
+        raise ValueError("an opening event is held in several lanes, none of which knows of the others")
     left = as_instant(opens, open_ts).withWatermark(open_ts, delay)
     right = as_instant(follows, follow_ts).withWatermark(follow_ts, delay)
     on = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
@@ -69,7 +76,7 @@ def stream_interval_join(opens: DataFrame, follows: DataFrame, keys: Sequence[st
         on.append(F.col("l._lane") == F.col("r._lane"))
     within = [F.col(f"r.{follow_ts}") > F.col(f"l.{open_ts}"),
               F.col(f"r.{follow_ts}") <= F.col(f"l.{open_ts}") + F.expr(f"INTERVAL {window}")]
-    joined = left.alias("l").join(right.alias("r"), [*on, *within], "inner")
+    joined = left.alias("l").join(right.alias("r"), [*on, *within], "leftOuter" if unanswered else "inner")
     taken = [F.col(f"l.{c}") for c in opens.columns]
     taken += [F.col(f"r.{c}") for c in follows.columns if c not in opens.columns]
     return joined.select(*taken)

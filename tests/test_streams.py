@@ -197,3 +197,24 @@ def test_a_load_is_replaced_whatever_its_hour(spark, tmp_path):
         write_raw(df, str(tmp_path / "b"), load="s-0")
     write_raw(rows, str(tmp_path / "b"), load="s-1")
     assert spark.read.json(str(tmp_path / "b")).count() == 2
+
+
+def test_unanswered_posts_come_once_and_leave_no_state(spark, tmp_path):
+    hours = lambda n: T0 + timedelta(hours=n)
+    posts = [(f"p{i}", hours(i)) for i in range(40)] + [("end", hours(200)), ("late end", hours(400))]
+    follows = [(f"p{i}", i, hours(i + 1)) for i in range(0, 40, 2)] + [("p1", 90, hours(26)), ("end", 91, hours(200)), ("none", 92, hours(400))]
+    parts = {"posts": ("post_id string, posted_at timestamp", posts), "follows": ("post_id string, id int, ts timestamp", follows)}
+    for name, (schema, rows) in parts.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / name))
+    streams = [spark.readStream.schema(parts[n][0]).parquet(str(tmp_path / n)) for n in ("posts", "follows")]
+    joined = stream_interval_join(*streams, ["post_id"], "posted_at", "ts", unanswered=True)
+    query = (joined.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "seen")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    got = sorted((r["post_id"], r["id"]) for r in spark.read.parquet(str(tmp_path / "out")).fillna(-1).collect())
+    # p1 was followed after 25 hours, "end" at the same instant: both are unanswered.
+    assert got == sorted([(f"p{i}", i) for i in range(0, 40, 2)] + [(f"p{i}", -1) for i in range(1, 40, 2)] + [("end", -1)])
+    kept = sum(op["numRowsTotal"] for op in query.lastProgress["stateOperators"])
+    assert kept <= 2
+    with pytest.raises(ValueError):
+        stream_interval_join(*streams, ["post_id"], "posted_at", "ts", spread="id", unanswered=True)
