@@ -188,9 +188,9 @@ def landing_stream(spark: SparkSession, landing: str, source: LandingSource,
                    files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """New files of a landing folder, one row per array element.
 
-    (element VARIANT, value, source_file): the record as it came, of any shape, and
-    the file's text. A file with one object is one element, an empty array none;
-    text that is no JSON is one element that is null. No schema is declared or
+    (element VARIANT, broken, source_file): the record as it came, of any shape. A
+    file with one object is one element, an empty array none; text that is no JSON
+    is one element that is null, with the text as ``broken``. No schema is declared or
     taken from the files: that is left to those who read Bronze.
     """
     parsed = F.try_parse_json("value")
@@ -198,7 +198,8 @@ def landing_stream(spark: SparkSession, landing: str, source: LandingSource,
     return (spark.readStream.format("text").option("wholetext", True)
             .option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE)
             .load(f"{landing}/{source.prefix}")
-            .select("value", F.col("_metadata.file_path").alias("source_file"), F.explode(elements).alias("element")))
+            .select(F.when(parsed.isNull(), F.col("value")).alias("broken"),  # else the text would go with every element
+                    F.col("_metadata.file_path").alias("source_file"), F.explode(elements).alias("element")))
 
 
 def landed_records(elements: DataFrame, schema_key: str | None, run_id: str, now: Column | None = None) -> DataFrame:
@@ -220,7 +221,7 @@ def landed_records(elements: DataFrame, schema_key: str | None, run_id: str, now
     whole = F.when(F.col("_fields").isNull(), F.array(F.lit(NO_OBJECT))).otherwise(F.array().cast("array<string>"))
     return checked.select(
         F.to_json(tagged).alias("line"), F.concat(whole, "errors").alias("errors"),
-        F.coalesce(F.to_json("element"), "value").alias("message"), "source_file")
+        F.coalesce(F.to_json("element"), "broken").alias("message"), "source_file")
 
 
 def _store_landed(checked: DataFrame, bronze: str, source: LandingSource, load: str, counters: Counters,
