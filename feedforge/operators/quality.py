@@ -181,22 +181,24 @@ def _rate_rules(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
     return totals.select(F.inline(F.array(*rows)))
 
 
-def _value_hash(df: DataFrame, column: str) -> Column:
-    """128 bits of a value: two XXH64 of different seeds; of nested values, MD5 of all they hold."""
+def _value_hash(df: DataFrame, column: str) -> list[Column]:
+    """128 bits of a value, as two XXH64 of different seeds; null for null."""
     c = F.col(column)
     if isinstance(df.schema[column].dataType, (T.StructType, T.ArrayType)):
-        return F.unhex(F.md5(F.to_json(F.struct(c), {"ignoreNullFields": "false"})))
-    first, second = F.xxhash64(c), F.xxhash64(F.lit(HASH_SALT), c)
-    return F.concat(*[F.unhex(F.lpad(F.hex(h), 16, "0")) for h in (first, second)])
+        # A hash of nested values passes over their nulls; text of them does not.
+        value = F.to_json(F.struct(c), {"ignoreNullFields": "false"})
+    else:
+        value = c
+    return [F.when(c.isNotNull(), h) for h in (F.xxhash64(value), F.xxhash64(F.lit(HASH_SALT), value))]
 
 
 def _keyed_rules(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
     """Uniqueness rules of all columns from value counts, with one shuffle."""
     columns = sorted({r.column for _, r in rules})
     entries = F.array(*[
-        F.struct(F.lit(i).alias("column"), F.when(F.col(c).isNotNull(), _value_hash(df, c)).alias("hash"))
+        F.struct(F.lit(i).alias("column"), *[h.alias(n) for n, h in zip(("hash", "more"), _value_hash(df, c))])
         for i, c in enumerate(columns)])
-    counts = (df.select(F.explode(entries).alias("e")).select("e.column", "e.hash").groupBy("column", "hash")
+    counts = (df.select(F.explode(entries).alias("e")).select("e.*").groupBy("column", "hash", "more")
               .agg(F.count(F.lit(1)).alias("_copies")))
     filled = F.when(F.col("hash").isNotNull(), F.col("_copies"))
     totals = counts.groupBy("column").agg(
