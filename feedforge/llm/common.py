@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedforge.sources.markers import remove
 from feedforge.sources.workdir import work_dir
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -37,6 +38,12 @@ def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a table that ``stored`` wrote and nothing reads again."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove(df.sparkSession, folder)
+
+
 def id_fold(column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id has a null fold."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds

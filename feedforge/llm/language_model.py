@@ -11,7 +11,8 @@ Seating is sampled by Gibbs sweeps: the customers of one word in one restaurant
 seated anew, one group after another, given the seating of everything else. A group
 is a single customer up to GROUP customers, and 1 / GROUP of those seated beyond,
 so the work of a frequent pair grows with the logarithm of its count. Probabilities
-are averaged over the samples of the last round.
+are averaged over the last two samples, each with its own tables, customers and root,
+so those of a context sum to 1 over the known words and one unknown word.
 
 How it is spread: words are dealt into buckets of about BUCKET_TOKENS tokens by their
 hash, the most frequent ones by word and context. Documents stay together in chunks of
@@ -22,9 +23,15 @@ of packed numbers: its pairs with their counts, and who asks for them.
 
 Buckets are sampled independently given the tables and customers of the restaurants.
 These are a Spark table of one row per bucket and context: after every round it is
-summed up by context, and the sums meet the pairs of their bucket in the next one. At
-the end a bucket answers each chunk, which sums up the scores of its documents. What
-reaches the driver are totals and the most frequent words, HOT_SHARE a bucket at most.
+summed up by context, and the sums meet the pairs of their bucket in the next one. The
+seating of a round is not kept: it follows from the sums before it and a seed, so the
+last step draws the last two samples again and takes their sums from the table. At the
+end a bucket answers each chunk, which sums up the scores of its documents.
+
+Words that are more than 1 / FREQUENT of all tokens (so FREQUENT of them at most) are
+written as their rank instead of their hash, to save room; nothing else depends on it.
+What reaches the driver are totals, these words, and those so frequent that they are
+dealt by context, HOT_SHARE a bucket at most.
 
 Defined results: a null text is an empty one and has the end token only. Documents
 without an id are scored, not learned from, and not held out. Repeated rows are
@@ -35,6 +42,7 @@ has the probability of the base. Words and contexts are compared by a 64-bit has
 from __future__ import annotations
 
 import struct
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,27 +52,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WordHashes, ascii_words, column_bytes, id_fold, ship, stored
+from .common import WordHashes, ascii_words, column_bytes, discard, id_fold, ship, stored
 
 RESTAURANTS = 1 << 18  # restaurants in one batch of the first seating
 DISCOUNT, STRENGTH = 0.75, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 GROUP = 32
-ROUNDS, SWEEPS, SAMPLES = 2, 2, 2
+ROUNDS, SWEEPS = 3, 2  # the last two rounds are the samples
 CHUNK_TOKENS = 1_000_000
 BUCKET_TOKENS = 2_000_000
+FREQUENT = 1 << 20
 HOT_SHARE = 4  # a word with over BUCKET_TOKENS / HOT_SHARE tokens is dealt by context
 END = np.uint64(0x5D3A4E8B1F6C2907)
 START = np.uint64(0x27C1B0A94D85E3F6)
 HASHES = WordHashes()
 
 
-def tokens(text: bytes | None) -> np.ndarray:
-    """Hashes of the words of a text and of the end."""
+class WordNumbers(WordHashes):
+    """Word to its rank if it is frequent, else to its hash.
+
+    ``names`` are the hashes of frequent words in their order, ``ranks`` their ranks.
+    """
+
+    def __init__(self, names: np.ndarray, ranks: np.ndarray):
+        super().__init__()
+        self.names, self.ranks = names, ranks
+        self.end = self.number(int(END))
+
+    def number(self, value: int) -> int:
+        at = bisect_left(self.names, value)
+        return int(self.ranks[at]) if at < len(self.names) and int(self.names[at]) == value else value
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = self.number(super().__missing__(word))
+        return value
+
+
+def tokens(text: bytes | None, numbers: WordNumbers | None = None) -> np.ndarray:
+    """Hashes, or numbers, of the words of a text and of the end."""
     words = ascii_words(text)
     out = np.empty(len(words) + 1, dtype=np.uint64)
-    out[:-1] = HASHES.of(words)
-    out[-1] = END
+    out[:-1] = (HASHES if numbers is None else numbers).of(words)
+    out[-1] = END if numbers is None else numbers.end
     return out
 
 
@@ -160,23 +189,28 @@ def bucket_count(n_tokens: int) -> int:
     return max(1, -(-n_tokens // BUCKET_TOKENS))
 
 
-def dealt(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
+NO_WORDS = np.empty(0, dtype=np.uint64)
+
+
+def dealt(rows: DataFrame, hot: np.ndarray, buckets: int, names: np.ndarray = NO_WORDS, ranks: np.ndarray = NO_WORDS) -> DataFrame:
     """(bucket, chunk, part): what a chunk of documents asks a bucket, and what it keeps.
 
     A question holds, sorted by word and context: words with their numbers of pairs,
     contexts and training counts. What a chunk keeps (bucket < 0) are its pairs in the
     order of the questions with their numbers of entries, the entries (document, count),
-    and the documents (id, flags).
+    and the documents (id, flags). ``hot`` are numbers of words.
     """
+    sent = rows.sparkSession.sparkContext.broadcast((names, ranks))  # FREQUENT words at most
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = WordNumbers(*sent.value)
         for batch in batches:
             texts = column_bytes(batch, "text")
             row, doc_id = batch.column(0).to_numpy(), batch.column(1)
             ids = doc_id.fill_null(0).to_numpy()
             flags = np.asarray(batch.column(2).to_pylist(), dtype=np.uint8) + 2 * np.asarray(doc_id.is_null().to_pylist(), dtype=np.uint8)
             for part in chunks(texts):
-                found = [tokens(texts[i]) for i in part]
+                found = [tokens(texts[i], numbers) for i in part]
                 word = np.concatenate(found)
                 context = np.concatenate([contexts(f) for f in found])
                 doc = np.repeat(np.arange(len(part), dtype=np.uint32), [len(f) for f in found])
@@ -230,13 +264,14 @@ def packed_pairs(word: np.ndarray, context: np.ndarray, count: np.ndarray) -> by
     """Pairs sorted by word: words, their numbers of pairs, contexts, positions of these, counts."""
     first = runs(word)
     names, at = np.unique(context, return_inverse=True)
-    return pack(word[first], np.diff([*first, len(word)]).astype(np.uint32), names, at.astype(np.uint32), count)
+    steps = np.diff(names, prepend=names[:1] * 0)
+    return pack(word[first], np.diff([*first, len(word)]).astype(np.uint32), steps, at.astype(np.uint32), count)
 
 
 def unpacked_pairs(data: bytes) -> tuple[np.ndarray, ...]:
     """(words, distinct contexts, position of the context, count)."""
-    word, per_word, names, at, count = unpack(data)
-    return np.repeat(word, per_word), names, at, count
+    word, per_word, steps, at, count = unpack(data)
+    return np.repeat(word, per_word), np.cumsum(steps, dtype=np.uint64), at, count
 
 
 def bucket_rows(parts: DataFrame, buckets: int) -> DataFrame:
@@ -297,21 +332,31 @@ def seat(count: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.G
 class State:
     """What buckets share: tables and customers of the restaurants, and the root.
 
-    In a bucket the restaurants are those of its own contexts, in their order.
+    In a bucket the restaurants are those of its own contexts, in their order. Hot
+    words have their customers in the root (``hot``) and tables there (``hot_root``).
     """
 
-    def __init__(self, customers, tables, known: int, root_customers: float, root_tables: float, hot: dict[int, float]):
+    def __init__(self, customers, tables, known: int, root_customers: float, root_tables: float,
+                 hot: dict[int, float], hot_root: dict[int, float] | None = None):
         self.customers, self.tables, self.known = customers, tables, known
-        self.root_customers, self.root_tables, self.hot = root_customers, root_tables, hot
+        self.root_customers, self.root_tables, self.hot, self.hot_root = root_customers, root_tables, hot, hot_root or {}
+
+    def at(self, customers: np.ndarray, tables: np.ndarray) -> State:
+        """The state with these restaurants."""
+        return State(customers, tables, self.known, self.root_customers, self.root_tables, self.hot, self.hot_root)
+
+    def fresh(self) -> float:
+        """Weight of a new table of the root, for any word."""
+        return (ROOT_STRENGTH + ROOT_DISCOUNT * self.root_tables) / (self.known + 1)
+
 
-    def at(self, names: np.ndarray, restaurants: pa.Table) -> State:
-        """The state with the restaurants of a bucket, in the order of ``names``."""
-        context = restaurants["context"].to_numpy().view(np.uint64)
-        order = np.argsort(context)
-        if not np.array_equal(context[order], names):
-            raise ValueError("restaurants do not match the contexts of the bucket")
-        tables, customers = (restaurants[c].to_numpy()[order].astype(float) for c in ("tables", "customers"))
-        return State(customers, tables, self.known, self.root_customers, self.root_tables, self.hot)
+def sums_of(names: np.ndarray, restaurants: pa.Table) -> list[np.ndarray]:
+    """Customers, and tables of the last three states, of a bucket's restaurants in the order of ``names``."""
+    context = restaurants["context"].to_numpy().view(np.uint64)
+    order = np.argsort(context)
+    if not np.array_equal(context[order], names):
+        raise ValueError("restaurants do not match the contexts of the bucket")
+    return [restaurants[c].to_numpy()[order].astype(float) for c in ("customers", "tables", "before", "earlier")]
 
 
 class Bucket:
@@ -331,8 +376,7 @@ class Bucket:
         s = self.state
         own = np.bincount(self.of, weights=self.tables, minlength=len(self.word))
         self.customers = np.where(self.hot >= 0, self.hot, own).astype(np.int64)
-        base = 1 / (s.known + 1)
-        fresh = np.full(len(own), (ROOT_STRENGTH + ROOT_DISCOUNT * s.root_tables) * base)
+        fresh = np.full(len(own), s.fresh())
         self.root = seat(self.customers, fresh, ROOT_DISCOUNT, self.rng)
         above = np.maximum(self.customers - ROOT_DISCOUNT * self.root, 0) + fresh
         self.unigram = above / (s.root_customers + ROOT_STRENGTH)
@@ -342,14 +386,38 @@ class Bucket:
         self.tables = seat(self.count, fresh, DISCOUNT, self.rng)
         self.seat_root()
 
-    def probability(self) -> np.ndarray:
-        s, c = self.state, self.context
+    def probability(self, after: State) -> np.ndarray:
+        """Of every pair, given this seating and the sums of all seatings drawn with it."""
+        customers, root = self.customers.astype(float), self.root.astype(float)
+        for at in np.flatnonzero(self.hot >= 0):
+            customers[at], root[at] = after.hot[int(self.word[at])], after.hot_root[int(self.word[at])]
+        unigram = (np.maximum(customers - ROOT_DISCOUNT * root, 0) + after.fresh()) / (after.root_customers + ROOT_STRENGTH)
         held = np.maximum(self.count - DISCOUNT * self.tables, 0)
-        fresh = (STRENGTH + DISCOUNT * s.tables[c]) * self.unigram[self.of]
-        return (held + fresh) / (s.customers[c] + STRENGTH)
+        fresh = (STRENGTH + DISCOUNT * after.tables[self.context]) * unigram[self.of]
+        return (held + fresh) / (after.customers[self.context] + STRENGTH)
+
+
+def drawn(word, at, count, state: State, number: int, b: int) -> Bucket:
+    """The seating of bucket ``b`` in a round: always the same for the same state."""
+    own = Bucket(word, at, count, state, (number << 32) + b)
+    for _ in range(SWEEPS):
+        own.sweep()
+    return own
+
+
+def averaged(word, names, at, count, b: int, restaurants: pa.Table, states: list[State]) -> tuple[Bucket, np.ndarray]:
+    """A bucket and the mean probability of its pairs over the last two rounds."""
+    customers, last, before, earlier = sums_of(names, restaurants)
+    final = len(states) - 1
+    mean = np.zeros(len(count))
+    for number, old, new in ((final - 1, earlier, before), (final, before, last)):
+        own = drawn(word, at, count, states[number - 1].at(customers, old), number, b)
+        mean += own.probability(states[number].at(customers, new)) / 2
+    return own, mean
 
 
-SEATED = "bucket int, context long, tables long, customers long"
+#: Own tables and customers of a bucket, and the tables of the whole restaurant one and two rounds earlier.
+SEATED = "bucket int, context long, tables long, customers long, before long, earlier long"
 ROOT, HOT = -1, -2  # rows of SEATED that are no restaurants: tables of the root, tables of a hot word in all of them
 
 
@@ -362,7 +430,8 @@ def first_seating(data: bytes, b: int) -> Iterator[pa.RecordBatch]:
         some = slice(i, i + RESTAURANTS)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(names[some]), b, np.int32)), pa.array(names[some].view(np.int64)),
-             pa.array(tables[some]), pa.array(customers[some])], ["bucket", "context", "tables", "customers"])
+             pa.array(tables[some]), pa.array(customers[some]), *[pa.array(np.zeros(len(names[some]), np.int64))] * 2],
+            ["bucket", "context", "tables", "customers", "before", "earlier"])
 
 
 def opened(buckets: DataFrame) -> DataFrame:
@@ -380,7 +449,7 @@ def restaurants(seated: DataFrame) -> DataFrame:
     """SEATED rows with the sums over all buckets: what a bucket needs to know of its contexts."""
     context = Window.partitionBy("context")  # a row per bucket at most
     return seated.where("bucket >= 0").select(
-        "bucket", "context", *(F.sum(c).over(context).alias(c) for c in ("tables", "customers")))
+        "bucket", "context", *(F.sum(c).over(context).alias(c) for c in ("tables", "customers")), "before", "earlier")
 
 
 def round_of(buckets: DataFrame, seated: DataFrame, state: State, number: int, hot: np.ndarray) -> tuple[DataFrame, State]:
@@ -391,9 +460,8 @@ def round_of(buckets: DataFrame, seated: DataFrame, state: State, number: int, h
     def sample(left: pa.Table, right: pa.Table) -> pa.Table:
         b, data = left["bucket"][0].as_py(), left["pairs"][0].as_py()
         word, names, at, count = unpacked_pairs(data)
-        own = Bucket(word, at, count, sent.value.at(names, right), (number << 32) + b)
-        for _ in range(SWEEPS):
-            own.sweep()
+        whole, last, before, _ = sums_of(names, right)
+        own = drawn(word, at, count, sent.value.at(whole, last), number, b)
         tables = np.bincount(at, weights=own.tables, minlength=len(names)).astype(np.int64)
         customers = np.bincount(at, weights=count, minlength=len(names)).astype(np.int64)
         many = np.isin(own.word, hot)
@@ -403,7 +471,8 @@ def round_of(buckets: DataFrame, seated: DataFrame, state: State, number: int, h
         return pa.table({
             "bucket": kind, "context": np.concatenate([names, np.zeros(1, np.uint64), own.word[many]]).view(np.int64),
             "tables": np.concatenate([tables, [own.root[~many].sum()], served]).astype(np.int64),
-            "customers": np.concatenate([customers, none])})
+            "customers": np.concatenate([customers, none]),
+            **{c: np.concatenate([v.astype(np.int64), none]) for c, v in (("before", last), ("earlier", before))}})
 
     met = buckets.select("bucket", "pairs").groupBy("bucket").cogroup(restaurants(seated).groupBy("bucket"))
     seated = kept(met.applyInArrow(sample, SEATED), "seated")
@@ -414,35 +483,33 @@ def round_of(buckets: DataFrame, seated: DataFrame, state: State, number: int, h
     totals = {name & (1 << 64) - 1: float(n) for (kind, name), n in sums.items() if kind == HOT}
     # Hot words are few; each has its customers spread over buckets and is seated here.
     few = np.array(list(totals.values()), dtype=np.int64)
-    fresh = np.full(len(few), (ROOT_STRENGTH + ROOT_DISCOUNT * state.root_tables) / (state.known + 1))
-    root = sums.get((ROOT, None), 0) + int(seat(few, fresh, ROOT_DISCOUNT, np.random.default_rng(number)).sum())
-    return seated, State(None, None, state.known, float(sums.get((0, None), 0)), float(root), totals)
+    served = seat(few, np.full(len(few), state.fresh()), ROOT_DISCOUNT, np.random.default_rng(number))
+    root = sums.get((ROOT, None), 0) + int(served.sum())
+    return seated, State(None, None, state.known, float(sums.get((0, None), 0)), float(root), totals,
+                         dict(zip(totals, served.tolist())))
 
 
 # --- scores -----------------------------------------------------------------------
 
-def scored(buckets: DataFrame, entries: DataFrame, seated: DataFrame, state: State, counts: dict[int, int], total: int) -> DataFrame:
+def scored(buckets: DataFrame, entries: DataFrame, seated: DataFrame, states: list[State], counts: dict[int, int], total: int) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every document.
 
-    A bucket answers every chunk with the values of its pairs, packed; a chunk puts the
-    answers in the order of the buckets and sums them up for its documents.
+    A bucket answers every chunk with the values of its pairs, packed: logarithms as
+    numbers of four bytes, and training counts of the words. A chunk puts the answers in
+    the order of the buckets and sums them up for its documents.
     """
-    sent = buckets.sparkSession.sparkContext.broadcast((state, counts))
+    sent = buckets.sparkSession.sparkContext.broadcast((states, counts))
+    known = states[-1].known
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        shared, hot_counts = sent.value
+        states, hot_counts = sent.value
         b, pairs, asks = (left[j][0].as_py() for j in ("bucket", "pairs", "asks"))
         word, names, at, count = unpacked_pairs(pairs)
-        own = Bucket(word, at, count, shared.at(names, right), b)
-        mean = np.zeros(len(own.count))
-        for _ in range(SAMPLES):
-            own.sweep()
-            mean += own.probability() / SAMPLES
-        score = np.log10(mean)
-        c = np.bincount(own.of, weights=own.count, minlength=len(own.word))
+        own, mean = averaged(word, names, at, count, b, right, states)
+        score = np.log10(mean).astype(np.float32)
+        c = np.bincount(own.of, weights=own.count, minlength=len(own.word)).astype(np.int64)
         if hot_counts:
-            c = np.array([hot_counts.get(w, n) for w, n in zip(own.word.tolist(), c.tolist())])
-        base = np.log10((c + 0.5) / (total + 0.5 * (shared.known + 1)))
+            c = np.array([hot_counts.get(w, n) for w, n in zip(own.word.tolist(), c.tolist())], dtype=np.int64)
         asking, sizes, step = unpack(asks)
         pair = np.cumsum(step, dtype=np.uint32)
         out, at = [], 0
@@ -450,22 +517,23 @@ def scored(buckets: DataFrame, entries: DataFrame, seated: DataFrame, state: Sta
             some = pair[at:at + n]
             of = own.of[some]
             first = runs(of)
-            out.append(pack(score[some], np.diff([*first, n]).astype(np.uint32), base[of[first]], (c[of[first]] > 0).astype(np.uint8)))
+            out.append(pack(score[some], np.diff([*first, n]).astype(np.uint32), c[of[first]]))
             at += n
         return pa.table({"chunk": asking, "bucket": pa.array([b] * len(out), pa.int32()), "part": pa.array(out, pa.binary())})
 
     def add(left: pa.Table, right: pa.Table) -> pa.Table:
         order = np.argsort(right["bucket"].to_numpy())
-        score, base, known = [], [], []
+        score, learned = [], []
         for i in order.tolist():
-            s, per_word, word_base, word_known = unpack(right["part"][i].as_py())
+            s, per_word, c = unpack(right["part"][i].as_py())
             score.append(s)
-            base.append(np.repeat(word_base, per_word))
-            known.append(np.repeat(word_known, per_word))
+            learned.append(np.repeat(c, per_word))
         per_pair, doc, n, doc_id, flag = unpack(left["entries"][0].as_py())
+        c = np.concatenate(learned)
+        base = np.log10((c + 0.5) / (total + 0.5 * (known + 1)))
         sums = [np.bincount(doc, weights=n, minlength=len(doc_id))]
-        for values in (known, base, score):
-            sums.append(np.bincount(doc, weights=n * np.repeat(np.concatenate(values), per_pair), minlength=len(doc_id)))
+        for values in (c > 0, base, np.concatenate(score)):
+            sums.append(np.bincount(doc, weights=n * np.repeat(values, per_pair), minlength=len(doc_id)))
         return pa.table({
             "doc_id": pa.array(doc_id, mask=(flag & 2) > 0), "n_tokens": sums[0].astype(np.int64),
             "n_known": sums[1].astype(np.int64), "base_score": sums[2], "score": sums[3]})
@@ -476,26 +544,49 @@ def scored(buckets: DataFrame, entries: DataFrame, seated: DataFrame, state: Sta
         add, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
-def score_texts(documents: DataFrame, folds: int = 5, held_out_fold: int = 1) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
-    spark = ship(documents.sparkSession)
-    fold = id_fold("doc_id", folds)
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "text",
-        F.coalesce(fold != held_out_fold, F.lit(False)).alias("train"))
+class Model:
+    """What training leaves: buckets and entries, the restaurants and the states of all rounds."""
+
+    def __init__(self, buckets, entries, seated, states, counts, total):
+        self.buckets, self.entries, self.seated = buckets, entries, seated
+        self.states, self.counts, self.total = states, counts, total
+
+
+def trained(rows: DataFrame) -> Model:
+    """Rows are (row, doc_id, text, train)."""
     words = kept(word_counts(rows), "word-counts")
     known, total, n_tokens = words.agg(F.count_if(F.col("c") > 0), *(F.coalesce(F.sum(x), F.lit(0)) for x in ("c", "n"))).first()
     buckets = bucket_count(n_tokens)
+    often = words.where(F.col("n") * FREQUENT > n_tokens).select("word", "n").toArrow()  # FREQUENT rows at most
+    often = often["word"].to_numpy().view(np.uint64)[np.argsort(-often["n"].to_numpy(), kind="stable")]
+    by_name = np.argsort(often)
+    numbers = WordNumbers(often[by_name], by_name.astype(np.uint64))
     hot_rows = words.where(F.col("n") * HOT_SHARE > BUCKET_TOKENS).collect()  # HOT_SHARE * buckets rows at most
-    counts = {r.word & (1 << 64) - 1: r.c for r in hot_rows}
+    counts = {numbers.number(r.word & (1 << 64) - 1): r.c for r in hot_rows}
     hot = np.array(list(counts), dtype=np.uint64)
-    parts = kept(bucket_rows(dealt(rows, hot, buckets), buckets), "buckets")
+    discard(words)
+    parts = kept(bucket_rows(dealt(rows, hot, buckets, numbers.names, numbers.ranks), buckets), "buckets")
     table = parts.where("bucket >= 0").select("bucket", "pairs", "asks")
     entries = parts.where("bucket < 0").select("chunk", "entries")
     seated = opened(table)
-    state = State(None, None, known, 0.6 * total, float(known), {w: 0.3 * c for w, c in counts.items()})
+    states = [State(None, None, known, 0.6 * total, float(known), {w: 0.3 * c for w, c in counts.items()})]
     for number in range(1, ROUNDS + 1):
-        seated, state = round_of(table, seated, state, number, hot)
-    out = scored(table, entries, seated, state, counts, total)
+        old = seated
+        seated, state = round_of(table, seated, states[-1], number, hot)
+        states.append(state)
+        if number > 1:
+            discard(old)
+    return Model(table, entries, seated, states, counts, total)
+
+
+def score_texts(documents: DataFrame, folds: int = 5, held_out_fold: int = 1) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
+    ship(documents.sparkSession)
+    fold = id_fold("doc_id", folds)
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "text",
+        F.coalesce(fold != held_out_fold, F.lit(False)).alias("train"))
+    model = trained(rows)
+    out = scored(model.buckets, model.entries, model.seated, model.states, model.counts, model.total)
     return out.select("doc_id", F.coalesce(id_fold("doc_id", folds) == held_out_fold, F.lit(False)).alias("held_out"),
-                      "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+                      "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -6,9 +6,11 @@ import math
 import os
 import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import sentencepiece
@@ -305,18 +307,52 @@ def test_seating_has_the_expected_number_of_tables():
     assert language_model.seat(np.array([0, 1, 10**7]), np.array([1.0, 1.0, 1e-9]), 0.5, rng).tolist() == [0, 1, 1]
 
 
-def test_probabilities_of_a_context_sum_to_one():
-    vocabulary = np.arange(1, 51, dtype=np.uint64)
-    count = np.random.default_rng(1).integers(0, 9, 50)
-    size = language_model.RESTAURANTS
-    state = language_model.State(np.zeros(size), np.zeros(size), 50, 0.0, 0.0, {})
-    own = language_model.Bucket(vocabulary, np.zeros(50, dtype=np.int64), count, state, 1)
-    own.sweep()
-    state.customers[0], state.tables[0] = count.sum(), own.tables.sum()
-    state.root_customers, state.root_tables = own.tables.sum(), own.root.sum()
-    own.unigram = (np.maximum(own.customers - 0.6 * own.root, 0) + (1 + 0.6 * own.root.sum()) / 51) / (own.customers.sum() + 1)
-    unknown = (1 + 0.6 * own.root.sum()) / 51 / (own.customers.sum() + 1) * (1 + 0.75 * own.tables.sum()) / (count.sum() + 1)
-    assert abs(own.probability().sum() + unknown - 1) < 1e-9
+@pytest.mark.parametrize("bucket_tokens", [2_000_000, 300])  # one bucket; several, with hot words dealt by context
+def test_probabilities_of_every_context_sum_to_one(spark, monkeypatch, bucket_tokens):
+    monkeypatch.setattr(language_model, "BUCKET_TOKENS", bucket_tokens)
+    rng = random.Random(8)
+    texts = [words(rng, 12) + " fixed pair" * rng.randint(0, 3) for _ in range(120)]
+    rows = spark.createDataFrame([(i, i, t, i % 4 > 0) for i, t in enumerate(texts)], "row long, doc_id long, text string, train boolean")
+    model = language_model.trained(rows)
+    shared = {b: [r for r in some] for b, some in groupby(
+        sorted(language_model.restaurants(model.seated).collect(), key=lambda r: r.bucket), key=lambda r: r.bucket)}
+    found, unigram = defaultdict(dict), [{}, {}]
+    final = len(model.states) - 1
+    table = model.buckets.collect()
+    assert bool(model.counts) is (len(table) > 1) is (bucket_tokens == 300)
+    for r in table:
+        word, names, at, count = language_model.unpacked_pairs(r.pairs)
+        right = pa.Table.from_pylist([x.asDict() for x in shared[r.bucket]])
+        own, mean = language_model.averaged(word, names, at, count, r.bucket, right, model.states)
+        for w, c, n, p in zip(word.tolist(), names[at].tolist(), count.tolist(), mean.tolist()):
+            found[c][w] = p
+        sums = language_model.sums_of(names, right)
+        for k, (number, old) in enumerate(((final - 1, sums[3]), (final, sums[2]))):
+            again = language_model.drawn(word, at, count, model.states[number - 1].at(sums[0], old), number, r.bucket)
+            after = model.states[number]
+            for w, c, t in zip(again.word.tolist(), again.customers.tolist(), again.root.tolist()):
+                c, t = after.hot.get(w, c), after.hot_root.get(w, t)
+                unigram[k][w] = (max(c - 0.6 * t, 0) + after.fresh()) / (after.root_customers + 1)
+    known = set(unigram[0])
+    restaurant = {x.context & (1 << 64) - 1: x for some in shared.values() for x in some}
+    learned = {w for t, i in zip(texts, range(120)) if i % 4 for w in t.split()}
+    for c, pairs in found.items():
+        x = restaurant[c]
+        new = [(1 + 0.75 * t) / (x.customers + 1) for t in (x.before, x.tables)]
+        missing = lambda w: sum(n * u[w] for n, u in zip(new, unigram)) / 2
+        rare = sum(n * s.fresh() / (s.root_customers + 1) for n, s in zip(new, model.states[-2:])) / 2
+        unknown = {w for w in known if abs(unigram[0][w] - model.states[-2].fresh() / (model.states[-2].root_customers + 1)) < 1e-15}
+        assert len(known - unknown) == len(learned) + 1 == model.states[-1].known
+        total = rare + sum(pairs[w] if w in pairs else missing(w) for w in known - unknown)
+        assert abs(total - 1) < 1e-9
+
+
+def test_numbers_of_frequent_words_and_hashes_of_others():
+    plain = language_model.tokens(b"a b c")
+    names = np.sort(plain[[0, 2, 3]])
+    numbers = language_model.WordNumbers(names, np.array([5, 6, 7], dtype=np.uint64))
+    want = {int(n): r for n, r in zip(names, (5, 6, 7))}
+    assert language_model.tokens(b"a b C", numbers).tolist() == [want.get(int(h), int(h)) for h in plain]
 
 
 def test_every_context_word_has_its_own_restaurant(spark):
