@@ -42,11 +42,11 @@ has the probability of the base. Words and contexts are compared by a 64-bit has
 from __future__ import annotations
 
 import struct
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,17 +71,17 @@ HASHES = WordHashes()
 class WordNumbers(WordHashes):
     """Word to its rank if it is frequent, else to its hash.
 
-    ``names`` are the hashes of frequent words in their order, ``ranks`` their ranks.
+    ``names`` are the hashes of frequent words, ``ranks`` their ranks.
     """
 
     def __init__(self, names: np.ndarray, ranks: np.ndarray):
         super().__init__()
         self.names, self.ranks = names, ranks
+        self.frequent = dict(zip(names.tolist(), ranks.tolist()))
         self.end = self.number(int(END))
 
     def number(self, value: int) -> int:
-        at = bisect_left(self.names, value)
-        return int(self.ranks[at]) if at < len(self.names) and int(self.names[at]) == value else value
+        return self.frequent.get(value, value)
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = self.number(super().__missing__(word))
@@ -219,7 +219,7 @@ def dealt(rows: DataFrame, hot: np.ndarray, buckets: int, names: np.ndarray = NO
                 place[many] = mix(place[many] + context[many])
                 bucket = ((place >> np.uint64(16)) % np.uint64(buckets)).astype(np.int32)
                 del found, place, many
-                order = np.lexsort((doc, context, word, bucket))
+                order = np.lexsort((context, word, bucket))  # stable, so documents stay in order
                 word, context, doc, bucket = word[order], context[order], doc[order], bucket[order]
                 entry = runs(word, context, doc)
                 times = np.diff([*entry, len(word)])
@@ -310,22 +310,20 @@ def seat(count: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.G
     discount.
     """
     tables = (count > 0).astype(np.int64)
-    order = np.argsort(-count, kind="stable")
-    order = order[:int((count > 1).sum())]
+    order = np.flatnonzero(count > 1)
+    order = order[np.argsort(-count[order], kind="stable")]
     left, weight, open_ = count[order], fresh[order], tables[order]
-    seated = np.ones(len(order), dtype=np.int64)
-    live = len(order)
+    seated, live = 1, len(order)  # of every word that still has customers to seat, the first ``live``
     while live:
-        group = np.minimum(left[:live] - seated[:live], np.maximum(1, seated[:live] // GROUP))
-        chance = weight[:live] / (seated[:live] - discount * open_[:live] + weight[:live])
-        open_[:live] += rng.binomial(group, np.clip(chance, 0, 1))
-        seated[:live] += group
-        done = seated[:live] >= left[:live]
-        if done.any():
-            keep = np.flatnonzero(~done)
-            tables[order[:live][done]] = open_[:live][done]
-            order, left, weight, open_, seated = order[keep], left[keep], weight[keep], open_[keep], seated[keep]
-            live = len(keep)
+        group = max(1, seated // GROUP)
+        chance = weight[:live] / (seated - discount * open_[:live] + weight[:live])
+        if group == 1:
+            open_[:live] += rng.random(live) < chance
+        else:
+            open_[:live] += rng.binomial(np.minimum(left[:live] - seated, group), np.clip(chance, 0, 1))
+        seated += group
+        live = len(left) - int(np.searchsorted(left[::-1], seated, side="right"))
+    tables[order] = open_
     return tables
 
 
@@ -352,11 +350,15 @@ class State:
 
 def sums_of(names: np.ndarray, restaurants: pa.Table) -> list[np.ndarray]:
     """Customers, and tables of the last three states, of a bucket's restaurants in the order of ``names``."""
-    context = restaurants["context"].to_numpy().view(np.uint64)
+    packed = restaurants["held"].is_valid()
+    rows, held = restaurants.filter(pc.invert(packed)), restaurants["held"].filter(packed)
+    context = rows["context"].to_numpy().view(np.uint64)
     order = np.argsort(context)
     if not np.array_equal(context[order], names):
         raise ValueError("restaurants do not match the contexts of the bucket")
-    return [restaurants[c].to_numpy()[order].astype(float) for c in ("customers", "tables", "before", "earlier")]
+    tables, customers = (rows[c].to_numpy()[order] for c in ("tables", "customers"))
+    customers, before, earlier = unpack(held[0].as_py()) if len(held) else (customers, tables * 0, tables * 0)
+    return [v.astype(float) for v in (customers, tables, before, earlier)]
 
 
 class Bucket:
@@ -416,8 +418,9 @@ def averaged(word, names, at, count, b: int, restaurants: pa.Table, states: list
     return own, mean
 
 
-#: Own tables and customers of a bucket, and the tables of the whole restaurant one and two rounds earlier.
-SEATED = "bucket int, context long, tables long, customers long, before long, earlier long"
+#: Own tables of a bucket and, before the first round, its own customers. From then on a bucket holds in one more
+#: row, packed, what does not change or is summed up: customers, and the tables one and two rounds earlier.
+SEATED = "bucket int, context long, tables long, customers long, held binary"
 ROOT, HOT = -1, -2  # rows of SEATED that are no restaurants: tables of the root, tables of a hot word in all of them
 
 
@@ -430,8 +433,8 @@ def first_seating(data: bytes, b: int) -> Iterator[pa.RecordBatch]:
         some = slice(i, i + RESTAURANTS)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(names[some]), b, np.int32)), pa.array(names[some].view(np.int64)),
-             pa.array(tables[some]), pa.array(customers[some]), *[pa.array(np.zeros(len(names[some]), np.int64))] * 2],
-            ["bucket", "context", "tables", "customers", "before", "earlier"])
+             pa.array(tables[some]), pa.array(customers[some]), pa.nulls(len(names[some]), pa.binary())],
+            ["bucket", "context", "tables", "customers", "held"])
 
 
 def opened(buckets: DataFrame) -> DataFrame:
@@ -448,8 +451,9 @@ def opened(buckets: DataFrame) -> DataFrame:
 def restaurants(seated: DataFrame) -> DataFrame:
     """SEATED rows with the sums over all buckets: what a bucket needs to know of its contexts."""
     context = Window.partitionBy("context")  # a row per bucket at most
-    return seated.where("bucket >= 0").select(
-        "bucket", "context", *(F.sum(c).over(context).alias(c) for c in ("tables", "customers")), "before", "earlier")
+    sums = seated.where("bucket >= 0 and held is null").select(
+        "bucket", "context", *(F.sum(c).over(context).alias(c) for c in ("tables", "customers")), "held")
+    return sums.union(seated.where("held is not null"))
 
 
 def round_of(buckets: DataFrame, seated: DataFrame, state: State, number: int, hot: np.ndarray) -> tuple[DataFrame, State]:
@@ -463,16 +467,16 @@ def round_of(buckets: DataFrame, seated: DataFrame, state: State, number: int, h
         whole, last, before, _ = sums_of(names, right)
         own = drawn(word, at, count, sent.value.at(whole, last), number, b)
         tables = np.bincount(at, weights=own.tables, minlength=len(names)).astype(np.int64)
-        customers = np.bincount(at, weights=count, minlength=len(names)).astype(np.int64)
         many = np.isin(own.word, hot)
         served = np.bincount(own.of, weights=own.tables, minlength=len(own.word))[many].astype(np.int64)
-        none = np.zeros(1 + len(served), np.int64)
-        kind = np.concatenate([np.full(len(names), b), [ROOT], np.full(len(served), HOT)]).astype(np.int32)
+        held = pack(*(v.astype(np.int64) for v in (whole, last, before)))
+        rest = 2 + len(served)  # what is held, the root, and the hot words
         return pa.table({
-            "bucket": kind, "context": np.concatenate([names, np.zeros(1, np.uint64), own.word[many]]).view(np.int64),
-            "tables": np.concatenate([tables, [own.root[~many].sum()], served]).astype(np.int64),
-            "customers": np.concatenate([customers, none]),
-            **{c: np.concatenate([v.astype(np.int64), none]) for c, v in (("before", last), ("earlier", before))}})
+            "bucket": np.concatenate([np.full(len(names) + 1, b), [ROOT], np.full(len(served), HOT)]).astype(np.int32),
+            "context": np.concatenate([names, np.zeros(2, np.uint64), own.word[many]]).view(np.int64),
+            "tables": np.concatenate([tables, [0, own.root[~many].sum()], served]).astype(np.int64),
+            "customers": np.zeros(len(names) + rest, np.int64),
+            "held": pa.array([None] * len(names) + [held] + [None] * (rest - 1), pa.binary())})
 
     met = buckets.select("bucket", "pairs").groupBy("bucket").cogroup(restaurants(seated).groupBy("bucket"))
     seated = kept(met.applyInArrow(sample, SEATED), "seated")
@@ -559,8 +563,7 @@ def trained(rows: DataFrame) -> Model:
     buckets = bucket_count(n_tokens)
     often = words.where(F.col("n") * FREQUENT > n_tokens).select("word", "n").toArrow()  # FREQUENT rows at most
     often = often["word"].to_numpy().view(np.uint64)[np.argsort(-often["n"].to_numpy(), kind="stable")]
-    by_name = np.argsort(often)
-    numbers = WordNumbers(often[by_name], by_name.astype(np.uint64))
+    numbers = WordNumbers(often, np.arange(len(often), dtype=np.uint64))
     hot_rows = words.where(F.col("n") * HOT_SHARE > BUCKET_TOKENS).collect()  # HOT_SHARE * buckets rows at most
     counts = {numbers.number(r.word & (1 << 64) - 1): r.c for r in hot_rows}
     hot = np.array(list(counts), dtype=np.uint64)
