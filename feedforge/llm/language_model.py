@@ -211,28 +211,35 @@ def dealt(rows: DataFrame, hot: np.ndarray, buckets: int, names: np.ndarray = NO
             flags = np.asarray(batch.column(2).to_pylist(), dtype=np.uint8) + 2 * np.asarray(doc_id.is_null().to_pylist(), dtype=np.uint8)
             for part in chunks(texts):
                 found = [tokens(texts[i], numbers) for i in part]
-                word = np.concatenate(found)
-                context = np.concatenate([contexts(f) for f in found])
-                doc = np.repeat(np.arange(len(part), dtype=np.uint32), [len(f) for f in found])
+                size = [len(f) for f in found]
+                names, word = np.unique(np.concatenate(found), return_inverse=True)
+                context = np.concatenate([[0], word[:-1]])  # positions in names, which ends with START
+                context[np.cumsum([0, *size[:-1]])] = len(names)
+                key = word * (len(names) + 1) + context
+                names = np.append(names, START)
+                doc = np.repeat(np.arange(len(part), dtype=np.uint32), size)
+                order = np.argsort(key, kind="stable")  # documents stay in order
+                key, doc = key[order], doc[order]
+                entry = runs(key, doc)
+                times = np.diff(entry, append=len(key))
+                key, doc = key[entry], doc[entry]
+                word, context = (names[x] for x in np.divmod(key, len(names)))
+                del found, order, entry
                 place = mix(word)
                 many = np.isin(word, hot)
                 place[many] = mix(place[many] + context[many])
                 bucket = ((place >> np.uint64(16)) % np.uint64(buckets)).astype(np.int32)
-                del found, place, many
-                order = np.lexsort((context, word, bucket))  # stable, so documents stay in order
-                word, context, doc, bucket = word[order], context[order], doc[order], bucket[order]
-                entry = runs(word, context, doc)
-                times = np.diff([*entry, len(word)])
-                word, context, doc, bucket = word[entry], context[entry], doc[entry], bucket[entry]
+                order = np.argsort(bucket, kind="stable")
+                word, context, doc, times, bucket = word[order], context[order], doc[order], times[order], bucket[order]
                 pair = runs(word, context)
                 learned = np.add.reduceat(times * (flags[part][doc] & 1), pair)
-                per_pair = np.diff([*pair, len(word)]).astype(np.uint32)
+                per_pair = np.diff(pair, append=len(word)).astype(np.uint32)
                 word, context, bucket = word[pair], context[pair], bucket[pair]
                 edges = runs(bucket)
                 out = []
                 for a, b in zip(edges, [*edges[1:], len(bucket)]):
                     first = runs(word[a:b])
-                    out.append(pack(word[a:b][first], np.diff([*first, b - a]).astype(np.uint32), context[a:b], learned[a:b]))
+                    out.append(pack(word[a:b][first], np.diff(first, append=b - a).astype(np.uint32), context[a:b], learned[a:b]))
                 out.append(pack(per_pair, doc, times.astype(np.uint32), ids[part], flags[part]))
                 chunk = int(row[part[0]])
                 yield pa.RecordBatch.from_arrays(
@@ -256,7 +263,7 @@ def merged(parts: list[bytes]) -> tuple[np.ndarray, ...]:
     word, context, count = word[order], context[order], count[order]
     start = runs(word, context)
     of = np.empty(len(order), dtype=np.uint32)
-    of[order] = np.repeat(np.arange(len(start), dtype=np.uint32), np.diff([*start, len(word)]))
+    of[order] = np.repeat(np.arange(len(start), dtype=np.uint32), np.diff(start, append=len(word)))
     return word[start], context[start], np.add.reduceat(count, start), of
 
 
@@ -265,7 +272,7 @@ def packed_pairs(word: np.ndarray, context: np.ndarray, count: np.ndarray) -> by
     first = runs(word)
     names, at = np.unique(context, return_inverse=True)
     steps = np.diff(names, prepend=names[:1] * 0)
-    return pack(word[first], np.diff([*first, len(word)]).astype(np.uint32), steps, at.astype(np.uint32), count)
+    return pack(word[first], np.diff(first, append=len(word)).astype(np.uint32), steps, at.astype(np.uint32), count)
 
 
 def unpacked_pairs(data: bytes) -> tuple[np.ndarray, ...]:
@@ -369,7 +376,7 @@ class Bucket:
         self.rng = np.random.default_rng(seed)
         start = runs(word)
         self.word = word[start]
-        self.of = np.repeat(np.arange(len(start)), np.diff([*start, len(word)]))
+        self.of = np.repeat(np.arange(len(start)), np.diff(start, append=len(word)))
         self.hot = np.array([state.hot.get(w, -1.0) for w in self.word.tolist()]) if state.hot else np.full(len(start), -1.0)
         self.tables = (count > 0).astype(np.int64)
         self.seat_root()
@@ -521,7 +528,7 @@ def scored(buckets: DataFrame, entries: DataFrame, seated: DataFrame, states: li
             some = pair[at:at + n]
             of = own.of[some]
             first = runs(of)
-            out.append(pack(score[some], np.diff([*first, n]).astype(np.uint32), c[of[first]]))
+            out.append(pack(score[some], np.diff(first, append=n).astype(np.uint32), c[of[first]]))
             at += n
         return pa.table({"chunk": asking, "bucket": pa.array([b] * len(out), pa.int32()), "part": pa.array(out, pa.binary())})
 
