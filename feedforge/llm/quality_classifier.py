@@ -81,17 +81,17 @@ def statistics(text: bytes | None) -> list[float]:
 
 def text_statistics(documents: DataFrame, id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
-    """(doc_id, x): one vector per document."""
+    """(doc_id, text_key, x): one vector per document, and the hash of its text."""
     ship(documents.sparkSession)
 
     def run(batch: pa.RecordBatch):
-        x = [statistics(t) for t in column_bytes(batch, text_column)]
+        x = [statistics(t) for t in column_bytes(batch, "text")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(batch.schema.get_field_index(id_column)).cast(pa.int64()),
-             pa.array(x, pa.list_(pa.float64()))], ["doc_id", "x"])
+            [batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "text_key", "x"])
 
-    chosen = documents.select(F.col(id_column).cast("long").alias(id_column), text_column)
-    return map_batches(chosen, run, "doc_id long, x array<double>")
+    chosen = documents.select(F.col(id_column).cast("long").alias("doc_id"),
+                              F.xxhash64(text_column).alias("text_key"), F.col(text_column).alias("text"))
+    return map_batches(chosen, run, "doc_id long, text_key long, x array<double>")
 
 
 @dataclass
@@ -181,9 +181,10 @@ def clean_labels(labels: DataFrame) -> DataFrame:
 
 def score_quality(documents: DataFrame, labels: DataFrame, folds: int = 3,
                   held_out_fold: int = 1, **shrinkage: float) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every document.
+    """(doc_id, held_out, score, predicted, text_key) of every document.
 
-    Documents of the held-out fold take no part in the fit.
+    Documents of the held-out fold take no part in the fit. ``text_key`` is the
+    hash of the text, which tells rows that share an id apart.
     """
     x = stored(text_statistics(documents), "quality-statistics").withColumn(
         "held_out", F.coalesce(id_fold("doc_id", folds) == held_out_fold, F.lit(False)))
@@ -194,8 +195,8 @@ def score_quality(documents: DataFrame, labels: DataFrame, folds: int = 3,
         score = model.score(vectors)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(score),
-             pa.array((score >= 0.5).astype(np.int32))],
-            ["doc_id", "held_out", "score", "predicted"])
+             pa.array((score >= 0.5).astype(np.int32)), batch.column(3)],
+            ["doc_id", "held_out", "score", "predicted", "text_key"])
 
-    return map_batches(x.select("doc_id", "x", "held_out"), run,
-                       "doc_id long, held_out boolean, score double, predicted int")
+    return map_batches(x.select("doc_id", "x", "held_out", "text_key"), run,
+                       "doc_id long, held_out boolean, score double, predicted int, text_key long")

@@ -22,7 +22,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_classifier.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    scored = quality_classifier.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return scored.drop("text_key")
 
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -148,17 +149,17 @@ from ruled join reputation using (host)
 """
 
 TOP_K_SQL = """
-with valid as (
-  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q
+with valid as materialized (
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q
   from embeddings
   where vec_id is not null and embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 scores as (
-  select a.vec_id as query_id, b.vec_id, list_dot_product(a.q::double[], b.q::double[])::bigint as score
-  from valid a join valid b on a.vec_id <> b.vec_id
+  select a.row, a.vec_id as query_id, b.vec_id, list_dot_product(a.q::double[], b.q::double[])::bigint as score
+  from valid a join valid b on a.row <> b.row
   where a.vec_id % 50 = 0),
 ranked as (
-  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scores)
+  select *, row_number() over (partition by row order by score desc, vec_id)::int as rank from scores)
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 

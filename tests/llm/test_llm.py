@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 from itertools import groupby
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -262,20 +263,35 @@ def test_top_k_equals_brute_force(spark, scale):
     rows += [(200, rows[0][1]), (200, rows[0][1]), (201, None), (250, [1.0, None, 0.0, 0.0, 0.0]), (300, [float("nan")] * 5), (350, []),
              (351, []), (400, [1.0, 2.0]), (None, [1.0] * 5)]
     got = topk_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
-    valid = {i: [math.floor(256 * x) for x in v] for i, v in rows
-             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    valid = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
+             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = []
-    for q in sorted(i for i in valid if i % 50 == 0):
-        scores = sorted((-sum(a * b for a, b in zip(valid[q], v)), i) for i, v in valid.items() if i != q and len(v) == len(valid[q]))
+    for at, (q, own) in enumerate(valid):
+        if q % 50:
+            continue
+        scores = sorted((-sum(a * b for a, b in zip(own, v)), i) for j, (i, v) in enumerate(valid) if j != at and len(v) == len(own))
         clip = lambda s: max(-2**63, min(2**63 - 1, s))
         want += [(q, r, i, clip(-s)) for r, (s, i) in enumerate(scores[:5], 1)]
     if scale == 1.0:
-        assert sorted(map(tuple, got)) == want
+        assert sorted(map(tuple, got)) == sorted(want)
     else:  # beyond 64 bits scores are cut, so only they are compared
-        assert sorted((r.query_id, r["rank"], r.score) for r in got) == [(q, r, s) for q, r, _, s in want]
+        assert sorted((r.query_id, r["rank"], r.score) for r in got) == sorted((q, r, s) for q, r, _, s in want)
     assert topk_search.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_top_k_leaves_out_only_the_own_row_of_a_repeated_id(spark, tmp_path):
+    rows = [(50, [1.0, 0.0], 9), (50, [0.5, 0.5], 9), (1, [0.25, 0.0], 9), (1, [0.25, 0.0], 9), (2, [0.0, 1.0], 9)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, row int")
+    got = sorted(map(tuple, topk_search.top_k(table).collect()))
+    first = [(50, 1, 50, 128 * 256), (50, 2, 1, 64 * 256), (50, 3, 1, 64 * 256), (50, 4, 2, 0)]
+    second = [(50, 1, 2, 128 * 256), (50, 2, 50, 128 * 256), (50, 3, 1, 64 * 128), (50, 4, 1, 64 * 128)]
+    assert got == sorted(first + second)
+    table.write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert sorted(con.execute(queries.TOP_K_SQL).fetchall()) == got
+
+
 # --- language model -----------------------------------------------------------------------------
 
 def test_language_model_counts_and_gain(spark, none):
@@ -398,10 +414,20 @@ def test_pack_round_trip():
 # --- substring dedup -----------------------------------------------------------------------------
 
 def brute_cut(rows):
-    """Texts after removal, by plain loops over all spans of all documents."""
-    split = {i: substring_dedup.sentences(t or "") for i, t, _ in rows if i is not None}
+    """Texts of the rows with an id, where ids are unique."""
+    return {i: t for (i, _), t in brute_rows(rows).items() if i is not None}
+
+
+def text_key(text):
+    key = 42 if text is None else xxhash.xxh64_intdigest(text, 42)
+    return key - 2 ** 64 if key >= 2 ** 63 else key
+
+
+def brute_rows(rows, least=substring_dedup.MIN_WORDS):
+    """{(id, text): text after removal}, by plain loops over all spans of all documents."""
+    split = {(i, t): substring_dedup.sentences(t or "") for i, t, _ in rows}
     found = {}
-    for i, parts in split.items():
+    for (i, t), parts in split.items():
         own = [s.lower().split() for s in parts]
         runs = set()
         for a in range(len(own)):
@@ -409,15 +435,41 @@ def brute_cut(rows):
                 b = a
                 while 0 <= b + direction < len(own):
                     b += direction
-                    if sum(map(len, own[min(a, b):max(a, b) + 1])) >= substring_dedup.MIN_WORDS:
+                    if sum(map(len, own[min(a, b):max(a, b) + 1])) >= least:
                         runs.add((min(a, b), max(a, b) + 1))
                         break
             if len(own[a]) >= substring_dedup.LONG_WORDS:
                 runs.add((a, a + 1))
         for a, b in runs:
-            found.setdefault(tuple(map(tuple, own[a:b])), []).append((i, a, b))
-    gone = {(i, s) for places in found.values() for i, a, b in sorted(places)[1:] for s in range(a, b)}
-    return {i: "".join(s for k, s in enumerate(parts) if (i, k) not in gone) for i, parts in split.items()}
+            place = (i is None, i or 0, text_key(t), a)
+            found.setdefault(tuple(map(tuple, own[a:b])), []).append((place, (i, t), b))
+    gone = {(name, s) for places in found.values() for place, name, b in sorted(places, key=lambda p: p[0])[1:]
+            for s in range(place[-1], b)}
+    return {name: "".join(s for k, s in enumerate(parts) if (name, k) not in gone) for name, parts in split.items()}
+
+
+def test_substring_dedup_tells_rows_of_one_id_apart(spark):
+    rng = random.Random(9)
+    passage = " ".join(words(rng, 9).capitalize() + "." for _ in range(4)) + " "
+    rows = []
+    for d in range(60):
+        text = "".join(words(rng, 5).capitalize() + ". " for _ in range(rng.randint(1, 6)))
+        rows.append((rng.choice([None, d // 4]), text + passage if d % 3 == 0 else text, "en"))
+    rows += [(2, "Alpha alpha alpha. Beta beta beta. Gamma gamma gamma.", "en"), (None, "   ", "en"), (7, None, "en"), (7, "", "en")]
+    rows += rows[:5]  # the same id and text again
+    for least in (substring_dedup.MIN_WORDS, 1):
+        out = substring_dedup.without_repeats(frame(spark, rows).withColumn("text_key", F.lit("x")), min_words=least)
+        want = brute_rows(rows, least)
+        expected = sorted(((i is None, i or 0, want[i, t]) for i, t, _ in rows))
+        assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in out.collect()) == expected
+        assert sum(passage.strip() in (r.text or "") for r in out.collect()) <= 2  # the first row, and its copy
+
+
+def test_short_runs_are_found_on_request(spark):
+    rows = [(i, f"Start {i} here. One two three. Four five six. Seven eight nine. End {i} there.", "en") for i in range(3)]
+    got = {r.doc_id: r.n_removed for r in substring_dedup.without_repeats(frame(spark, rows), min_words=1).collect()}
+    assert got == {0: 0, 1: 3, 2: 3}
+    assert not any(r.n_removed for r in substring_dedup.without_repeats(frame(spark, rows)).collect())
 
 
 def test_substring_dedup_equals_brute_force(spark, none):
@@ -530,3 +582,24 @@ def test_pipeline_keeps_columns_and_rows_without_id(spark, odd):
         assert out.where("doc_id is null").count() == 1, name
     assert corpus_pipeline.near_duplicates(spark, odd, FOLDER).where("doc_id = 4").count() == 1
     assert isinstance(out.schema, T.StructType)
+
+
+def test_pipeline_judges_rows_of_one_id_apart(spark):
+    rng = random.Random(5)
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("length(text) > 100").first().text
+    clean, other, none = words(rng, 60), words(rng, 60), words(rng, 60)
+    rows = [(7, clean, "en"), (7, other, "en"), (7, other, "en"), (3, other, "en"),
+            (None, none, "en"), (None, none, "en"), (7, clean + " " + item, "en"), (None, item, "en"), (9, item, "en")]
+    docs = frame(spark, rows).withColumn("_row", F.lit("own")).withColumn("_copy", F.lit("own"))
+    near = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert near.columns == docs.columns and {(r._row, r._copy) for r in near.collect()} == {("own", "own")}
+    texts = sorted((r.doc_id or -1, r.text) for r in near.collect())
+    assert texts == sorted([(7, clean), (3, other), (-1, none), (7, clean + " " + item), (9, item)])
+    left = corpus_pipeline.decontaminate(spark, docs, FOLDER)
+    assert sorted((r.doc_id or -1, r.text) for r in left.collect()) == sorted(
+        [(7, clean), (7, other), (7, other), (3, other), (-1, none), (-1, none)])
+    scores = quality_classifier.score_quality(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    good = sorted((r.doc_id or -1, r.text_key) for r in scores.where("predicted = 1").collect())
+    stay = corpus_pipeline.quality(spark, docs, FOLDER)
+    assert stay.columns == docs.columns
+    assert sorted((r.doc_id or -1, text_key(r.text)) for r in stay.collect()) == good
