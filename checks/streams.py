@@ -36,9 +36,12 @@ def backlog(t: Tables) -> tuple[DataFrame, Callable[[], None]]:
 
 
 def table_stream(t: Tables, name: str) -> DataFrame:
-    """A given table as a stream of rows."""
+    """A given table, a file or a folder of files, as a stream of rows.
+
+    The path is a pattern: Spark takes a plain path of a stream for a folder.
+    """
     return t.spark.readStream.schema(getattr(t, name).schema) \
-        .option("pathGlobFilter", f"{name}.parquet").parquet(t.folder)
+        .option("maxFileAge", ANY_AGE).parquet(f"{t.folder}/{name}[.]parquet")
 
 
 def topic_log(t: Tables) -> str:

@@ -7,6 +7,8 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from checks.registry import Tables
+from checks.streams import table_stream
 from feedforge.operators.retention import file_manifest, processed_files, retention_candidates
 from feedforge.sources.readers import read_raw_days
 from feedforge.sources.schemas import LANDING, TOPICS
@@ -218,3 +220,12 @@ def test_unanswered_posts_come_once_and_leave_no_state(spark, tmp_path):
     assert kept <= 2
     with pytest.raises(ValueError):
         stream_interval_join(*streams, ["post_id"], "posted_at", "ts", spread="id", unanswered=True)
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_a_given_table_may_be_a_folder_of_files(spark, tmp_path, parts):
+    folder = str(tmp_path / f"tables-{parts}")
+    spark.range(30).repartition(parts).write.parquet(f"{folder}/documents.parquet")
+    spark.range(5).write.parquet(f"{folder}/other_documents.parquet")
+    stream = table_stream(Tables(spark, folder), "documents")
+    assert sorted(r["id"] for r in drain_append(stream, "folder").collect()) == list(range(30))
