@@ -3,10 +3,12 @@ from __future__ import annotations
 import json
 from datetime import date, datetime, timedelta, timezone
 
+import duckdb
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from checks.compare import compare
 from checks.registry import Tables
 from checks.streams import table_stream
 from feedforge.operators.retention import file_manifest, processed_files, retention_candidates
@@ -229,3 +231,14 @@ def test_a_given_table_may_be_a_folder_of_files(spark, tmp_path, parts):
     spark.range(5).write.parquet(f"{folder}/other_documents.parquet")
     stream = table_stream(Tables(spark, folder), "documents")
     assert sorted(r["id"] for r in drain_append(stream, "folder").collect()) == list(range(30))
+
+
+@pytest.mark.parametrize("name", ["stream_interval_join", "stream_unanswered_posts"])
+def test_joins_of_tables_in_folders_equal_their_sql(spark, tmp_path, name):
+    given = "/root/testdata/sf0.001"
+    for table in ("documents", "events"):
+        spark.read.parquet(f"{given}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+    con = duckdb.connect()
+    for table in ("documents", "events"):
+        con.execute(f"create view {table} as select * from '{tmp_path}/{table}.parquet/*.parquet'")
+    assert compare(spark, con, name, str(tmp_path)) == ""
