@@ -195,10 +195,10 @@ _MANIFEST = {
     select url as path, length(html) as length, {Q.stamp(_MANIFEST['modificationTime'])} as "modificationTime"
     from pages where {_MANIFEST['modificationTime']} < timestamp '2024-01-14' and page_id in (select doc_id from labels)""")
 def _(t):
-    manifest = t.pages.selectExpr(*[f"{e} as {c}" for c, e in _MANIFEST.items()])
-    done = t.pages.join(t.labels.select(F.col("doc_id").alias("page_id")), "page_id", "left_semi") \
-        .select(F.col("url").alias("path"))
-    return retention_candidates(manifest, done, date(2024, 1, 21))
+    # Several pages may share a url; each is a file of its own.
+    manifest = t.pages.selectExpr("page_id", *[f"{e} as {c}" for c, e in _MANIFEST.items()])
+    done = t.labels.select(F.col("doc_id").alias("page_id"))
+    return retention_candidates(manifest, done, date(2024, 1, 21), by=["page_id"]).select(*_MANIFEST)
 
 
 def bronze_rows(t: Tables, bronze: str, path: str, columns: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,11 +24,12 @@ def processed_files(bronze: DataFrame) -> DataFrame:
 
 
 def retention_candidates(manifest: DataFrame, processed: DataFrame, as_of: date | Column,
-                         keep_days: int = KEEP_DAYS) -> DataFrame:
+                         keep_days: int = KEEP_DAYS, by: Sequence[str] = ("path",)) -> DataFrame:
     """Files already processed and last changed before the cutoff day.
 
-    Only selects; deleting is left to the caller.
+    ``by`` names what tells the files apart, where that is more or other than their
+    path. Only selects; deleting is left to the caller.
     """
     cutoff = F.date_sub(F.lit(as_of).cast("date"), keep_days)
     old = manifest.filter(F.to_date("modificationTime") < cutoff)
-    return old.join(processed.select("path"), "path", "left_semi")
+    return old.join(processed.select(*by), list(by), "left_semi")

@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from checks.catalog import QUERIES
 from feedforge.operators.calendar import date_spine, dim_date, relative_flags, with_holidays
 from feedforge.operators.cleaning import (
     dead_letter, fill_nulls, normalize_ts, reject_split, tag_metadata, validate_required,
@@ -254,3 +255,20 @@ def test_retention(spark, tmp_path):
     assert retention_candidates(manifest, done, today).count() == 0
     old = retention_candidates(manifest, done, today + timedelta(days=9)).collect()
     assert [r["path"].rsplit("/", 1)[1] for r in old] == ["a.json"]
+
+
+def test_retention_keeps_an_unprocessed_file_that_shares_its_path(spark):
+    day = T0 - timedelta(days=30)
+    files = spark.createDataFrame([(1, "a", 5, day), (2, "a", 6, day), (3, None, 7, day)],
+                                  "page_id int, path string, length int, modificationTime timestamp")
+    done = spark.createDataFrame([(1,), (3,)], "page_id int")
+    old = retention_candidates(files, done, T0.date(), by=["page_id"])
+    assert sorted(r["length"] for r in old.collect()) == [5, 7]
+
+
+def test_retention_query_on_pages_that_share_a_url(spark, tmp_path):
+    spark.createDataFrame([(1, "u", "xx"), (31, "u", "xxx"), (2, "v", "x")], "page_id bigint, url string, html string") \
+        .write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(1,), (2,)], "doc_id bigint").write.parquet(f"{tmp_path}/labels.parquet")
+    found = QUERIES["retention_candidates"](spark, str(tmp_path)).collect()
+    assert sorted((r["path"], r["length"]) for r in found) == [("u", 2), ("v", 1)]
