@@ -195,11 +195,13 @@ def landing_stream(spark: SparkSession, landing: str, source: LandingSource,
     """
     parsed = F.try_parse_json("value")
     elements = F.coalesce(F.try_variant_get(parsed, "$", "array<variant>"), F.array(parsed))
-    return (spark.readStream.format("text").option("wholetext", True)
-            .option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE)
-            .load(f"{landing}/{source.prefix}")
-            .select(F.when(parsed.isNull(), F.col("value")).alias("broken"),  # else the text would go with every element
-                    F.col("_metadata.file_path").alias("source_file"), F.explode(elements).alias("element")))
+    # Beside the explode, the text would go with every element and be parsed again for each.
+    files = (spark.readStream.format("text").option("wholetext", True)
+             .option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE)
+             .load(f"{landing}/{source.prefix}")
+             .select(F.when(parsed.isNull(), F.col("value")).alias("broken"),
+                     F.col("_metadata.file_path").alias("source_file"), elements.alias("elements")))
+    return files.select("broken", "source_file", F.explode("elements").alias("element"))
 
 
 def landed_records(elements: DataFrame, schema_key: str | None, run_id: str, now: Column | None = None) -> DataFrame:
@@ -219,9 +221,11 @@ def landed_records(elements: DataFrame, schema_key: str | None, run_id: str, now
     tagged = F.map_concat(kept, F.map_from_arrays(
         F.array(*map(F.lit, tags)), F.array(*[F.col(t).cast("variant") for t in tags])))
     whole = F.when(F.col("_fields").isNull(), F.array(F.lit(NO_OBJECT))).otherwise(F.array().cast("array<string>"))
-    return checked.select(
-        F.to_json(tagged).alias("line"), F.concat(whole, "errors").alias("errors"),
-        F.coalesce(F.to_json("element"), "broken").alias("message"), "source_file")
+    found = checked.withColumn("errors", F.concat(whole, "errors"))
+    told = F.coalesce(F.to_json("element"), "broken")
+    return found.select(
+        F.when(is_valid(), F.to_json(tagged)).alias("line"), "errors",
+        F.when(~is_valid(), told).alias("message"), "source_file")
 
 
 def _store_landed(checked: DataFrame, bronze: str, source: LandingSource, load: str, counters: Counters,

@@ -17,7 +17,7 @@ from feedforge.sources.schemas import LANDING, TOPICS
 from feedforge.sources.workdir import work_dir
 from feedforge.streaming.ingest import (
     Counters, decode, file_messages, ingest_landing, ingest_new_files, kafka_messages, run_for, stream_ingest,
-    topic_batch_writer,
+    topic_batch_writer, landing_stream,
 )
 from feedforge.streaming.stateful import (
     drain_append, drain_update, stream_daily_counts, stream_dedup, stream_interval_join,
@@ -242,3 +242,10 @@ def test_joins_of_tables_in_folders_equal_their_sql(spark, tmp_path, name):
     for table in ("documents", "events"):
         con.execute(f"create view {table} as select * from '{tmp_path}/{table}.parquet/*.parquet'")
     assert compare(spark, con, name, str(tmp_path)) == ""
+
+
+def test_a_landing_file_is_parsed_once_and_not_for_every_element(spark, tmp_path):
+    (tmp_path / LANDING[0].prefix).mkdir(parents=True)
+    elements = landing_stream(spark, str(tmp_path), LANDING[0])
+    beside, _, below = elements._jdf.queryExecution().analyzed().toString().partition("Generate ")
+    assert "parse_json" in below and "parse_json" not in beside
