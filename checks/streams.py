@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedforge.sources.schemas import TOPICS
 from feedforge.sources.workdir import work_dir
+from feedforge.sources.writers import MAX_RECORDS_PER_FILE, RAW_CODEC
 from feedforge.streaming.ingest import ANY_AGE, file_messages, is_valid, stream_ingest, validated
 from feedforge.streaming.stateful import (
     drain_append, drain_update, stream_daily_counts, stream_dedup, stream_interval_join,
@@ -49,7 +50,9 @@ def topic_log(t: Tables) -> str:
     path = work_dir(t.spark, "topics")
     for topic, name in zip(TOPICS, ("tweets", "engagements")):
         raw(t, name).select(F.lit(topic.name).alias("topic"),
-                            F.to_json(F.struct("*")).alias("value")).write.mode("append").json(path)
+                            F.to_json(F.struct("*")).alias("value")) \
+            .write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE) \
+            .option("compression", RAW_CODEC).json(path)
     return path
 
 

@@ -13,6 +13,7 @@ from feedforge.functions.columns import utc_timestamp
 from .markers import settled
 
 MAX_RECORDS_PER_FILE = 50_000  # fixed value: longest raw file
+RAW_CODEC = "gzip"  # raw JSON repeats its names in every record; readers go by the file name
 DAY_COLUMNS = ("year", "month", "day")
 HOUR_COLUMNS = (*DAY_COLUMNS, "hour")
 HOUR_FOLDERS = {"year": "%Y", "month": "%m", "day": "%d", "hour": "%H"}  # fixed values
@@ -42,22 +43,26 @@ def write_lines(lines: DataFrame, path: str, load: str, max_records: int = MAX_R
     """JSON records that are text already, one a row, into the folder of a load."""
     seen = Observation()
     (lines.observe(seen, F.count(F.lit(1)).alias("rows"))
-     .write.mode("overwrite").option("maxRecordsPerFile", max_records)
+     .write.mode("overwrite").option("maxRecordsPerFile", max_records).option("compression", RAW_CODEC)
      .text(load_folder(lines.sparkSession, path, load, ingested)))
     return seen.get["rows"]
 
 
 def write_raw(df: DataFrame, path: str, at: str = "ingested_at",
               max_records: int = MAX_RECORDS_PER_FILE, load: str | None = None,
-              mode: str = "append", ingested: datetime | None = None) -> int:
+              mode: str = "append", ingested: datetime | None = None, codec: str | None = None) -> int:
     """NDJSON below ``path/year=YYYY/month=MM/day=DD/hour=HH``, bounded file length.
 
+    Loads are compressed, other files if ``codec`` says so.
+
     With ``load`` the hour is that of ingestion, ``ingested`` or now, whatever the
     records say of their time, and ``load=<load>`` below it is replaced by a
     repeated try of that load. So every row is found again by the day on which it
     came. Without ``load`` the hour is that of the column ``at``.
     """
     shown = {"ignoreNullFields": "false", "maxRecordsPerFile": str(max_records)}
+    if codec or load is not None:
+        shown["compression"] = codec or RAW_CODEC
     if load is not None:
         seen = Observation()
         (df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(**shown)

@@ -238,3 +238,15 @@ def test_silver_gate_covers_engagements_and_keeps_its_outcome(spark, bronze, tmp
     assert [r["suite"] for r in kept] == ["silver.engagements"] and "elsewhere" in kept[0]["details"]
     kpi = {r["suite"]: r["decision"] for r in spark.read.parquet(str(tmp_path / "q/kpi")).collect()}
     assert kpi["silver.engagements"] == "block" and kpi["silver.tweets"] == "pass"
+
+
+def test_loads_are_compressed_and_read_like_plain_files(spark, tmp_path):
+    rows = spark.createDataFrame([(f"id-{n}", None) for n in range(200)], "name_of_the_field string, ingested_at string")
+    root = str(tmp_path / "loads")
+    assert write_raw(rows, root, load="s-00000000") == 200
+    files = [f for f in (tmp_path / "loads").rglob("part-*")]
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    # A plain file of before, in the same table.
+    files[0].with_name("part-old.json").write_text('{"name_of_the_field": "old"}\n')
+    back = spark.read.schema("name_of_the_field string").json(root)
+    assert back.count() == 201 and back.where("name_of_the_field = 'old'").count() == 1
