@@ -16,7 +16,7 @@ from feedforge.functions.columns import utc_timestamp
 from feedforge.plans.jobs import build_gold, build_marts, run_silver
 from feedforge.sources.readers import read_table
 from feedforge.sources.workdir import work_dir
-from feedforge.sources.writers import write_raw
+from feedforge.sources.writers import RAW_CODEC, write_raw
 
 from . import sqltext as Q
 from .fixtures import raw, raw_sql
@@ -36,11 +36,12 @@ def ran(t: Tables) -> str:
         for name, path in BRONZE.items():
             rows = raw(t, name)
             twice = rows.where(F.col(IDS[name]).endswith("5"))
-            write_raw(rows.union(twice), f"{root}/bronze/{path}")
+            write_raw(rows.union(twice), f"{root}/bronze/{path}", codec=RAW_CODEC)
         folders = (t.spark, f"{root}/bronze", f"{root}/silver")
         run_silver(*folders, FIRST, LAST, check=False, quarantine=f"{root}/quarantine")
         lost = raw(t, "tweets").where(F.to_date(utc_timestamp("ingested_at")) == EMPTIED)
-        write_raw(lost.withColumn("user_id", F.lit(None).cast("string")), f"{root}/bronze/{BRONZE['tweets']}", mode="overwrite")
+        write_raw(lost.withColumn("user_id", F.lit(None).cast("string")), f"{root}/bronze/{BRONZE['tweets']}", mode="overwrite",
+                  codec=RAW_CODEC)
         run_silver(*folders, EMPTIED, check=False, quarantine=f"{root}/quarantine")
         build_gold(t.spark, f"{root}/silver", f"{root}/gold", check=False)
         build_marts(t.spark, f"{root}/silver", f"{root}/gold", f"{root}/marts")

@@ -89,8 +89,11 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
     kept["engagements"] = store(engaged, "engagements")
     # The tweets are read back as written rather than cleaned a second time.
     tweets = stored("tweets")
-    posts = silver.posts_unified(tweets, raw["youtube.videos"], raw["reddit.posts"], run_id, within=DAY_COLUMNS)
-    kept["posts"] = store(posts, "posts")
+    others = silver.posts_of_other_platforms(raw["youtube.videos"], raw["reddit.posts"], run_id, within=DAY_COLUMNS)
+    if first < last:  # the tweets lie by day as they are read
+        others = others.hint("rebalance", *[F.col(c) for c in DAY_COLUMNS])
+    posts = silver.posts_from_tweets(tweets, DAY_COLUMNS).unionByName(others)
+    kept["posts"] = publish(posts, f"{target}/posts", DAY_COLUMNS, covered)
     read = {name: o.get["read"] for name, o in seen.items()}
     rejected = {name: o.get["rejected"] for name, o in seen.items()}
     ledger = layer_ledger(spark, run_id, began, [

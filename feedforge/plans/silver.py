@@ -121,6 +121,22 @@ def _clean_post(df: DataFrame) -> DataFrame:
     })
 
 
+def _other_posts(videos: DataFrame, reddit: DataFrame, batch_id: str, within: Sequence[str]) -> DataFrame:
+    return posts_from_videos(videos, batch_id, within).unionByName(posts_from_reddit(reddit, batch_id, within))
+
+
+def posts_of_other_platforms(videos: DataFrame, reddit: DataFrame, batch_id: str, tie_break: Sequence[str] = (),
+                             within: Sequence[str] = ()) -> DataFrame:
+    """The rows of ``posts_unified`` that are no tweets.
+
+    A post is told by its id and platform, so where the tweets are one row per
+    tweet (and ``within``) already, these and ``posts_from_tweets`` are all posts,
+    and the texts of the tweets need no second shuffle.
+    """
+    return dedup_latest(_other_posts(videos, reddit, batch_id, within), ["post_id", "platform", *within],
+                        "ingested_at", tie_break)
+
+
 def posts_unified(tweets: DataFrame, videos: DataFrame, reddit: DataFrame, batch_id: str,
                   tie_break: Sequence[str] = (), within: Sequence[str] = (),
                   clean: bool = False) -> DataFrame:
@@ -130,12 +146,7 @@ def posts_unified(tweets: DataFrame, videos: DataFrame, reddit: DataFrame, batch
     rows keep their nulls and negative counts; ``clean`` applies the tweet rules
     to every platform.
     """
-    parts = (
-        posts_from_tweets(tweets, within),
-        posts_from_videos(videos, batch_id, within),
-        posts_from_reddit(reddit, batch_id, within),
-    )
-    merged = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    merged = posts_from_tweets(tweets, within).unionByName(_other_posts(videos, reddit, batch_id, within))
     if clean:
         merged = _clean_post(merged)
     return dedup_latest(merged, ["post_id", "platform", *within], "ingested_at", tie_break)

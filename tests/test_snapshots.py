@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from feedforge.operators.quality import QualityGateError, enforce_completeness
 from feedforge.operators.runs import layer_ledger
+from feedforge.plans import silver
 from feedforge.plans.jobs import run_silver
 from feedforge.sources import snapshots as S
 from feedforge.sources.readers import read_raw_days, read_table
-from feedforge.sources.schemas import LANDING
+from feedforge.sources.schemas import LANDING, raw_schema
 from feedforge.sources.writers import write_raw
 from feedforge.streaming.ingest import Counters, ingest_new_files
 
@@ -189,3 +190,18 @@ def test_ledger_balances_and_incomplete_runs_block(spark, bronze, tmp_path):  #
     enforce_completeness(layer_ledger(spark, "r", at, [("a", 100, 10, 45, 1), ("none", 0, 0, 0, 0)]))  # 45 repeats are no loss
     assert layer_ledger(spark, "r", at, [("a", 10, 3, 5, 1)]).select(F.expr(
         "records_read = records_rejected + duplicates_removed + records_kept")).first()[0]
+
+
+def test_posts_of_single_tweets_need_no_shuffle_of_their_own(spark, plan):
+    def rows(entity, **given):
+        df = spark.createDataFrame([], raw_schema(entity))
+        one = spark.range(1).select(*[F.lit(given.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+        return one.union(one)  # delivered twice
+
+    tweets = silver.clean_tweets(rows("twitter.tweets", tweet_id="t1", user_id="u", content="c"), "b")
+    videos, reddit = rows("youtube.videos", video_id="v1"), rows("reddit.posts", post_id="r1")
+    whole = silver.posts_unified(tweets, videos, reddit, "b")
+    others = silver.posts_of_other_platforms(videos, reddit, "b")
+    apart = silver.posts_from_tweets(tweets).unionByName(others)
+    assert sorted(map(str, apart.collect())) == sorted(map(str, whole.collect())) and apart.count() == 3
+    assert plan(silver.posts_from_tweets(tweets)).count("Exchange") == plan(tweets).count("Exchange")
