@@ -58,9 +58,17 @@ def stg_posts(posts: DataFrame) -> DataFrame:
     counts = ("likes_count", "shares_count", "comments_count", "impressions_count")
     names = _same("post_id", "user_id", "platform", "content", "hashtags", "posted_at", *counts,
                   "ingested_at", "silver_batch_id")
+    if "content_length" in posts.columns:
+        names |= _same("content_length")
     return _pick(posts, names, dict.fromkeys(counts, 0)).withColumn("post_date", F.to_date("posted_at"))
 
 
+def previewed(posts: DataFrame) -> DataFrame:
+    """Posts with the beginning of their text and its length, which is all that Gold keeps of it."""
+    return posts.withColumns({"content_length": F.length("content"),
+                              "content": F.left(F.col("content"), F.lit(C.PREVIEW_CHARS))})
+
+
 def posts_enriched(staged: DataFrame) -> DataFrame:
     """Date parts, totals, rate and tier of every staged post."""
     at = F.col("posted_at")
@@ -85,7 +93,7 @@ def dim_posts(enriched: DataFrame, now: Column | None = None) -> DataFrame:
         C.surrogate_key(POST_KEY).alias("post_sk"),
         "post_id", "user_id", "platform",
         F.left(F.col("content"), F.lit(C.PREVIEW_CHARS)).alias("content_preview"),
-        F.length("content").alias("content_length"),
+        (F.col("content_length") if "content_length" in enriched.columns else F.length("content")).alias("content_length"),
         "hashtags", "likes_count", "shares_count", "comments_count", "impressions_count",
         "total_engagement", "engagement_rate_pct", "engagement_tier", "has_hashtags",
         "post_day_of_week", "posted_on_weekend", "post_date", "post_year", "post_month",

@@ -148,7 +148,8 @@ def build_gold(spark: SparkSession, silver_root: str, target: str, check: bool =
     reason.
     """
     pin_utc(spark)
-    latest_posts = dedup_latest(read_table(spark, f"{silver_root}/posts"), gold.POST_KEY)
+    # Cut to the preview before the shuffle.
+    latest_posts = dedup_latest(gold.previewed(read_table(spark, f"{silver_root}/posts")), gold.POST_KEY)
     posts = gold.posts_enriched(gold.stg_posts(latest_posts))
     latest = dedup_latest(read_table(spark, f"{silver_root}/engagements"), ["engagement_id"])
     staging = work_dir(spark, "staged-engagements")

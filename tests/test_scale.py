@@ -6,6 +6,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from feedforge.operators.dedup import dedup_latest
 from feedforge.plans import gold, marts
 
 T0 = "timestamp'2024-01-01'"
@@ -106,3 +107,16 @@ def test_no_plan_multiplies_rows(spark, posts, engaged, plan):
                gold.fact_with_keys(gold.fact_engagements(engaged, posts), users, gold.dim_platforms(posts))):
         text = plan(df)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_texts_are_cut_before_the_dedup_of_gold(spark):
+    df = spark.range(20).selectExpr(
+        "concat('p', id % 10) as post_id", "'u' as user_id", "'twitter' as platform",
+        "if(id = 3, null, repeat('long text ', cast(id * 40 as int))) as content", "array('a') as hashtags",
+        f"{T0} as posted_at", "id as likes_count", "id as shares_count", "id as comments_count",
+        "id as impressions_count", f"{T0} + make_dt_interval(cast(id as int)) as ingested_at", "'b' as silver_batch_id")
+
+    def dim(posts):
+        return gold.dim_posts(gold.posts_enriched(gold.stg_posts(posts)), F.lit(None)).orderBy("post_sk").collect()
+
+    assert dim(dedup_latest(gold.previewed(df), gold.POST_KEY)) == dim(dedup_latest(df, gold.POST_KEY))
