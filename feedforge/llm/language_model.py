@@ -43,16 +43,18 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WordHashes, ascii_words, column_bytes, discard, id_fold, ship, stored
+from .common import column_bytes, discard, id_fold, ship, stored
 
 RESTAURANTS = 1 << 18  # restaurants in one batch of the first seating
 DISCOUNT, STRENGTH = 0.75, 1.0
@@ -65,36 +67,58 @@ FREQUENT = 1 << 20
 HOT_SHARE = 4  # a word with over BUCKET_TOKENS / HOT_SHARE tokens is dealt by context
 END = np.uint64(0x5D3A4E8B1F6C2907)
 START = np.uint64(0x27C1B0A94D85E3F6)
-HASHES = WordHashes()
+HASH_SEED = 42
 
 
-class WordNumbers(WordHashes):
-    """Word to its rank if it is frequent, else to its hash.
+class WordNumbers:
+    """Hashes of words to their numbers: the rank of a frequent word, else its hash.
 
     ``names`` are the hashes of frequent words, ``ranks`` their ranks.
     """
 
     def __init__(self, names: np.ndarray, ranks: np.ndarray):
-        super().__init__()
         self.names, self.ranks = names, ranks
-        self.frequent = dict(zip(names.tolist(), ranks.tolist()))
-        self.end = self.number(int(END))
+        order = np.argsort(names)
+        self.known, self.rank = names[order], ranks[order]
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return hashes
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[at] == hashes, self.rank[at], hashes)
 
     def number(self, value: int) -> int:
-        return self.frequent.get(value, value)
+        return int(self.of(np.array([value], dtype=np.uint64))[0])
+
 
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = self.number(super().__missing__(word))
-        return value
+def coded_texts(texts: list[bytes | None], numbers: WordNumbers | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, or numbers, of the distinct words and of the end; the positions of all
+    tokens among them, text after text; how many tokens each text has.
+
+    Words are told apart by Arrow, so that only distinct ones become Python objects. The
+    first array may hold a word that does not occur.
+    """
+    lowered = pa.array([(t or b"").lower() for t in texts], pa.large_binary()).view(pa.large_string())
+    lists = pc.ascii_split_whitespace(lowered)  # with empty words at the edges
+    words = lists.flatten().dictionary_encode()
+    distinct = words.dictionary.cast(pa.large_binary())
+    spelled = distinct.to_numpy(zero_copy_only=False)
+    names = np.fromiter(chain(map(xxhash.xxh64_intdigest, spelled, repeat(HASH_SEED)), [int(END)]), np.uint64, len(spelled) + 1)
+    at, length = words.indices.to_numpy(), pc.list_value_length(lists).to_numpy()
+    real = pc.binary_length(distinct).to_numpy()[at] > 0
+    before, stop = np.concatenate([[0], np.cumsum(real)]), np.cumsum(length)
+    size = before[stop] - before[stop - length] + 1
+    code = np.full(int(size.sum()), len(spelled), dtype=np.int64)
+    no_end = np.ones(len(code), dtype=bool)
+    no_end[np.cumsum(size) - 1] = False
+    code[no_end] = at[real]
+    return names if numbers is None else numbers.of(names), code, size
 
 
 def tokens(text: bytes | None, numbers: WordNumbers | None = None) -> np.ndarray:
     """Hashes, or numbers, of the words of a text and of the end."""
-    words = ascii_words(text)
-    out = np.empty(len(words) + 1, dtype=np.uint64)
-    out[:-1] = (HASHES if numbers is None else numbers).of(words)
-    out[-1] = END if numbers is None else numbers.end
-    return out
+    names, code, _ = coded_texts([text], numbers)
+    return names[code]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -138,6 +162,31 @@ def runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in their order, and the position of every value among them; only the distinct ones are sorted."""
+    found = pa.array(values).dictionary_encode()
+    names = found.dictionary.to_numpy()
+    order = np.argsort(names)
+    place = np.empty(len(names), dtype=np.int64)
+    place[order] = np.arange(len(names))
+    return names[order], place[found.indices.to_numpy()]
+
+
+def entries_of(pair: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (pair, document) in order, and how often each occurs; ``docs`` is above all documents."""
+    if (int(pair.max(initial=0)) + 1) * docs < 1 << 63:  # one number to sort, unless a single text is enormous
+        both = pair * docs + doc
+        both.sort()
+        entry = runs(both)
+        times, both = np.diff(entry, append=len(both)), both[entry]
+        pair = both // docs
+        return pair, both - pair * docs, times
+    order = np.lexsort((doc, pair))
+    pair, doc = pair[order], doc[order]
+    entry = runs(pair, doc)
+    return pair[entry], doc[entry].astype(np.int64), np.diff(entry, append=len(pair))
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """stored(), whose shuffle files go when it is written: nothing reads them again."""
     conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -156,14 +205,12 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, train = column_bytes(batch, "text"), batch.column(0).to_pylist()
+            texts, train = column_bytes(batch, "text"), np.asarray(batch.column(0).to_pylist(), dtype=bool)
             for part in chunks(texts):
-                for learned in (True, False):
-                    found = [tokens(texts[i]) for i in part if train[i] is learned]
-                    if found:
-                        words, n = np.unique(np.concatenate(found), return_counts=True)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(words.view(np.int64)), pa.array(n if learned else n * 0), pa.array(n)], ["word", "c", "n"])
+                words, code, size = coded_texts([texts[i] for i in part])
+                n, c = (np.bincount(x, minlength=len(words)) for x in (code, code[np.repeat(train[part], size)]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[n > 0]) for x in (words.view(np.int64), c, n)], ["word", "c", "n"])
 
     return (rows.select("train", "text").mapInArrow(count, "word long, c long, n long")
             .groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n")))
@@ -210,31 +257,29 @@ def dealt(rows: DataFrame, hot: np.ndarray, buckets: int, names: np.ndarray = NO
             ids = doc_id.fill_null(0).to_numpy()
             flags = np.asarray(batch.column(2).to_pylist(), dtype=np.uint8) + 2 * np.asarray(doc_id.is_null().to_pylist(), dtype=np.uint8)
             for part in chunks(texts):
-                found = [tokens(texts[i], numbers) for i in part]
-                size = [len(f) for f in found]
-                names, word = np.unique(np.concatenate(found), return_inverse=True)
+                names, code, size = coded_texts([texts[i] for i in part], numbers)
+                names, place = coded(names)
+                word, docs = place[code], len(size)
                 context = np.concatenate([[0], word[:-1]])  # positions in names, which ends with START
-                context[np.cumsum([0, *size[:-1]])] = len(names)
+                context[np.cumsum(size) - size] = len(names)
                 key = word * (len(names) + 1) + context
                 names = np.append(names, START)
-                doc = np.repeat(np.arange(len(part), dtype=np.uint32), size)
-                order = np.argsort(key, kind="stable")  # documents stay in order
-                key, doc = key[order], doc[order]
-                entry = runs(key, doc)
-                times = np.diff(entry, append=len(key))
-                key, doc = key[entry], doc[entry]
-                word, context = (names[x] for x in np.divmod(key, len(names)))
-                del found, order, entry
-                place = mix(word)
-                many = np.isin(word, hot)
-                place[many] = mix(place[many] + context[many])
-                bucket = ((place >> np.uint64(16)) % np.uint64(buckets)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
-                word, context, doc, times, bucket = word[order], context[order], doc[order], times[order], bucket[order]
-                pair = runs(word, context)
-                learned = np.add.reduceat(times * (flags[part][doc] & 1), pair)
-                per_pair = np.diff(pair, append=len(word)).astype(np.uint32)
-                word, context, bucket = word[pair], context[pair], bucket[pair]
+                key, doc, times = entries_of(key, np.repeat(np.arange(docs), size), docs)
+                del code, word, context
+                pair = runs(key)
+                per_pair = np.diff(pair, append=len(key))
+                word, context = np.divmod(key[pair], len(names))  # once a pair, and what words alone tell, once a word
+                place, many = mix(names)[word], np.isin(names, hot)[word]
+                place[many] = mix(place[many] + names[context[many]])
+                bucket = ((place >> np.uint64(16)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int32)
+                order = np.argsort(bucket, kind="stable")  # by counting, with 16 bits
+                word, context, bucket = names[word[order]], names[context[order]], bucket[order].astype(np.int32)
+                per_pair = per_pair[order]
+                start = np.cumsum(per_pair) - per_pair
+                entry = np.repeat(pair[order] - start, per_pair) + np.arange(len(key))
+                doc, times = doc[entry].astype(np.uint32), times[entry]
+                learned = np.add.reduceat(times * (flags[part][doc] & 1), start)
+                per_pair = per_pair.astype(np.uint32)
                 edges = runs(bucket)
                 out = []
                 for a, b in zip(edges, [*edges[1:], len(bucket)]):
@@ -250,27 +295,27 @@ def dealt(rows: DataFrame, hot: np.ndarray, buckets: int, names: np.ndarray = NO
 
 
 def merged(parts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """One bucket: pairs (word, context, training count), and the pair of every question."""
-    words, contexts_, counts = [], [], []
-    for data in parts:
-        w, per_word, c, n = unpack(data)
-        words.append(np.repeat(w, per_word))
-        contexts_.append(c)
-        counts.append(n)
-    word, context, count = map(np.concatenate, (words, contexts_, counts))
-    del words, contexts_, counts
-    order = np.lexsort((context, word))
-    word, context, count = word[order], context[order], count[order]
-    start = runs(word, context)
+    """One bucket: pairs (word, context, training count), the pair of every question, and the sizes of the parts."""
+    words, per_word, contexts_, counts = zip(*map(unpack, parts))
+    sizes = np.array([len(c) for c in contexts_])
+    names, word = coded(np.concatenate(words))
+    before, context = coded(np.concatenate(contexts_))
+    key = np.repeat(word, np.concatenate(per_word)) * len(before) + context
+    count = np.concatenate(counts)
+    del words, per_word, contexts_, counts, word, context
+    order = np.argsort(key)
+    key, count = key[order], count[order]
+    start = runs(key)
     of = np.empty(len(order), dtype=np.uint32)
-    of[order] = np.repeat(np.arange(len(start), dtype=np.uint32), np.diff(start, append=len(word)))
-    return word[start], context[start], np.add.reduceat(count, start), of
+    of[order] = np.repeat(np.arange(len(start), dtype=np.uint32), np.diff(start, append=len(key)))
+    word, context = np.divmod(key[start], len(before))
+    return names[word], before[context], np.add.reduceat(count, start), of, sizes
 
 
 def packed_pairs(word: np.ndarray, context: np.ndarray, count: np.ndarray) -> bytes:
     """Pairs sorted by word: words, their numbers of pairs, contexts, positions of these, counts."""
     first = runs(word)
-    names, at = np.unique(context, return_inverse=True)
+    names, at = coded(context)
     steps = np.diff(names, prepend=names[:1] * 0)
     return pack(word[first], np.diff(first, append=len(word)).astype(np.uint32), steps, at.astype(np.uint32), count)
 
@@ -299,9 +344,8 @@ def bucket_rows(parts: DataFrame, buckets: int) -> DataFrame:
                     held.setdefault(b, []).append((chunk, part))
         for b in list(held):
             asking, own = zip(*held.pop(b))
-            sizes = [len(unpack(part)[2]) for part in own]
-            word, context, count, of = merged(own)
-            asks = pack(np.array(asking), np.array(sizes), np.diff(of, prepend=of[:1] * 0))  # differences wrap around
+            word, context, count, of, sizes = merged(own)
+            asks = pack(np.array(asking), sizes, np.diff(of, prepend=of[:1] * 0))  # differences wrap around
             yield row(b, None, packed_pairs(word, context, count), asks, None)
 
     return parts.repartition(buckets, "bucket").mapInArrow(

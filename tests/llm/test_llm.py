@@ -372,6 +372,32 @@ def test_numbers_of_frequent_words_and_hashes_of_others():
     assert language_model.tokens(b"a b C", numbers).tolist() == [want.get(int(h), int(h)) for h in plain]
 
 
+def test_texts_are_coded_by_their_distinct_words():
+    rng = np.random.default_rng(3)
+    odd = [bytes(rng.choice(list(b" \t\n\x0b\x0c\r\x1c\x00\xc3\x89\xa0AaZz."), rng.integers(12)).tolist()) for _ in range(300)]
+    texts = [None, b"", b"  ", *odd, b"b A b a", None]
+    names, code, size = language_model.coded_texts(texts)
+    at = 0
+    for text, n in zip(texts, size.tolist()):
+        words = (text or b"").lower().split()
+        want = [xxhash.xxh64_intdigest(w, 42) for w in words] + [int(language_model.END)]
+        assert names[code[at:at + n]].tolist() == want
+        at += n
+    assert at == len(code) and len(names) == len(np.unique(names))
+
+
+def test_coding_gives_what_sorting_everything_gives():
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, 1 << 63, 50, dtype=np.uint64)[rng.integers(0, 50, 400)] * np.uint64(2)
+    for got, want in zip(language_model.coded(values), np.unique(values, return_inverse=True)):
+        assert got.tolist() == want.tolist()
+    pair, doc = rng.integers(0, 1 << 30, 9)[rng.integers(0, 9, 200)], rng.integers(0, 5, 200)
+    want = Counter(zip(pair.tolist(), doc.tolist()))
+    for docs in (5, 1 << 40):  # the second is too large for one number
+        entries = [x.tolist() for x in language_model.entries_of(pair, doc, docs)]
+        assert list(zip(*entries)) == [(*k, want[k]) for k in sorted(want)]
+
+
 def test_every_context_word_has_its_own_restaurant(spark):
     """More contexts than 2^18 restaurants could tell apart, each with its own next word."""
     before = np.arange(1, 400_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
