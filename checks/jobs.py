@@ -26,10 +26,11 @@ FIRST, LAST, EMPTIED = "2024-01-01", "2024-03-15", "2024-02-10"
 BRONZE = {"tweets": "twitter/tweets", "engagements": "twitter/engagements", "videos": "youtube/videos", "reddit": "reddit/posts"}
 IDS = {"tweets": "tweet_id", "engagements": "engagement_id", "videos": "video_id", "reddit": "post_id"}
 DONE: dict[tuple[str, str], str] = {}
+REPORTED: set[str] = set()
 
 
-def ran(t: Tables) -> str:
-    """The folder in which the jobs ran; they run once for an application and table folder."""
+def ran_silver(t: Tables) -> str:
+    """The folder in which both runs up to Silver are done; they run once for an application and table folder."""
     known = (t.spark.sparkContext.applicationId, t.folder)
     if known not in DONE:
         root = work_dir(t.spark, "jobs")
@@ -43,12 +44,20 @@ def ran(t: Tables) -> str:
         write_raw(lost.withColumn("user_id", F.lit(None).cast("string")), f"{root}/bronze/{BRONZE['tweets']}", mode="overwrite",
                   codec=RAW_CODEC)
         run_silver(*folders, EMPTIED, check=False, quarantine=f"{root}/quarantine")
-        build_gold(t.spark, f"{root}/silver", f"{root}/gold", check=False)
-        build_marts(t.spark, f"{root}/silver", f"{root}/gold", f"{root}/marts")
         DONE[known] = root
     return DONE[known]
 
 
+def ran(t: Tables) -> str:
+    """The folder in which the jobs ran to their end; Gold and the reports follow Silver once, when first read."""
+    root = ran_silver(t)
+    if root not in REPORTED:
+        build_gold(t.spark, f"{root}/silver", f"{root}/gold", check=False)
+        build_marts(t.spark, f"{root}/silver", f"{root}/gold", f"{root}/marts")
+        REPORTED.add(root)
+    return root
+
+
 def _day(c: str = "ingested_at") -> str:
     return f"cast({Q.parsed(c)} as date)"
 
@@ -83,7 +92,7 @@ _LOST = f"(select count(*) as n from {raw_sql('tweets')} r where {_day()} = date
     select run, entity, records_read, records_rejected, records_read - records_rejected - records_kept as duplicates_removed,
       records_kept, true as has_files from rows""")
 def _(t):
-    ledger = read_table(t.spark, f"{ran(t)}/silver/ledger")
+    ledger = read_table(t.spark, f"{ran_silver(t)}/silver/ledger")
     runs = ledger.withColumn("run", F.dense_rank().over(Window.partitionBy("entity").orderBy("started_at")))
     return runs.select("run", "entity", "records_read", "records_rejected", "duplicates_removed", "records_kept",
                        ((F.col("files_processed") > 0) | (F.col("records_read") == 0)).alias("has_files"))
@@ -106,7 +115,7 @@ _PER_DAY = "year(came) as year, month(came) as month, day(came) as day"
       union all select {_day()} from {raw_sql('tweets')} r where {_day()} = date '{EMPTIED}') q group by came
     union all select 'rejected engagements', {_PER_DAY}, count(*) from {_bronze('engagements')} b where bad group by came""")
 def _(t):
-    root = ran(t)
+    root = ran_silver(t)
     tables = {**{n: f"silver/{n}" for n in ("tweets", "engagements", "posts")},
               **{f"rejected {n}": f"quarantine/twitter/{n}" for n in ("tweets", "engagements")}}
     return reduce(DataFrame.union, [

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from feedforge.operators.quality import KEYED, Suite, enforce_all, enforce_compl
 from feedforge.operators.runs import layer_ledger, run_summary
 from feedforge.session import pin_utc
 from feedforge.sources.readers import (
-    DAY_COLUMNS, check_range, read_raw_days, read_table,
+    DAY_COLUMNS, check_range, days_between, days_of, read_raw_days, read_table,
 )
 from feedforge.sources.schemas import CLEAN_KEYS, NARROW
 from feedforge.sources.workdir import work_dir
@@ -37,8 +39,8 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
                least_complete: float = 0.8) -> DataFrame:
     """Process the raw days ``start..end`` (default: yesterday) into Silver.
 
-    Days are scanned together but deduplicated per day, and a table's days of the
-    range are replaced in one commit: a day that has no valid row any more is
+    Days are read in one plan but deduplicated each by itself, and a table's days of
+    the range are replaced in one commit: a day that has no valid row any more is
     empty afterwards, days outside of the range stay. So a range gives what single
     days would give, a rerun changes nothing, and a rerun after a repair leaves
     nothing of before. The partition is the day of the raw folder, so a run cannot
@@ -67,35 +69,46 @@ def run_silver(spark: SparkSession, bronze: str, target: str, start: date | str
     }
     if all(df.isEmpty() for df in raw.values()):
         return run_summary(spark, run_id, JOB, "silver", began, 0, 0, 0, 0)
-    files = {name: len(df.inputFiles()) for name, df in raw.items()}
+    found = {name: df.inputFiles() for name, df in raw.items()}
+    files = {name: len(paths) for name, paths in found.items()}
     if quarantine:
         for name, keys in CLEAN_KEYS.items():
             _, rejected = reject_split(raw[name], keys)
             publish(rejected, f"{quarantine}/{name.replace('.', '/')}", DAY_COLUMNS, covered)
-    seen = {name: Observation() for name in raw}
-    for name, df in raw.items():
-        raw[name] = df.observe(
-            seen[name], F.count(F.lit(1)).alias("read"),
+    seen: dict[str, list[Observation]] = {name: [] for name in raw}
+
+    def of_day(name: str, day: date) -> DataFrame:
+        seen[name].append(Observation())
+        return raw[name].filter(days_between(day, day)).withColumn("_day", F.make_date(*DAY_COLUMNS)).observe(
+            seen[name][-1], F.count(F.lit(1)).alias("read"),
             F.count_if(any_null(CLEAN_KEYS.get(name, ()))).alias("rejected"))
 
+    def day_by_day(latest: Callable[..., DataFrame], *names: str) -> DataFrame:
+        """One plan with a branch per day: the shuffle of its dedup leaves each day in
+        tasks of its own, as it is written, and no second one has to gather the days.
+
+        A union of branches that are partitioned by the same columns would be one task
+        for a partition of all of them; so they are by a column that is then dropped.
+        """
+        days = days_of({p for n in names for p in found[n]}) or [first]
+        return reduce(DataFrame.unionByName, [
+            latest(*[of_day(n, d) for n in names], within=(*DAY_COLUMNS, "_day")).drop("_day") for d in days])
+
     def store(df: DataFrame, entity: str) -> int:
-        return publish(df, f"{target}/{entity}", DAY_COLUMNS, covered, rebalance=first < last)
+        return publish(df, f"{target}/{entity}", DAY_COLUMNS, covered)
 
     def stored(entity: str) -> DataFrame:
         return read_snapshot(spark, f"{target}/{entity}", where=covered)
 
-    kept = {"tweets": store(silver.clean_tweets(raw["twitter.tweets"], run_id, within=DAY_COLUMNS), "tweets")}
-    engaged = silver.clean_engagements(raw["twitter.engagements"], run_id, within=DAY_COLUMNS)
-    kept["engagements"] = store(engaged, "engagements")
-    # The tweets are read back as written rather than cleaned a second time.
+    tweets = day_by_day(silver.latest_tweets, "twitter.tweets")
+    kept = {"tweets": store(silver.tidy_tweets(tweets, run_id), "tweets")}
+    engaged = day_by_day(silver.latest_engagements, "twitter.engagements")
+    kept["engagements"] = store(silver.tidy_engagements(engaged, run_id), "engagements")
+    # The tweets are read back as written, by day, rather than cleaned a second time.
     tweets = stored("tweets")
-    others = silver.posts_of_other_platforms(raw["youtube.videos"], raw["reddit.posts"], run_id, within=DAY_COLUMNS)
-    if first < last:  # the tweets lie by day as they are read
-        others = others.hint("rebalance", *[F.col(c) for c in DAY_COLUMNS])
-    posts = silver.posts_from_tweets(tweets, DAY_COLUMNS).unionByName(others)
-    kept["posts"] = publish(posts, f"{target}/posts", DAY_COLUMNS, covered)
-    read = {name: o.get["read"] for name, o in seen.items()}
-    rejected = {name: o.get["rejected"] for name, o in seen.items()}
+    others = day_by_day(partial(silver.posts_of_other_platforms, batch_id=run_id), "youtube.videos", "reddit.posts")
+    kept["posts"] = store(silver.posts_from_tweets(tweets, DAY_COLUMNS).unionByName(others), "posts")
+    read, rejected = ({name: sum(o.get[of] for o in by_day) for name, by_day in seen.items()} for of in ("read", "rejected"))
     ledger = layer_ledger(spark, run_id, began, [
         ("tweets", read["twitter.tweets"], rejected["twitter.tweets"], kept["tweets"], files["twitter.tweets"]),
         ("engagements", read["twitter.engagements"], rejected["twitter.engagements"], kept["engagements"],

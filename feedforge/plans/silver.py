@@ -33,13 +33,26 @@ def _stamp(batch_id: str, now: Column | None, layer: bool) -> dict[str, Column]:
     return {**tags, "silver_layer": F.lit(SILVER_LAYER)} if layer else tags
 
 
+def _latest(raw: DataFrame, entity: str, key: str, tie_break: Sequence[str], within: Sequence[str]) -> DataFrame:
+    valid, _ = reject_split(raw, CLEAN_KEYS[entity])
+    timed = normalize_ts(valid, ("created_at", "ingested_at"))
+    return dedup_latest(timed, [key, *within], "ingested_at", tie_break)
+
+
+def latest_tweets(raw: DataFrame, tie_break: Sequence[str] = (), within: Sequence[str] = ()) -> DataFrame:
+    """One valid row per tweet, not cleaned yet; ``within`` adds columns to the
+    dedup key (day partitions, when several days are processed at once)."""
+    return _latest(raw, "twitter.tweets", "tweet_id", tie_break, within)
+
+
 def clean_tweets(raw: DataFrame, batch_id: str, tie_break: Sequence[str] = (),
                  within: Sequence[str] = (), now: Column | None = None) -> DataFrame:
-    """One cleaned row per tweet; ``within`` adds columns to the dedup key
-    (day partitions, when several days are processed at once)."""
-    valid, _ = reject_split(raw, CLEAN_KEYS["twitter.tweets"])
-    timed = normalize_ts(valid, ("created_at", "ingested_at"))
-    latest = dedup_latest(timed, ["tweet_id", *within], "ingested_at", tie_break)
+    """One cleaned row per tweet (and ``within``)."""
+    return tidy_tweets(latest_tweets(raw, tie_break, within), batch_id, now)
+
+
+def tidy_tweets(latest: DataFrame, batch_id: str, now: Column | None = None) -> DataFrame:
+    """Text, counters and derived columns of rows that are one per tweet already."""
     folded = latest.withColumns({
         "content": C.tidy("content"),
         "platform": C.tidy("platform", "lower"),
@@ -60,12 +73,19 @@ def clean_tweets(raw: DataFrame, batch_id: str, tie_break: Sequence[str] = (),
     })
 
 
+def latest_engagements(raw: DataFrame, tie_break: Sequence[str] = (), within: Sequence[str] = ()) -> DataFrame:
+    """One valid row per engagement (and ``within``), not cleaned yet."""
+    return _latest(raw, "twitter.engagements", "engagement_id", tie_break, within)
+
+
 def clean_engagements(raw: DataFrame, batch_id: str, tie_break: Sequence[str] = (),
                       within: Sequence[str] = (), now: Column | None = None) -> DataFrame:
     """One cleaned row per engagement, with its type folded and weighted."""
-    valid, _ = reject_split(raw, CLEAN_KEYS["twitter.engagements"])
-    timed = normalize_ts(valid, ("created_at", "ingested_at"))
-    latest = dedup_latest(timed, ["engagement_id", *within], "ingested_at", tie_break)
+    return tidy_engagements(latest_engagements(raw, tie_break, within), batch_id, now)
+
+
+def tidy_engagements(latest: DataFrame, batch_id: str, now: Column | None = None) -> DataFrame:
+    """Folded type and weight of rows that are one per engagement already."""
     typed = latest.withColumns({
         "platform": C.tidy("platform", "lower"),
         "engagement_type": C.engagement_type("engagement_type"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,7 @@ from .schemas import raw_schema
 from .snapshots import is_snapshot_table, read_snapshot
 
 DAY_COLUMNS = ("year", "month", "day")
+DAY_FOLDER = re.compile(r"/year=(\d+)/month=(\d+)/day=(\d+)/")
 MAX_RANGE_DAYS = 90  # fixed value: longest range one backfill run may cover
 
 
@@ -49,6 +52,12 @@ def day_folder(root: str, day: date) -> str:
     return f"{root}/year={day.year:04d}/month={day.month:02d}/day={day.day:02d}"
 
 
+def days_of(paths: Iterable[str]) -> list[date]:
+    """The days whose folders (see ``day_folder``) hold the given files, in order."""
+    folders = {found[-1] for found in map(DAY_FOLDER.findall, paths) if found}
+    return sorted(date(*map(int, f)) for f in folders)
+
+
 def read_landing_array(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """Landing files holding one JSON array each; one row per element."""
     return spark.read.schema(raw_schema(entity)).option("multiLine", True).json(path)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import date, datetime, timedelta
 from types import SimpleNamespace
 
@@ -8,11 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedforge.operators.quality import QualityGateError
+from feedforge.plans import jobs
 from feedforge.plans.jobs import build_gold, build_marts, run_silver
 from feedforge.sources.readers import (
     backfill_range, check_range, days_between, missing_days, path_exists, read_landing_array,
     read_raw, read_raw_days, read_table,
 )
+from feedforge.sources.snapshots import publish
 from feedforge.sources.schemas import NARROW, REQUIRED, raw_schema
 from feedforge.sources.workdir import work_dir, work_root
 from feedforge.sources.writers import dry_run, replace_table, write_partitions, write_raw
@@ -210,6 +213,40 @@ def test_silver_then_gold(spark, bronze, tmp_path):
         assert spark.read.parquet(f"{mart}/{name}").count() > 0
 
 
+def test_a_range_of_days_shuffles_each_record_once(spark, tmp_path, monkeypatch, plan):
+    bronze, silver = tmp_path / "b" / "year=2023/month=01/day=01", str(tmp_path / "s")
+    for day in (15, 16, 17):
+        at = f"2024-01-{day}T10:00:00Z"
+        user = {"user_id": None} if day == 16 else {}  # a day without a valid tweet, amid others
+        hour = f"year=2024/month=01/day={day}/hour=10"
+        put(bronze / "twitter/tweets" / hour, [tweet(i % 4, at, **user) for i in range(8)])
+        put(bronze / "twitter/engagements" / hour, [engagement(i % 6, UUIDS[0], at) for i in range(9)])
+        if day != 17:  # videos came on fewer days, forum posts never
+            put(bronze / "youtube/videos" / hour, [{"video_id": f"v{i % 2}", "channel_id": "c", "title": "t",
+                                                    "published_at": at, "ingested_at": at} for i in range(3)])
+    laid_out = {}
+
+    def noted(df, root, *args, rebalance=False, **kwargs):
+        text = plan(df)
+        name = os.path.basename(root)
+        laid_out[name] = rebalance, text.count("Exchange"), text.count("WindowGroupLimit"), "REBALANCE" in text
+        if name in ("tweets", "engagements"):
+            tasks = df.select(F.spark_partition_id().alias("task"), "day").distinct().groupBy("task").count()
+            assert {r["count"] for r in tasks.collect()} == {1}
+        return publish(df, root, *args, rebalance=rebalance, **kwargs)
+
+    monkeypatch.setattr(jobs, "publish", noted)
+    run_silver(spark, str(bronze), silver, "2024-01-14", "2024-01-18", check=False)
+    # A shuffle per day with rows, copies cut before and after it, none to gather the days.
+    assert [laid_out[n] for n in ("tweets", "engagements", "posts")] == [(False, 3, 6, False), (False, 3, 6, False), (False, 2, 4, False)]
+    ledger = {r["entity"]: r for r in read_table(spark, f"{silver}/ledger").collect()}
+    assert {n: (r["records_read"], r["records_rejected"], r["records_kept"]) for n, r in ledger.items()} == {
+        "tweets": (24, 8, 8), "engagements": (27, 0, 18), "posts": (8 + 6, 0, 8 + 4)}
+    days = read_table(spark, f"{silver}/posts").groupBy("platform", "day").count().collect()
+    assert {(r["platform"], r["day"]): r["count"] for r in days} == {
+        ("twitter", 15): 4, ("twitter", 17): 4, ("youtube", 15): 2, ("youtube", 16): 2}
+
+
 def test_silver_without_data_is_skipped(spark, bronze, tmp_path):
     empty = run_silver(spark, str(bronze), str(tmp_path / "s"), "2023-05-01").first()
     assert empty["records_read"] == 0 and not (tmp_path / "s").exists()
