@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import os
 from datetime import date, datetime, timedelta
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -228,17 +229,16 @@ def test_a_range_of_days_shuffles_each_record_once(spark, tmp_path, monkeypatch,
 
     def noted(df, root, *args, rebalance=False, **kwargs):
         text = plan(df)
-        name = os.path.basename(root)
-        laid_out[name] = rebalance, text.count("Exchange"), text.count("WindowGroupLimit"), "REBALANCE" in text
-        if name in ("tweets", "engagements"):
-            tasks = df.select(F.spark_partition_id().alias("task"), "day").distinct().groupBy("task").count()
-            assert {r["count"] for r in tasks.collect()} == {1}
+        laid_out[os.path.basename(root)] = rebalance, text.count("Exchange"), text.count("WindowGroupLimit"), "REBALANCE" in text
         return publish(df, root, *args, rebalance=rebalance, **kwargs)
 
     monkeypatch.setattr(jobs, "publish", noted)
     run_silver(spark, str(bronze), silver, "2024-01-14", "2024-01-18", check=False)
     # A shuffle per day with rows, copies cut before and after it, none to gather the days.
     assert [laid_out[n] for n in ("tweets", "engagements", "posts")] == [(False, 3, 6, False), (False, 3, 6, False), (False, 2, 4, False)]
+    for name, n_days in (("tweets", 2), ("engagements", 3)):  # a file is named after the task that wrote it
+        written = list(Path(silver, name).rglob("part-*.parquet"))
+        assert len({f.parent for f in written}) == n_days and len({f.name[:10] for f in written}) == len(written)
     ledger = {r["entity"]: r for r in read_table(spark, f"{silver}/ledger").collect()}
     assert {n: (r["records_read"], r["records_rejected"], r["records_kept"]) for n, r in ledger.items()} == {
         "tweets": (24, 8, 8), "engagements": (27, 0, 18), "posts": (8 + 6, 0, 8 + 4)}
