@@ -14,7 +14,8 @@ the sum of one partial score per list.
 
 Queries and vectors meet as blocks, packed by the hash of the id: an equality
 join on block numbers gives every pair of blocks once, and a task holds one pair
-and a slice of its scores. Nothing passes the driver but the number of rows.
+and a slice of its scores. Blocks are shuffled, never broadcast: nothing passes the
+driver but the number of rows and, if Spark finds them small, the cutoffs.
 
 Defined results: components are floor(256 x). Vectors that are null or hold null
 or non-finite components take no part; nor do null ids. Rows that share an id are
@@ -187,9 +188,13 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
         F.col("data").alias("query_data")), "query-blocks")
 
     def paired(query: DataFrame) -> DataFrame:
-        """Every query block goes to every vector block."""
+        """Every query block goes to every vector block.
+
+        The planner sizes the exploded blocks as the file before the explode and would
+        broadcast them: with the driver's memory growing with the square of the table.
+        """
         spread = query.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-        return spread.join(blocks, "block").select(
+        return spread.hint("merge").join(blocks, "block").select(
             "query_rows", "query_ids", "query_data", "cutoff", "rows", "ids", "data")
 
     none = F.expr("transform(query_ids, i -> cast(null as long))")
@@ -197,5 +202,5 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     cutoffs = _ranked(gathered, k).where(F.col("rank") == k).select("query_row", F.col("score").alias("cutoff"))
     listed = queries.select("query_block", F.posexplode("query_rows").alias("at", "query_row")).join(cutoffs, "query_row", "left")
     listed = listed.groupBy("query_block").agg(F.sort_array(F.collect_list(F.struct("at", "cutoff"))).alias("own"))
-    informed = stored(queries.join(listed, "query_block").withColumn("cutoff", F.col("own.cutoff")).drop("own"), "cutoffs")
+    informed = stored(queries.hint("merge").join(listed, "query_block").withColumn("cutoff", F.col("own.cutoff")).drop("own"), "cutoffs")
     return _ranked(_compare(paired(informed), _collect, k), k).select("query_id", "rank", "vec_id", "score")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 from itertools import groupby
@@ -292,6 +293,27 @@ def test_top_k_leaves_out_only_the_own_row_of_a_repeated_id(spark, tmp_path):
     assert sorted(con.execute(queries.TOP_K_SQL).fetchall()) == got
 
 
+@pytest.fixture
+def stored_plans(plan, monkeypatch):
+    """Plans of what a module stores, as first planned: from sizes of files."""
+    plans = []
+
+    def watch(module):
+        store = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, *names: plans.append(plan(df)) or store(df, *names))
+        return plans
+
+    return watch
+
+
+def test_top_k_never_broadcasts_blocks(spark, plan, stored_plans):
+    plans = stored_plans(topk_search)
+    found = topk_search.top_k(spark.createDataFrame([(i, [1.0 * i, 1.0]) for i in range(200)], "vec_id long, embedding array<double>"))
+    plans.append(plan(found))
+    joins = [line for p in plans for line in p.splitlines() if re.search(r"Join \[(query_)?block#", line)]
+    assert len(joins) > 2 and all("SortMergeJoin" in line for line in joins)
+
+
 # --- language model -----------------------------------------------------------------------------
 
 def test_language_model_counts_and_gain(spark, none):
