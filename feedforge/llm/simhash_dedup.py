@@ -158,13 +158,14 @@ def links_within(distinct: DataFrame, threshold: int = 3) -> DataFrame:
     """(u, v) with u < v: all pairs of distinct fingerprints within ``threshold`` bits.
 
     Each is found once: at an even distance with the larger one replicated, at an
-    odd distance with the one of even parity.
+    odd distance with the one of even parity. The planner sizes the anchors as the
+    fingerprints they come from, hundreds of times too low, so it may not broadcast them.
     """
     home = _replicated(distinct, 0, 0).select("anchor", F.col("fp").alias("u"))
     away = _replicated(distinct, threshold, threshold - threshold % 2).select("anchor", F.col("fp").alias("v"))
     apart = F.bit_count(F.col("u").bitwiseXOR(F.col("v")))
     once = F.when(apart % 2 == 0, F.col("u") < F.col("v")).otherwise(F.bit_count("v") % 2 == 0)
-    return home.join(away, "anchor").where((apart <= threshold) & once).select(
+    return home.join(away.hint("merge"), "anchor").where((apart <= threshold) & once).select(
         F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
 

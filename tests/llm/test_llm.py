@@ -56,6 +56,19 @@ def none(spark):
     return frame(spark, [])
 
 
+@pytest.fixture
+def stored_plans(plan, monkeypatch):
+    """Plans of what a module stores, as first planned: from sizes of files."""
+    plans = []
+
+    def watch(module):
+        store = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, *names: plans.append(plan(df)) or store(df, *names))
+        return plans
+
+    return watch
+
+
 # --- quality classifier -------------------------------------------------------------
 
 def test_quality_on_odd_rows_and_without_labels(spark, odd, none):
@@ -242,6 +255,12 @@ def test_covering_code_links_equal_all_pairs(spark):
     assert want and {tuple(r) for r in got.collect()} == want and got.count() == len(want)
 
 
+def test_replicated_fingerprints_are_never_broadcast(odd, stored_plans):
+    plans = stored_plans(components)
+    simhash_dedup.near_duplicates(odd)
+    assert "SortMergeJoin [anchor" in plans[0]
+
+
 def test_simhash_empty_and_null_ids(spark, odd, none):
     assert simhash_dedup.near_duplicates(none).count() == 0
     out = simhash_dedup.near_duplicates(odd).collect()
@@ -293,19 +312,6 @@ def test_top_k_leaves_out_only_the_own_row_of_a_repeated_id(spark, tmp_path):
     assert sorted(con.execute(queries.TOP_K_SQL).fetchall()) == got
 
 
-@pytest.fixture
-def stored_plans(plan, monkeypatch):
-    """Plans of what a module stores, as first planned: from sizes of files."""
-    plans = []
-
-    def watch(module):
-        store = module.stored
-        monkeypatch.setattr(module, "stored", lambda df, *names: plans.append(plan(df)) or store(df, *names))
-        return plans
-
-    return watch
-
-
 def test_top_k_never_broadcasts_blocks(spark, plan, stored_plans):
     plans = stored_plans(topk_search)
     found = topk_search.top_k(spark.createDataFrame([(i, [1.0 * i, 1.0]) for i in range(200)], "vec_id long, embedding array<double>"))
