@@ -638,6 +638,12 @@ def test_pipeline_keeps_columns_and_rows_without_id(spark, odd):
     assert isinstance(out.schema, T.StructType)
 
 
+def test_pipeline_never_broadcasts_replicated_fingerprints(spark, odd, stored_plans):
+    plans = stored_plans(components)
+    corpus_pipeline.near_duplicates(spark, odd, FOLDER)
+    assert "SortMergeJoin [anchor" in plans[0]
+
+
 def test_pipeline_judges_rows_of_one_id_apart(spark):
     rng = random.Random(5)
     item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("length(text) > 100").first().text
