@@ -102,10 +102,18 @@ def load_name(checkpoint: str, epoch: int) -> str:
     return f"{hashlib.md5(checkpoint.encode()).hexdigest()[:8]}-{epoch:08d}"
 
 
+def _parsed_first(records: DataFrame) -> DataFrame:
+    """The same rows; a filter on them is not moved below the parsing.
+
+    There it would parse each required field of a message anew. An observation stops it.
+    """
+    return records.observe("parsed", F.count(F.lit(1)).alias("rows"))
+
+
 def _store(checked: DataFrame, bronze: str, path: str, topic: str, load: str,
            counters: Counters, dry_run: bool) -> None:
-    good = checked.filter(is_valid()).drop("errors", "_message")
-    bad = checked.filter(~is_valid())
+    good = _parsed_first(checked).filter(is_valid()).drop("errors", "_message")
+    bad = _parsed_first(checked.select("errors", "_message")).filter(~is_valid())
     letters = dead_letter(bad, topic, F.array_join("errors", "; "), message=F.col("_message"))
     if dry_run:
         counts = checked.agg(F.count_if(is_valid()).alias("good"), F.count_if(~is_valid()).alias("bad")).first()
@@ -136,18 +144,13 @@ def topic_batch_writer(bronze: str, run_id: str, checkpoint: str, counters: Coun
     """``foreachBatch`` function that routes every topic to its Bronze folder."""
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.persist()  # bounded by the records per trigger
-        try:
-            for topic in topics:
-                checked = validated(decode(batch, topic), topic.schema_key, run_id).persist()  # parsed once
-                try:
-                    _store(checked, bronze, topic.path, topic.name, load_name(checkpoint, epoch),
-                           counters, dry_run)
-                finally:
-                    checked.unpersist()
-            _store_unknown(batch, bronze, load_name(checkpoint, epoch), counters, topics, dry_run)
-        finally:
-            batch.unpersist()
+        # Nothing is cached: a batch may be larger than memory, and cached text goes to
+        # disk through buffers of hundreds of MB a task. Every folder is a pass over the messages.
+        load = load_name(checkpoint, epoch)
+        for topic in topics:
+            checked = validated(decode(batch, topic), topic.schema_key, run_id)
+            _store(checked, bronze, topic.path, topic.name, load, counters, dry_run)
+        _store_unknown(batch, bronze, load, counters, topics, dry_run)
 
     return write
 

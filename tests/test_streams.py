@@ -15,6 +15,7 @@ from feedforge.operators.retention import file_manifest, processed_files, retent
 from feedforge.sources.readers import read_raw_days
 from feedforge.sources.schemas import LANDING, TOPICS
 from feedforge.sources.workdir import work_dir
+from feedforge.streaming import ingest
 from feedforge.streaming.ingest import (
     Counters, decode, file_messages, ingest_landing, ingest_new_files, kafka_messages, run_for, stream_ingest,
     topic_batch_writer, landing_stream,
@@ -107,6 +108,24 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/twitter/tweets").count() == 8
 
 
+def test_a_batch_is_stored_without_a_cache_and_each_pass_parses_once(spark, tmp_path, monkeypatch, plan):
+    plans = []
+
+    def watched(df, path, **named):
+        plans.append(plan(df))
+        return store(df, path, **named)
+
+    store = ingest.write_raw
+    monkeypatch.setattr(ingest, "write_raw", watched)
+    rows = [(TOPICS[0].name, json.dumps(tweet(1))), (TOPICS[0].name, "{broken"), (TOPICS[1].name, "{}"), (None, "x")]
+    counters = Counters()
+    topic_batch_writer(str(tmp_path), "run", "cp", counters)(spark.createDataFrame(rows, "topic string, value string"), 0)
+    assert counters == Counters(4, 1, 3, 0)
+    assert len(plans) == 5 and not any("InMemory" in p for p in plans)
+    # Valid records are read as their schema and as a map of undeclared fields, rejects as their schema.
+    assert [p.count("from_json") for p in plans] == [2, 1, 2, 1, 0]
+
+
 def test_a_stream_can_be_stopped(spark, tmp_path):
     (tmp_path / "in").mkdir()
     query, _ = stream_ingest(file_messages(spark, str(tmp_path / "in")), str(tmp_path / "b"), str(tmp_path / "cp"),
