@@ -126,6 +126,17 @@ def test_a_batch_is_stored_without_a_cache_and_each_pass_parses_once(spark, tmp_
     assert [p.count("from_json") for p in plans] == [2, 1, 2, 1, 0]
 
 
+def test_an_ingest_caches_nothing(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/m.json").write_text("\n".join(json.dumps(message(t, tweet(1))) for t in TOPICS))
+    cached = []
+    monkeypatch.setattr(type(spark.range(0)), "persist", lambda df, *_: cached.append(df) or df)
+    query, counters = stream_ingest(file_messages(spark, str(tmp_path / "in")), str(tmp_path / "b"), str(tmp_path / "cp"),
+                                    "run", drain=True)
+    assert run_for(query, 120)
+    assert (counters.records_read, counters.records_written, counters.records_rejected) == (2, 1, 1) and not cached
+
+
 def test_a_stream_can_be_stopped(spark, tmp_path):
     (tmp_path / "in").mkdir()
     query, _ = stream_ingest(file_messages(spark, str(tmp_path / "in")), str(tmp_path / "b"), str(tmp_path / "cp"),
